@@ -22,8 +22,15 @@ _SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
 def trim_ws(c: Column) -> Column:
-    """Trim Unicode whitespace; plain ``trim`` would leave tabs and no-break blanks."""
-    return F.trim(c, F.lit(WHITESPACE))
+    """Trim Unicode whitespace; plain ``trim`` would leave tabs and no-break blanks.
+
+    Trimming a set of characters costs five times a plain trim, so it only runs where plain
+    trimming leaves something other than a visible ASCII character at either end.
+    """
+    plain = F.trim(c)
+    last = F.substring(plain, -1, 1)
+    done = (plain >= "!") & (plain < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(done, plain).otherwise(F.trim(c, F.lit(WHITESPACE)))
 
 
 def null_to_empty(c: Column) -> Column:
@@ -90,7 +97,9 @@ def normalize_name(c: Column) -> Column:
     fractions, Hangul) are kept as they are; ``normalize_name_exact`` expands those too.
     """
     replace, bases, _ = _folding()
-    folded = F.translate(trim_ws(F.upper(null_to_empty(c))), replace, bases)
+    base = trim_ws(F.upper(null_to_empty(c)))
+    ascii_only = F.octet_length(base) == F.length(base)
+    folded = F.when(ascii_only, base).otherwise(F.translate(base, replace, bases))
     return F.regexp_replace(folded, _SPACE_RUN, " ")
 
 

@@ -14,13 +14,15 @@ from satmart.operators import classify, dimensions, facts, forecast, fourier, in
 from satmart.operators import quality, registry
 from satmart.plans.roles import (
     ROLE_SETTINGS,
+    TABLES,
     attendance_of,
+    documents,
     raw_attendance,
     raw_registry,
     table,
 )
 from satmart.plans.star import DEPARTMENT, Star
-from satmart.sources.storage import Stage, shared_dir
+from satmart.sources.storage import Stage
 from satmart.streaming.ingest import ingest_new_files, merged_observations
 
 S = ROLE_SETTINGS
@@ -74,7 +76,7 @@ def fact_aggregate(spark, sf_dir):
 def stream_fact_aggregate(spark, sf_dir):
     """The same fact from line items that arrive as a file stream."""
     lines = (
-        spark.readStream.schema(table(spark, sf_dir, "lineitem").schema)
+        spark.readStream.schema(TABLES["lineitem"])
         .option("pathGlobFilter", "lineitem.parquet")
         .parquet(sf_dir)
     )
@@ -88,8 +90,9 @@ def stream_fact_aggregate(spark, sf_dir):
 
 @query
 def name_norm(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    return documents.select("doc_id", normalize_name(F.col("text")).alias("text_norm"))
+    return documents(spark, sf_dir).select(
+        "doc_id", normalize_name(F.col("text")).alias("text_norm")
+    )
 
 
 @query

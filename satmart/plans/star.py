@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from functools import cached_property
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,8 +80,22 @@ class Star:
 
     # Fact
 
+    def load_dimensions(self) -> None:
+        """Stage what the fact needs. Tables of one step do not depend on each other, so their
+        jobs run side by side."""
+        steps = (
+            ("observations", "registry"),
+            ("aggregate", "geography"),
+            ("time", "specialties", "facilities"),
+        )
+        build = inheritable_thread_target(self.stage.spark)(lambda name: getattr(self, name))
+        for step in steps:
+            with ThreadPool(len(step)) as pool:
+                pool.map(build, step)
+
     @cached_property
     def resolved(self) -> DataFrame:
+        self.load_dimensions()
         rows = facts.resolve_keys(
             self.aggregate, self.time, self.facilities, self.specialties, self.geography
         )

@@ -5,7 +5,6 @@ from __future__ import annotations
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from satmart.sources.storage import exists
 
@@ -30,7 +29,7 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def parquet_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def parquet_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """An optional input: an empty table of the same schema when it is absent."""
     if exists(spark, path):
         return spark.read.schema(schema).parquet(path)

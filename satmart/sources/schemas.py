@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-_DDL = {
+# Column list of each table, in DDL form.
+SCHEMAS = {
     "dim_tiempo": (
         "id_tiempo bigint, periodo int, anio int, mes int, nombre_mes string, "
         "trimestre int, semestre int, fecha_inicio date"
@@ -37,8 +37,6 @@ _DDL = {
     ),
 }
 
-SCHEMAS = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
-
 # Parents before children, so a reader never sees a link into a table not yet written.
 LOAD_ORDER = (
     "dim_departamento", "dim_geografia", "dim_tiempo", "dim_especialidad",
@@ -100,11 +98,12 @@ WIDTHS = {
 }
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
+def conform(df: DataFrame, schema: str) -> DataFrame:
     """The declared columns in order and type; a column the input lacks is added as null."""
+    columns = [column.split(" ", 1) for column in schema.split(", ")]
     return df.select(
         [
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
+            (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in columns
         ]
     )
