@@ -85,23 +85,33 @@ def predict_level(model, encode: PipelineModel, rows: DataFrame, s: Settings) ->
     )
 
 
-def out_of_fold(folded: DataFrame, encode: PipelineModel, s: Settings) -> DataFrame:
-    """Every training row with the level predicted by the forest that did not see its fold.
+def fit_forests(folded: DataFrame, encode: PipelineModel, s: Settings) -> dict:
+    """One forest per fold, fitted without that fold, and under None the forest on all rows.
 
-    Folds are at most ``max_folds``; their fits run side by side so a small training set does
-    not leave the cluster idle. ``folded`` is read once per fold: hand in a written table.
+    There are at most ``max_folds`` + 1 fits. They run side by side, so a small training set
+    does not leave the cluster idle. Each reads ``folded`` anew: hand in a written table.
     """
     folds = [r.fold for r in folded.select("fold").distinct().orderBy("fold").collect()]
 
-    def one(fold: int) -> DataFrame:
-        model = fit_forest(folded.where(F.col("fold") != fold), encode, s)
-        return predict_level(model, encode, folded.where(F.col("fold") == fold), s)
+    def fit(left_out: int | None):
+        kept = folded if left_out is None else folded.where(F.col("fold") != left_out)
+        return fit_forest(kept, encode, s)
 
-    with ThreadPool(len(folds)) as pool:
-        parts = pool.map(inheritable_thread_target(folded.sparkSession)(one), folds)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+    parts = [None, *folds]
+    with ThreadPool(len(parts)) as pool:
+        models = pool.map(inheritable_thread_target(folded.sparkSession)(fit), parts)
+    return dict(zip(parts, models))
+
+
+def out_of_fold(
+    folded: DataFrame, forests: dict, encode: PipelineModel, s: Settings
+) -> DataFrame:
+    """Every training row with the level predicted by the forest that did not see its fold."""
+    result = None
+    for fold in [f for f in forests if f is not None]:
+        held_out = folded.where(F.col("fold") == fold)
+        part = predict_level(forests[fold], encode, held_out, s)
+        result = part if result is None else result.unionByName(part)
     return result
 
 

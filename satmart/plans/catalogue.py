@@ -502,7 +502,7 @@ def _folded(m: Star) -> DataFrame:
 def sat_oof(m):
     folded = _folded(m)
     encode = classify.encoder(folded, DEPARTMENT)
-    scored = classify.out_of_fold(folded, encode, S)
+    scored = classify.out_of_fold(folded, classify.fit_forests(folded, encode, S), encode, S)
     return scored.select(
         DEPARTMENT, "ds", "nivel", F.col("predicted").alias("prediction"), "fold"
     )
@@ -512,7 +512,7 @@ def sat_oof(m):
 def sat_classify(m):
     folded = _folded(m)
     encode = classify.encoder(folded, DEPARTMENT)
-    scored = classify.out_of_fold(folded, encode, S)
+    forests = classify.fit_forests(folded, encode, S)
+    scored = classify.out_of_fold(folded, forests, encode, S)
     f1 = classify.f1_scores(classify.class_report(scored)).select("f1_macro").scalar()
-    model = classify.fit_forest(folded, encode, S)
-    return classify.classified(model, encode, m.spliced, f1, DEPARTMENT, S)
+    return classify.classified(forests[None], encode, m.spliced, f1, DEPARTMENT, S)

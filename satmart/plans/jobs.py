@@ -137,8 +137,9 @@ def run_classification(warehouse: Warehouse, s: Settings) -> DataFrame:
     train = stage(classify.training_set(features, s), "train")
     folded = stage(classify.stratified_folds(train, ENTITY, s), "folded")
     encode = classify.encoder(series.select(ENTITY).distinct(), ENTITY)
-    report = stage(classify.class_report(classify.out_of_fold(folded, encode, s)), "report")
-    model = classify.fit_forest(folded, encode, s)
+    forests = classify.fit_forests(folded, encode, s)
+    scored = classify.out_of_fold(folded, forests, encode, s)
+    report = stage(classify.class_report(scored), "report")
     spliced = panel.splice_features(
         series,
         projection.select(
@@ -149,7 +150,7 @@ def run_classification(warehouse: Warehouse, s: Settings) -> DataFrame:
     )
     score = classify.f1_scores(report).select("f1_macro").scalar()
     result = stage(
-        classify.classified(model, encode, spliced, score, ENTITY, s), "classified"
+        classify.classified(forests[None], encode, spliced, score, ENTITY, s), "classified"
     )
     quality.enforce(
         quality.domain_violations(

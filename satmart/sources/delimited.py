@@ -13,6 +13,27 @@ from satmart.functions.text import null_to_empty
 BOM = "﻿"
 
 
+def _dialect(reader, sep: str, multi_line: bool = False):
+    return (
+        reader.option("sep", sep)
+        .option("header", True)
+        .option("encoding", "UTF-8")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+    )
+
+
+def _text_schema(columns: Sequence[str]) -> StructType:
+    return StructType([StructField(c, StringType()) for c in columns])
+
+
+def _as_text(raw: DataFrame) -> DataFrame:
+    return raw.select(
+        [null_to_empty(F.col(f"`{c}`")).alias(c.replace(BOM, "").strip()) for c in raw.columns]
+    )
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -25,20 +46,17 @@ def read_delimited(
     Files are split by size, so one huge extract is read by many tasks; ``multi_line``
     (line breaks inside quotes) gives that up. With ``columns`` the header is not read first.
     """
-    reader = (
-        spark.read.option("sep", sep)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
+    reader = _dialect(spark.read, sep, multi_line)
     if columns is not None:
-        reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
-    raw = reader.csv(path)
-    return raw.select(
-        [null_to_empty(F.col(f"`{c}`")).alias(c.replace(BOM, "").strip()) for c in raw.columns]
-    )
+        reader = reader.schema(_text_schema(columns))
+    return _as_text(reader.csv(path))
+
+
+def stream_delimited(
+    spark: SparkSession, folder: str, columns: Sequence[str], sep: str = ";"
+) -> DataFrame:
+    """The same for files that arrive in a folder; a stream needs its columns named."""
+    return _as_text(_dialect(spark.readStream, sep).schema(_text_schema(columns)).csv(folder))
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite") -> None:
