@@ -116,6 +116,15 @@ def apply_baseline(facilities: DataFrame, computed: DataFrame, entity: str) -> D
     ).drop("_new", "_computed")
 
 
+def coverage(computed: DataFrame) -> DataFrame:
+    """One row: entities with data, those with a baseline and those without."""
+    return computed.agg(
+        F.count("*").alias("n_total"),
+        F.count("linea_base").alias("n_with_base"),
+        F.count_if(F.col("linea_base").isNull()).alias("n_without_base"),
+    )
+
+
 def distribution(df: DataFrame, column: str, decimals: int = 2) -> DataFrame:
     """One row: n, mean, std, min, quartiles and max of a column with few decimals."""
     quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75], decimals).agg(

@@ -197,6 +197,11 @@ def f1_scores(report: DataFrame) -> DataFrame:
     )
 
 
+def acceptance(report: DataFrame, limit: float) -> DataFrame:
+    """F1 scores and whether the plain average reaches the limit."""
+    return f1_scores(report).withColumn("passes", F.col("f1_macro") >= limit)
+
+
 def persistence(train: DataFrame, s: Settings) -> DataFrame:
     """The plain rival of the forest: next month keeps last month's level."""
     return train.withColumn("predicted", level(F.col("ratio_lag1"), s.scheme, s))

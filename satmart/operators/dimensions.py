@@ -32,7 +32,9 @@ def dominant(observed: DataFrame, key: Sequence[str], attributes: Sequence[str])
 
     Counts come in as column ``n``; ties go to the lowest attribute values.
     """
-    counts = observed.groupBy(*key, *attributes).agg(F.sum("n").alias("n"))
+    counts = (
+        observed.where(F.col("n") > 0).groupBy(*key, *attributes).agg(F.sum("n").alias("n"))
+    )
     first = _first_by(counts, key, [(-F.col("n")).alias("minus_n"), *attributes])
     return first.select(
         *key,

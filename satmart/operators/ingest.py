@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satmart.functions.numbers import lenient_long
-from satmart.functions.text import is_six_digits, normalize_geo_code, trim_all
+from satmart.functions.text import normalize_geo_code, trim_all
 
 # Source column -> warehouse column.
 COLUMNS = {
@@ -36,18 +36,25 @@ def clean_attendance(raw: DataFrame, activity: str) -> DataFrame:
 
 
 def observations(clean: DataFrame) -> DataFrame:
-    """Quantity and row count per grain and spelling.
+    """Per grain and spelling: quantity, rows with a quantity (n) and rows without (n_bad).
 
-    The fact and both dominant-value counts are sums over this one aggregate, so the raw
-    extract is read once whatever is built from it.
+    The fact, both dominant-value counts and the row counters are sums over this one aggregate,
+    so the raw extract is cleaned once whatever is built from it. Counting the bad rows here
+    and not in an observed metric keeps the counts right when lost tasks run again.
     """
-    return (
-        clean.where(F.col("cantidad").isNotNull())
-        .groupBy(*OBSERVATION_GRAIN)
-        .agg(F.sum("cantidad").alias("cantidad"), F.count("*").alias("n"))
+    return clean.groupBy(*OBSERVATION_GRAIN).agg(
+        F.sum("cantidad").alias("cantidad"),
+        F.count("cantidad").alias("n"),
+        F.count_if(F.col("cantidad").isNull()).alias("n_bad"),
     )
 
 
+def merge_observations(parts: DataFrame) -> DataFrame:
+    """Observations of several loads added up."""
+    sums = [F.sum(c).alias(c) for c in ("cantidad", "n", "n_bad")]
+    return parts.groupBy(*OBSERVATION_GRAIN).agg(*sums)
+
+
 def fact_aggregate(rows: DataFrame) -> DataFrame:
     """Quantity at the fact grain, from clean rows or from observations."""
     return (
@@ -57,28 +64,14 @@ def fact_aggregate(rows: DataFrame) -> DataFrame:
     )
 
 
-def ingest_counts(raw: DataFrame, activity: str) -> DataFrame:
-    """One row: rows read, rows of the activity, bad quantities, blank specialties."""
-    rows = trim_all(raw)
-    chosen = F.col("DES_ACT") == activity
-    bad = lenient_long(F.col("CANTIDAD")).isNull()
-    return rows.agg(
-        F.count("*").alias("filas_leidas"),
-        F.count_if(chosen).alias("filas_consultas"),
-        F.count_if(chosen & bad).alias("cantidad_no_numerica"),
-        F.count_if(chosen & (F.col("DES_SER") == "")).alias("especialidad_vacia"),
-    )
-
-
-def fact_counts(fact: DataFrame) -> DataFrame:
-    """One row: size, range and total of the aggregated fact."""
-    period = F.when(is_six_digits(F.col("periodo")), F.col("periodo").cast("bigint"))
-    return fact.agg(
-        F.count("*").alias("filas_hecho"),
-        F.min(period).alias("periodo_min"),
-        F.max(period).alias("periodo_max"),
-        F.sum("cantidad_atenciones").alias("cantidad_total"),
-    )
+def row_counts(observed: DataFrame) -> DataFrame:
+    """One row: rows of the activity, bad quantities among them, blank specialties among them."""
+    rows = F.col("n") + F.col("n_bad")
+    blank = F.when(F.col("especialidad") == "", rows).otherwise(0)
+    counts = {
+        "filas_consultas": rows, "cantidad_no_numerica": F.col("n_bad"), "especialidad_vacia": blank
+    }
+    return observed.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(k) for k, c in counts.items()])
 
 
 def long_format(one_row: DataFrame) -> DataFrame:
@@ -88,24 +81,31 @@ def long_format(one_row: DataFrame) -> DataFrame:
 
 def ingest_profile(
     raw: DataFrame,
+    observed: DataFrame,
     fact: DataFrame,
     time: DataFrame,
     specialties: DataFrame,
     facilities: DataFrame,
     geography: DataFrame,
-    activity: str,
 ) -> DataFrame:
     """The extract's profile as (metric, value)."""
-    facility_counts = facilities.agg(
-        F.count("*").alias("establecimientos"),
-        F.count_if("nombre_excede_150").alias("nombre_centro_excede_150"),
-    )
     parts = [
-        ingest_counts(raw, activity),
-        fact_counts(fact),
-        facility_counts,
+        raw.agg(F.count("*").alias("filas_leidas")),
+        row_counts(observed),
+        fact.agg(
+            F.count("*").alias("filas_hecho"),
+            F.sum("cantidad_atenciones").alias("cantidad_total"),
+        ),
+        facilities.agg(
+            F.count("*").alias("establecimientos"),
+            F.count_if("nombre_excede_150").alias("nombre_centro_excede_150"),
+        ),
         specialties.agg(F.count("*").alias("especialidades")),
-        time.agg(F.count("*").alias("periodos")),
+        time.agg(
+            F.count("*").alias("periodos"),
+            F.min("periodo").cast("bigint").alias("periodo_min"),
+            F.max("periodo").cast("bigint").alias("periodo_max"),
+        ),
         geography.agg(F.count("*").alias("ubigeos")),
     ]
     report = long_format(parts[0])

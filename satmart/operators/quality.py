@@ -97,6 +97,11 @@ def check_lengths(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def check_declared(tables: dict[str, DataFrame]) -> DataFrame:
+    """Keys, required columns and widths of the given tables in one report."""
+    return _union([check_unique(tables), check_not_null(tables), check_lengths(tables)])
+
+
 def enforce(checks: DataFrame) -> None:
     """Raise when any check found violations. Brings back only the failed checks' rows."""
     failed = checks.where(F.col("n_violations") > 0).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,12 +104,12 @@ def geo_code_norm(spark, sf_dir):
     return codes.select("raw_code", code.alias("ubigeo"), is_six_digits(code).alias("valid"))
 
 
-@query
-def ingest_profile(spark, sf_dir):
-    m = star(spark, sf_dir)
-    facilities = m.facilities
+@on_star
+def ingest_profile(m):
+    m.load_dimensions()
     return ingest.ingest_profile(
-        m.attendance, m.aggregate, m.time, m.specialties, facilities, m.geography, S.activity
+        m.attendance, m.observations, m.aggregate, m.time, m.specialties, m.facilities,
+        m.geography,
     )
 
 
@@ -246,8 +247,6 @@ def facility_baseline(m):
 
 @on_star
 def facility_baseline_mean(m):
-    from dataclasses import replace
-
     return bl.baseline(
         m.facility_monthly, "nombre_centro", "total", replace(S, baseline_use_mean=True),
         min_months=S.min_months, places=2,
@@ -280,6 +279,11 @@ def baseline_distribution(m):
     return report.select("n", *[_r(c) for c in report.columns if c != "n"])
 
 
+@on_star
+def baseline_coverage(m):
+    return bl.coverage(m.facility_baseline)
+
+
 @on_star
 def facility_saturation(m):
     return m.facility_saturation.select("nombre_centro", "periodo", "total", _r("ratio"))
@@ -486,6 +490,12 @@ def f1_scores(m):
     return scores.select(_r("f1_macro"), _r("f1_weighted"))
 
 
+@on_star
+def f1_acceptance(m):
+    report = classify.acceptance(_persistence_report(m), S.f1_limit)
+    return report.select(_r("f1_macro"), _r("f1_weighted"), "passes")
+
+
 @on_star
 def class_report(m):
     report = _persistence_report(m)

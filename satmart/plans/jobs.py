@@ -30,6 +30,8 @@ def load_star(
     """Dimensions and fact from the raw extracts; rejected rows go to the quarantine folder.
 
     Replaces the whole star at once and drops the results that were computed from the old one.
+    A dimension that breaks a declared rule (a repeated key, a null, a text over its width)
+    raises and nothing is published.
     With ``strict`` a valid rate under the limit raises and nothing is published.
     """
     star = Star(attendance, registry, s, Stage(warehouse.spark))
@@ -37,15 +39,15 @@ def load_star(
     if strict:
         facts.require_valid_rate(star.resolved, s.valid_rate)
     write_quarantine(facts.rejected(star.resolved), f"{warehouse.root}/quarantine")
+    dimension_tables = {
+        "dim_geografia": star.geography,
+        "dim_tiempo": star.time,
+        "dim_especialidad": star.specialties,
+        "dim_establecimiento": star.facilities,
+    }
+    quality.enforce(quality.check_declared(dimension_tables))
     warehouse.replace(
-        {
-            "dim_geografia": star.geography,
-            "dim_tiempo": star.time,
-            "dim_especialidad": star.specialties,
-            "dim_establecimiento": star.facilities,
-            "fact_atenciones": star.fact,
-        },
-        drop=("dim_departamento", *RESULTS),
+        dimension_tables | {"fact_atenciones": star.fact}, drop=("dim_departamento", *RESULTS)
     )
     return facts.valid_rate(star.resolved, s.valid_rate)
 

@@ -536,6 +536,10 @@ _SELECTS: dict[str, str] = {
                round(quantile_cont(linea_base, 0.5), 6) AS p50,
                round(quantile_cont(linea_base, 0.75), 6) AS p75, round(max(linea_base), 6) AS max
         FROM facility_base""",
+    "baseline_coverage": """
+        SELECT count(*) AS n_total, count(linea_base) AS n_with_base,
+               count(*) - count(linea_base) AS n_without_base
+        FROM facility_base""",
     "facility_saturation": """
         SELECT nombre_centro, periodo, total, round(ratio, 6) AS ratio FROM facility_ratio""",
     "facility_levels": """
@@ -660,6 +664,11 @@ _SELECTS: dict[str, str] = {
         SELECT round(avg(f1) * 100, 6) AS f1_macro,
                round(sum(f1 * support) / sum(support) * 100, 6) AS f1_weighted
         FROM report""",
+    "f1_acceptance": """
+        SELECT round(avg(f1) * 100, 6) AS f1_macro,
+               round(sum(f1 * support) / sum(support) * 100, 6) AS f1_weighted,
+               avg(f1) * 100 >= 80 AS passes
+        FROM report""",
     "class_report": """
         SELECT nivel, round(precision, 6) AS precision, round(recall, 6) AS recall,
                round(f1, 6) AS f1, support

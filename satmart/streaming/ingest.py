@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from satmart.operators.ingest import OBSERVATION_GRAIN, clean_attendance, observations
+from satmart.operators.ingest import clean_attendance, merge_observations, observations
 
 
 def ingest_new_files(
@@ -32,8 +31,4 @@ def ingest_new_files(
 
 def merged_observations(spark: SparkSession, partials: str) -> DataFrame:
     """Observations of everything ingested so far: the sums of the partial sums."""
-    return (
-        spark.read.parquet(partials)
-        .groupBy(*OBSERVATION_GRAIN)
-        .agg(F.sum("cantidad").alias("cantidad"), F.sum("n").alias("n"))
-    )
+    return merge_observations(spark.read.parquet(partials))

@@ -299,3 +299,37 @@ def test_quality_checks_find_violations(frame):
 def test_value_counts_top(frame):
     df = frame([("a",), ("b",), ("b",), ("c",)], "x string")
     assert [(r.x, r.n) for r in ingest.value_counts(df, "x", top=2).collect()] == [("b", 2), ("a", 1)]
+
+
+def test_unmatched_lookups_do_not_depend_on_broadcast(spark, frame):
+    """Over the broadcast threshold the same rows come out of sort-merge joins, hot key or not."""
+    rows = [("201501", "hot" if i % 3 else f"c{i}", "" if i % 4 else "s", "010101", i) for i in range(600)]
+    fact = frame(
+        rows,
+        "periodo string, nombre_centro string, especialidad string, ubigeo string, cantidad_atenciones long",
+    )
+    dims = (
+        frame([(1, 201501)], "id_tiempo long, periodo int"),
+        frame([(1, "hot")] + [(i + 2, f"c{i}") for i in range(0, 600, 6)],
+              "id_establecimiento long, nombre_centro string"),
+        frame([(1, "s")], "id_especialidad long, especialidad string"),
+        frame([(1, "010101")], "id_geografia long, ubigeo string"),
+    )
+    want = sorted(map(tuple, facts.resolve_keys(fact, *dims).collect()))
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        assert sorted(map(tuple, facts.resolve_keys(fact, *dims).collect())) == want
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
+def test_load_refuses_a_dimension_that_breaks_its_rules(frame):
+    schema = "id_especialidad long, especialidad string, area string"
+    good = frame([(1, "a", None)], schema)
+    quality.enforce(quality.check_declared({"dim_especialidad": good}))
+    for bad in ([(1, "a", None), (1, "b", None)], [(1, None, None)], [(1, "x" * 61, None)]):
+        with pytest.raises(quality.QualityError):
+            quality.enforce(quality.check_declared({"dim_especialidad": frame(bad, schema)}))
