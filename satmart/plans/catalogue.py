@@ -23,7 +23,7 @@ from satmart.plans.roles import (
     table,
 )
 from satmart.plans.star import DEPARTMENT, Star
-from satmart.sources.storage import Stage
+from satmart.sources.storage import Stage, exists
 from satmart.streaming.ingest import ingest_new_files, merged_observations
 
 S = ROLE_SETTINGS
@@ -34,9 +34,12 @@ _stars: dict[tuple[str, str], Star] = {}
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star over one data folder, loaded once per application and then queried."""
+    """The star over one data folder, loaded once per application and then queried.
+
+    Loaded anew when its staged tables are gone from the shared folder.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stars:
+    if key not in _stars or not exists(spark, _stars[key].stage.root):
         attendance, known = raw_attendance(spark, sf_dir), raw_registry(spark, sf_dir)
         _stars[key] = Star(attendance, known, S, Stage(spark))
     return _stars[key]
