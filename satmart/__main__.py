@@ -27,11 +27,13 @@ def _settings(path: str | None) -> Settings:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="satmart", description=jobs.__doc__)
-    parser.add_argument("job", choices=["load", "baseline", "departments", "forecast", "classify"])
-    parser.add_argument("--warehouse", required=True)
+    parser.add_argument(
+        "job", choices=["stage", "load", "baseline", "departments", "forecast", "classify"]
+    )
+    parser.add_argument("--warehouse", required=True, help="folder of the published tables")
     parser.add_argument("--settings", help="JSON file with values that replace the defaults")
-    parser.add_argument("--attendance", help="delimited attendance extract (load)")
-    parser.add_argument("--registry", help="delimited facility registry (load, optional)")
+    parser.add_argument("--attendance", help="delimited attendance extract (stage, load)")
+    parser.add_argument("--registry", help="delimited facility registry (stage, load; optional)")
     parser.add_argument("--strict", action="store_true", help="stop under the valid rate (load)")
     parser.add_argument("--model", choices=["fourier", "seasonal"], default="fourier")
     args = parser.parse_args(argv)
@@ -40,10 +42,13 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.getActiveSession() or local_session()
     warehouse, s = Warehouse(spark, args.warehouse), _settings(args.settings)
-    if args.job == "load":
+    if args.job in ("stage", "load"):
         require(spark, *[p for p in (args.attendance, args.registry) if p])
         registry = read_delimited(spark, args.registry) if args.registry else None
         attendance = read_delimited(spark, args.attendance)
+        if args.job == "stage":
+            print(*jobs.export_staging(attendance, registry, f"{args.warehouse}/staging", s))
+            return
         report = jobs.load_star(attendance, registry, warehouse, s, args.strict)
     elif args.job == "baseline":
         report = jobs.compute_baseline(warehouse, s)

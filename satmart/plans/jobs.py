@@ -1,6 +1,6 @@
 """The batch jobs over a published warehouse, in the order they are run:
 load_star, compute_baseline, load_departments, run_forecast, run_classification.
-Each returns its report as a DataFrame."""
+Each returns its report as a DataFrame. export_staging writes text files instead."""
 
 from __future__ import annotations
 
@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from satmart.functions.levels import DOMAINS
 from satmart.operators import baseline as bl
 from satmart.operators import classify, dimensions, facts, forecast, fourier, panel, quality
+from satmart.operators import registry
 from satmart.plans.star import Star
 from satmart.settings import Settings
+from satmart.sources.delimited import write_delimited
 from satmart.sources.guards import require_rows
 from satmart.sources.storage import Stage
 from satmart.sources.warehouse import Warehouse, stamped, write_quarantine
@@ -22,7 +24,7 @@ RESULTS = ("resultado_proyeccion", "resultado_clasificacion")
 
 def load_star(
     attendance: DataFrame,
-    registry: DataFrame | None,
+    known: DataFrame | None,
     warehouse: Warehouse,
     s: Settings,
     strict: bool = False,
@@ -34,7 +36,7 @@ def load_star(
     raises and nothing is published.
     With ``strict`` a valid rate under the limit raises and nothing is published.
     """
-    star = Star(attendance, registry, s, Stage(warehouse.spark))
+    star = Star(attendance, known, s, Stage(warehouse.spark))
     require_rows(star.aggregate, "the aggregated attendance")
     if strict:
         facts.require_valid_rate(star.resolved, s.valid_rate)
@@ -52,6 +54,28 @@ def load_star(
     return facts.valid_rate(star.resolved, s.valid_rate)
 
 
+def export_staging(
+    attendance: DataFrame, known: DataFrame | None, folder: str, s: Settings
+) -> list[str]:
+    """The staged tables as delimited text, one folder each; returns their names."""
+    spark = attendance.sparkSession
+    star = Star(attendance, known, s, Stage(spark))
+    facilities = dimensions.named_facilities(dimensions.observed_facilities(star.observations))
+    tables = {
+        "fact_atenciones_consultas": star.aggregate,
+        "dim_tiempo": star.time.drop("id_tiempo"),
+        "dim_especialidad": star.specialties.drop("id_especialidad"),
+        "establecimientos_atenciones": facilities.drop("n"),
+        "geografia_union": star.geography_union.drop("source"),
+    }
+    if star.registry is not None:
+        tables["registro_activo"] = star.registry
+        tables["geografia_registro"] = registry.registry_geography(star.registry)
+    for name, table in tables.items():
+        write_delimited(table, f"{folder}/{name}")
+    return list(tables)
+
+
 def compute_baseline(warehouse: Warehouse, s: Settings) -> DataFrame:
     """Operating baseline of every facility, written into its dimension."""
     fact = require_rows(warehouse.read("fact_atenciones"), "fact_atenciones")

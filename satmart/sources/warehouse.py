@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satmart.sources.guards import MissingInputError
-from satmart.sources.schemas import LOAD_ORDER, SCHEMAS, conform
+from satmart.sources.schemas import CLUSTERING, LOAD_ORDER, SCHEMAS, conform
 from satmart.sources.storage import child_names, exists, touch
 
 
@@ -59,6 +59,9 @@ class Warehouse:
             df = tables[table]
             if table in SCHEMAS:
                 df = conform(df, SCHEMAS[table])
+            if table in CLUSTERING:
+                keys = CLUSTERING[table]
+                df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
             versions[table] = uuid.uuid4().hex
             df.write.parquet(f"{self.root}/{table}/{versions[table]}")
         self._publish(versions)

@@ -111,3 +111,31 @@ def test_unknown_scheme_is_refused(spark):
 def test_columns_containing(frame):
     df = frame([], "n_consultas int, otro int, MEDICOS int")
     assert text.columns_containing(df, "consult", "medic") == ["n_consultas", "MEDICOS"]
+
+
+def python_code(value):
+    digits = re.sub(r"\D", "", (value or "").strip())
+    return digits and digits.zfill(6)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(st.sampled_from("0123456789 -٣A\n"), max_size=9), min_size=40))
+def test_geo_codes_equal_the_python_rule(frame, codes):
+    got = values(frame, codes, text.normalize_geo_code(F.col("c")))
+    assert got == [python_code(c) for c in codes]
+    valid = values(frame, got, text.is_six_digits(F.col("c")))
+    assert valid == [re.fullmatch(r"\d{6}", c) is not None for c in got]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(0, 200), min_size=40))
+def test_levels_equal_the_python_rule(frame, ratios):
+    def four(r):
+        return "Bajo" if r < 70 else "Normal" if r < 90 else "Alto" if r <= 110 else "Critico"
+
+    assert values(frame, ratios, levels.level(F.col("c"), "cuatro"), "double") == list(map(four, ratios))
+    merged = {"Alto": "Saturado", "Critico": "Saturado"}
+    three = [merged.get(four(r), four(r)) for r in ratios]
+    assert values(frame, ratios, levels.level(F.col("c"), "tres"), "double") == three
+    two = ["Saturado" if t == "Saturado" else "Normal" for t in three]
+    assert values(frame, ratios, levels.level(F.col("c"), "binario"), "double") == two

@@ -147,6 +147,27 @@ def test_loaded_star_equals_the_queries(spark, loaded):
     assert [(r.reason, r["count"]) for r in reasons] == [("id_especialidad", 356)]
 
 
+def test_published_fact_is_clustered_by_time(spark, loaded):
+    files = loaded.read("fact_atenciones").groupBy(F.input_file_name().alias("f")).agg(
+        F.min("id_tiempo").alias("lo"), F.max("id_tiempo").alias("hi")
+    )
+    spans = sorted((r.lo, r.hi) for r in files.collect())
+    assert all(hi <= lo for (_, hi), (lo, _) in zip(spans, spans[1:]))
+
+
+def test_staging_export_reads_back(spark, extracts, workdir):
+    known = read_delimited(spark, f"{extracts}/registry")
+    attendance = read_delimited(spark, f"{extracts}/attendance")
+    names = jobs.export_staging(attendance, known, workdir, S)
+    assert len(names) == 7
+    fact = read_delimited(spark, f"{workdir}/fact_atenciones_consultas")
+    want = QUERIES["fact_aggregate"](spark, SF_SMALL)
+    assert fact.select(want.columns).exceptAll(
+        want.select([F.col(c).cast("string") for c in want.columns])
+    ).isEmpty()
+    assert fact.count() == 2253
+
+
 def test_baseline_job_is_idempotent(spark, loaded):
     jobs.compute_baseline(loaded, S)
     first = sorted(map(tuple, loaded.read("dim_establecimiento").collect()))
