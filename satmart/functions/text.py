@@ -62,10 +62,10 @@ def _folding() -> tuple[str, str, str]:
     either is one letter, vanishes (a mark itself), or expands to several letters.
     """
     single, bases, marks, expanding = [], [], [], []
-    for code in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF:
+    # Planes from 3 on hold neither decompositions nor combining marks.
+    for char in map(chr, range(0x80, 0x30000)):
+        if "\ud800" <= char <= "\udfff":
             continue
-        char = chr(code)
         folded = _base_letters(char)
         if folded == char:
             continue

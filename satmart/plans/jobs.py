@@ -37,7 +37,7 @@ def load_star(
     With ``strict`` a valid rate under the limit raises and nothing is published.
     """
     star = Star(attendance, known, s, Stage(warehouse.spark))
-    require_rows(star.aggregate, "the aggregated attendance")
+    require_rows(star.counted, "the cleaned attendance")
     if strict:
         facts.require_valid_rate(star.resolved, s.valid_rate)
     write_quarantine(facts.rejected(star.resolved), f"{warehouse.root}/quarantine")

@@ -38,9 +38,14 @@ class Star:
         clean = ingest.clean_attendance(self.attendance, self.s.activity)
         return self.stage(ingest.observations(clean), "observations")
 
+    @cached_property
+    def counted(self) -> DataFrame:
+        """Observations with at least one valid quantity: what the fact is made of."""
+        return self.observations.where(F.col("n") > 0)
+
     @cached_property
     def aggregate(self) -> DataFrame:
-        return self.stage(ingest.fact_aggregate(self.observations), "aggregate")
+        return ingest.fact_aggregate(self.observations)
 
     @cached_property
     def registry(self) -> DataFrame | None:
@@ -52,11 +57,11 @@ class Star:
 
     @cached_property
     def time(self) -> DataFrame:
-        return self.stage(dims.time_dimension(self.aggregate), "dim_tiempo")
+        return self.stage(dims.time_dimension(self.counted), "dim_tiempo")
 
     @cached_property
     def specialties(self) -> DataFrame:
-        return self.stage(dims.specialty_dimension(self.aggregate), "dim_especialidad")
+        return self.stage(dims.specialty_dimension(self.counted), "dim_especialidad")
 
     @cached_property
     def geography_union(self) -> DataFrame:
@@ -85,8 +90,8 @@ class Star:
         jobs run side by side."""
         steps = (
             ("observations", "registry"),
-            ("aggregate", "geography"),
-            ("time", "specialties", "facilities"),
+            ("geography", "time", "specialties"),
+            ("facilities",),
         )
         build = inheritable_thread_target(self.stage.spark)(lambda name: getattr(self, name))
         for step in steps:
