@@ -11,6 +11,7 @@ from satmart.session import local_session
 from satmart.settings import Settings
 from satmart.sources.delimited import read_delimited
 from satmart.sources.guards import require
+from satmart.sources.storage import Stage
 from satmart.sources.warehouse import Warehouse
 
 
@@ -42,23 +43,32 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.getActiveSession() or local_session()
     warehouse, s = Warehouse(spark, args.warehouse), _settings(args.settings)
+    stage = Stage(spark)
+    try:
+        report = _run(args, spark, warehouse, s, stage)
+        if report is not None:
+            report.show(100, truncate=False)
+    finally:
+        stage.clear()
+
+
+def _run(args, spark, warehouse: Warehouse, s: Settings, stage: Stage):
     if args.job in ("stage", "load"):
         require(spark, *[p for p in (args.attendance, args.registry) if p])
-        registry = read_delimited(spark, args.registry) if args.registry else None
+        known = read_delimited(spark, args.registry) if args.registry else None
         attendance = read_delimited(spark, args.attendance)
-        if args.job == "stage":
-            print(*jobs.export_staging(attendance, registry, f"{args.warehouse}/staging", s))
-            return
-        report = jobs.load_star(attendance, registry, warehouse, s, args.strict)
-    elif args.job == "baseline":
-        report = jobs.compute_baseline(warehouse, s)
-    elif args.job == "departments":
-        report = jobs.load_departments(warehouse)
-    elif args.job == "forecast":
-        report = jobs.run_forecast(warehouse, s, args.model)
-    else:
-        report = jobs.run_classification(warehouse, s)
-    report.show(100, truncate=False)
+        if args.job == "load":
+            return jobs.load_star(attendance, known, warehouse, s, args.strict, stage)
+        folder = f"{args.warehouse}/staging"
+        print(*jobs.export_staging(attendance, known, folder, s, stage))
+        return None
+    if args.job == "baseline":
+        return jobs.compute_baseline(warehouse, s, stage)
+    if args.job == "departments":
+        return jobs.load_departments(warehouse, stage)
+    if args.job == "forecast":
+        return jobs.run_forecast(warehouse, s, args.model, stage)
+    return jobs.run_classification(warehouse, s, stage)
 
 
 if __name__ == "__main__":

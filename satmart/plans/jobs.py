@@ -1,6 +1,8 @@
 """The batch jobs over a published warehouse, in the order they are run:
 load_star, compute_baseline, load_departments, run_forecast, run_classification.
-Each returns its report as a DataFrame. export_staging writes text files instead."""
+Each returns its report as a DataFrame. export_staging writes text files instead.
+
+Intermediate tables go to ``stage``; the caller may clear it once the report was read."""
 
 from __future__ import annotations
 
@@ -28,6 +30,7 @@ def load_star(
     warehouse: Warehouse,
     s: Settings,
     strict: bool = False,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Dimensions and fact from the raw extracts; rejected rows go to the quarantine folder.
 
@@ -36,7 +39,7 @@ def load_star(
     raises and nothing is published.
     With ``strict`` a valid rate under the limit raises and nothing is published.
     """
-    star = Star(attendance, known, s, Stage(warehouse.spark))
+    star = Star(attendance, known, s, stage or Stage(warehouse.spark))
     require_rows(star.counted, "the cleaned attendance")
     if strict:
         facts.require_valid_rate(star.resolved, s.valid_rate)
@@ -55,11 +58,14 @@ def load_star(
 
 
 def export_staging(
-    attendance: DataFrame, known: DataFrame | None, folder: str, s: Settings
+    attendance: DataFrame,
+    known: DataFrame | None,
+    folder: str,
+    s: Settings,
+    stage: Stage | None = None,
 ) -> list[str]:
     """The staged tables as delimited text, one folder each; returns their names."""
-    spark = attendance.sparkSession
-    star = Star(attendance, known, s, Stage(spark))
+    star = Star(attendance, known, s, stage or Stage(attendance.sparkSession))
     facilities = dimensions.named_facilities(dimensions.observed_facilities(star.observations))
     tables = {
         "fact_atenciones_consultas": star.aggregate,
@@ -76,12 +82,15 @@ def export_staging(
     return list(tables)
 
 
-def compute_baseline(warehouse: Warehouse, s: Settings) -> DataFrame:
+def compute_baseline(
+    warehouse: Warehouse, s: Settings, stage: Stage | None = None
+) -> DataFrame:
     """Operating baseline of every facility, written into its dimension."""
     fact = require_rows(warehouse.read("fact_atenciones"), "fact_atenciones")
     entity = "id_establecimiento"
     monthly = bl.monthly_totals(fact, warehouse.read("dim_tiempo"), entity)
-    computed = Stage(warehouse.spark)(
+    stage = stage or Stage(warehouse.spark)
+    computed = stage(
         bl.baseline(monthly, entity, "total", s, min_months=s.min_months, places=2), "baseline"
     )
     facilities = warehouse.read("dim_establecimiento")
@@ -90,11 +99,11 @@ def compute_baseline(warehouse: Warehouse, s: Settings) -> DataFrame:
     return bl.distribution(computed, "linea_base")
 
 
-def load_departments(warehouse: Warehouse) -> DataFrame:
+def load_departments(warehouse: Warehouse, stage: Stage | None = None) -> DataFrame:
     """Departments found in the facts, and the district-to-department link, published together."""
     fact = require_rows(warehouse.read("fact_atenciones"), "fact_atenciones")
     geography = warehouse.read("dim_geografia")
-    stage = Stage(warehouse.spark)
+    stage = stage or Stage(warehouse.spark)
     names = dimensions.department_names(fact, geography)
     departments = stage(dimensions.department_dimension(names), "dim_departamento")
     districts = stage(dimensions.backfill_department(geography, departments), "dim_geografia")
@@ -105,16 +114,16 @@ def load_departments(warehouse: Warehouse) -> DataFrame:
     return departments.withColumn("districts_without_department", unlinked)
 
 
-def _series(warehouse: Warehouse) -> DataFrame:
+def _series(warehouse: Warehouse, stage: Stage) -> DataFrame:
     fact = require_rows(warehouse.read("fact_atenciones"), "fact_atenciones")
     series = bl.department_series(
         fact, warehouse.read("dim_tiempo"), warehouse.read("dim_geografia")
     )
-    return Stage(warehouse.spark)(series, "series")
+    return stage(series, "series")
 
 
-def _fourier_forecast(series: DataFrame, names: DataFrame, s: Settings):
-    rows = Stage(series.sparkSession)(fourier.forecast_fourier(series, ENTITY, s), "fourier")
+def _fourier_forecast(series: DataFrame, names: DataFrame, s: Settings, stage: Stage):
+    rows = stage(fourier.forecast_fourier(series, ENTITY, s), "fourier")
     summary = (
         rows.select(ENTITY, "meses_estables", "mape_principal", "mape_recuperacion", "estado")
         .distinct()
@@ -131,9 +140,9 @@ def _fourier_forecast(series: DataFrame, names: DataFrame, s: Settings):
     return published, summary
 
 
-def _seasonal_forecast(series: DataFrame, names: DataFrame, s: Settings):
+def _seasonal_forecast(series: DataFrame, names: DataFrame, s: Settings, stage: Stage):
     gated = forecast.eligible(series, ENTITY, s)
-    summary = Stage(series.sparkSession)(
+    summary = stage(
         forecast.summary(
             series, names,
             forecast.backtest(gated, ENTITY, s), forecast.recovery(gated, ENTITY, s),
@@ -145,20 +154,25 @@ def _seasonal_forecast(series: DataFrame, names: DataFrame, s: Settings):
     return forecast.result_rows(published, summary, ENTITY), summary
 
 
-def run_forecast(warehouse: Warehouse, s: Settings, model: str = "fourier") -> DataFrame:
+def run_forecast(
+    warehouse: Warehouse, s: Settings, model: str = "fourier", stage: Stage | None = None
+) -> DataFrame:
     """Demand projection per department, replacing the earlier one. Models: fourier, seasonal."""
-    series, names = _series(warehouse), warehouse.read("dim_departamento")
+    stage = stage or Stage(warehouse.spark)
+    series, names = _series(warehouse, stage), warehouse.read("dim_departamento")
     build = {"fourier": _fourier_forecast, "seasonal": _seasonal_forecast}[model]
-    published, summary = build(series, names, s)
+    published, summary = build(series, names, s, stage)
     warehouse.replace({"resultado_proyeccion": stamped(published)})
     return summary
 
 
-def run_classification(warehouse: Warehouse, s: Settings) -> DataFrame:
+def run_classification(
+    warehouse: Warehouse, s: Settings, stage: Stage | None = None
+) -> DataFrame:
     """Saturation level of every projected month, replacing the earlier one."""
     projection = require_rows(warehouse.read("resultado_proyeccion"), "resultado_proyeccion")
-    series = _series(warehouse)
-    stage = Stage(warehouse.spark)
+    stage = stage or Stage(warehouse.spark)
+    series = _series(warehouse, stage)
     features = panel.panel_features(bl.saturation(series, ENTITY, "aten", s), ENTITY)
     train = stage(classify.training_set(features, s), "train")
     folded = stage(classify.stratified_folds(train, ENTITY, s), "folded")

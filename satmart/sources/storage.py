@@ -40,6 +40,10 @@ class Stage:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def clear(self) -> None:
+        """Remove the staged tables, once everything that reads them is done."""
+        remove(self.spark, self.root)
+
 
 def _path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -61,3 +65,8 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def touch(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _path(spark, path)
     fs.create(hadoop_path, False).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _path(spark, path)
+    fs.delete(hadoop_path, True)

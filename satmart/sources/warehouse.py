@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from satmart.sources.guards import MissingInputError
 from satmart.sources.schemas import CLUSTERING, LOAD_ORDER, SCHEMAS, conform
-from satmart.sources.storage import child_names, exists, touch
+from satmart.sources.storage import child_names, exists, remove, touch
 
 
 class Warehouse:
@@ -76,6 +76,16 @@ class Warehouse:
             rows = conform(rows, SCHEMAS[table])
         rows.write.mode("append").parquet(f"{self.root}/{table}/{version}")
 
+    def remove_old_versions(self) -> None:
+        """Free the space of unpublished versions, when no reader or writer is under way."""
+        current = self._current()
+        for table in child_names(self.spark, self.root):
+            folder = f"{self.root}/{table}"
+            if table in SCHEMAS or table in current:
+                for version in child_names(self.spark, folder):
+                    if version != current.get(table):
+                        remove(self.spark, f"{folder}/{version}")
+
     def _publish(self, versions: dict[str, str]) -> None:
         number = max((int(n) for n in child_names(self.spark, f"{self.root}/_releases")), default=0)
         for table, version in versions.items():

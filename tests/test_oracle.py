@@ -52,3 +52,36 @@ def test_known_counts(spark):
     assert {r.nivel: r.n for r in levels} == {
         "Bajo": 1113, "Normal": 560, "Alto": 291, "Critico": 94
     }
+
+
+def test_fourier_rows_keep_their_invariants(spark):
+    rows = QUERIES["forecast_fourier"](spark, SF).collect()
+    closed = QUERIES["forecast_seasonal"](spark, SF).collect()
+    months = {(r.codigo_departamento, r.mes_proyectado) for r in rows}
+    assert months == {(r.codigo_departamento, r.mes_proyectado) for r in closed}
+    for r in rows:
+        assert 0 <= r.limite_inferior_ic95 <= r.atenciones_proyectadas <= r.limite_superior_ic95
+        assert r.mape_validacion > 0
+
+
+def test_out_of_fold_covers_every_training_row_once(spark):
+    scored = QUERIES["sat_oof"](spark, SF).collect()
+    folded = QUERIES["stratified_folds"](spark, SF).collect()
+    key = ("codigo_departamento", "ds", "nivel", "fold")
+    assert sorted(tuple(r[k] for k in key) for r in scored) == sorted(
+        tuple(r[k] for k in key) for r in folded
+    )
+    assert {r.prediction for r in scored} <= {"Normal", "Saturado"}
+    hits = sum(r.nivel == r.prediction for r in scored)
+    assert hits / len(scored) > 0.5
+
+
+def test_classified_months_are_the_complete_projected_ones(spark):
+    rows = QUERIES["sat_classify"](spark, SF).collect()
+    spliced = QUERIES["splice_features"](spark, SF).collect()
+    assert {(r.codigo_departamento, r.mes_clasificado) for r in rows} == {
+        (r.codigo_departamento, r.ds) for r in spliced
+    }
+    assert {r.nivel_saturacion for r in rows} <= {"Normal", "Saturado"}
+    assert len({r.f1_score_validacion for r in rows}) == 1
+    assert 0 < rows[0].f1_score_validacion <= 100

@@ -103,6 +103,23 @@ def test_an_unfinished_release_is_not_seen(spark, frame, workdir):
     assert [r.x for r in house.read("a").collect()] == [2]
 
 
+def test_old_versions_can_be_removed(spark, frame, workdir):
+    house = Warehouse(spark, workdir)
+    for x in (1, 2, 3):
+        house.replace({"a": frame([(x,)], "x int")})
+    assert len(storage.child_names(spark, f"{workdir}/a")) == 3
+    house.remove_old_versions()
+    assert len(storage.child_names(spark, f"{workdir}/a")) == 1
+    assert [r.x for r in house.read("a").collect()] == [3]
+
+
+def test_stage_clears_its_tables(spark, frame):
+    stage = storage.Stage(spark)
+    assert stage(frame([(1,)], "x int"), "t").count() == 1
+    stage.clear()
+    assert not storage.exists(spark, stage.root)
+
+
 def test_a_table_can_be_rebuilt_from_itself(spark, frame, workdir):
     house = Warehouse(spark, workdir)
     house.replace({"a": frame([(1,)], "x int")})
