@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 # Executors get the helpers by value, so they need no copy of this package.
@@ -43,29 +44,40 @@ def slices(batch: pa.RecordBatch, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def over_texts(
+def over_batches(
     docs: DataFrame,
     carry: list[str],
     text: str,
-    measure: Callable[[bytes], tuple],
+    measure: Callable[[list[bytes]], list],
     fields: list[StructField],
 ) -> DataFrame:
-    """``row`` (the carried columns) and the fields that ``measure`` returns for each whole text."""
+    """``row`` (the carried columns) and the fields that ``measure`` returns for some whole texts."""
     source = docs.select(row_of(carry), text_bytes(text).alias("text"))
     schema = StructType([source.schema["row"], *fields])
-    types = [pa.float64() if f.dataType.typeName() == "double" else pa.int64() for f in fields]
+    types = [to_arrow_type(f.dataType) for f in fields]
     names = schema.names
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                found = list(zip(*map(measure, part.column(1).to_pylist())))
+                found = measure(part.column(1).to_pylist())
                 arrays = [pa.array(v, t) for v, t in zip(found, types)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=names)
 
     return source.mapInArrow(run, schema)
 
 
+def over_texts(
+    docs: DataFrame,
+    carry: list[str],
+    text: str,
+    measure: Callable[[bytes], tuple],
+    fields: list[StructField],
+) -> DataFrame:
+    """As ``over_batches``, for a function of one text."""
+    return over_batches(docs, carry, text, lambda texts: list(zip(*map(measure, texts))), fields)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit changes about half of the output bits."""
     x = x.astype(np.uint64, copy=True)
