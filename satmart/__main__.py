@@ -6,8 +6,9 @@ import argparse
 import json
 from datetime import date
 
+from pyspark.sql import SparkSession
+
 from satmart.plans import jobs
-from satmart.session import local_session
 from satmart.settings import Settings
 from satmart.sources.delimited import read_delimited
 from satmart.sources.guards import require
@@ -26,6 +27,11 @@ def _settings(path: str | None) -> Settings:
     return Settings(**fixed)
 
 
+def session() -> SparkSession:
+    """The session as it was submitted; master and settings are the cluster's."""
+    return SparkSession.builder.getOrCreate()
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="satmart", description=jobs.__doc__)
     parser.add_argument(
@@ -36,12 +42,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--attendance", help="delimited attendance extract (stage, load)")
     parser.add_argument("--registry", help="delimited facility registry (stage, load; optional)")
     parser.add_argument("--strict", action="store_true", help="stop under the valid rate (load)")
-    parser.add_argument("--model", choices=["fourier", "seasonal"], default="fourier")
     args = parser.parse_args(argv)
 
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession() or local_session()
+    spark = session()
     warehouse, s = Warehouse(spark, args.warehouse), _settings(args.settings)
     stage = Stage(spark)
     try:
@@ -67,7 +70,7 @@ def _run(args, spark, warehouse: Warehouse, s: Settings, stage: Stage):
     if args.job == "departments":
         return jobs.load_departments(warehouse, stage)
     if args.job == "forecast":
-        return jobs.run_forecast(warehouse, s, args.model, stage)
+        return jobs.run_forecast(warehouse, s, stage)
     return jobs.run_classification(warehouse, s, stage)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_WHOLE = r"\A[+-]?[0-9]+\z"
 _NUMBER = r"\A[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 
@@ -12,8 +13,10 @@ def lenient_long(c: Column) -> Column:
     """A number in text, truncated to a whole number; anything else is null.
 
     The pattern keeps out what the cast alone would accept, such as '1d', 'NaN' or 'Infinity'.
+    Whole numbers never pass through floating point, so they stay exact.
     """
-    return F.when(c.rlike(_NUMBER), c.try_cast("double").try_cast("bigint"))
+    rounded = F.when(c.rlike(_NUMBER), c.try_cast("double").try_cast("bigint"))
+    return F.when(c.rlike(_WHOLE), c.try_cast("bigint")).otherwise(rounded)
 
 
 def half_even(c: Column, places: int = 0) -> Column:

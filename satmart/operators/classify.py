@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -65,10 +67,18 @@ def encoder(rows: DataFrame, entity: str) -> PipelineModel:
     return Pipeline(stages=stages).fit(rows)
 
 
-def fit_forest(train: DataFrame, encode: PipelineModel, s: Settings):
-    """Forest on balanced class weights. The weights side has one row per class."""
+def assembled(train: DataFrame, encode: PipelineModel, s: Settings) -> DataFrame:
+    """Training rows with feature vector, label and balanced class weight.
+
+    The weights side has one row per class.
+    """
     weights = F.broadcast(class_weights(train).select("nivel", "weight"))
-    rows = encode.transform(train.join(weights, "nivel").withColumn("label", _label(s)))
+    return encode.transform(train.join(weights, "nivel").withColumn("label", _label(s)))
+
+
+def fit_forest(train: DataFrame, encode: PipelineModel, s: Settings):
+    """Forest on balanced class weights."""
+    rows = assembled(train, encode, s)
     forest = RandomForestClassifier(
         numTrees=s.trees, maxDepth=s.max_depth, seed=s.seed, weightCol="weight",
         minInstancesPerNode=1, maxMemoryInMB=1024,
@@ -85,36 +95,71 @@ def predict_level(model, encode: PipelineModel, rows: DataFrame, s: Settings) ->
     )
 
 
-def fit_forests(folded: DataFrame, encode: PipelineModel, s: Settings) -> dict:
-    """One forest per fold, fitted without that fold, and under None the forest on all rows.
+def folds_of(folded: DataFrame) -> list[int]:
+    """The folds, at most ``max_folds``."""
+    return [r.fold for r in folded.select("fold").distinct().orderBy("fold").collect()]
+
+
+def fit_forests(
+    folded: DataFrame, encode: PipelineModel, s: Settings, whole: bool = True
+) -> dict:
+    """One forest per fold, fitted without that fold, and with ``whole`` under None the forest
+    on all rows.
 
     There are at most ``max_folds`` + 1 fits. They run side by side, so a small training set
     does not leave the cluster idle. Each reads ``folded`` anew: hand in a written table.
     """
-    folds = [r.fold for r in folded.select("fold").distinct().orderBy("fold").collect()]
-
     def fit(left_out: int | None):
         kept = folded if left_out is None else folded.where(F.col("fold") != left_out)
         return fit_forest(kept, encode, s)
 
-    parts = [None, *folds]
+    parts = [*[None] * whole, *folds_of(folded)]
     with ThreadPool(len(parts)) as pool:
         models = pool.map(inheritable_thread_target(folded.sparkSession)(fit), parts)
     return dict(zip(parts, models))
 
 
 def out_of_fold(
-    folded: DataFrame, forests: dict, encode: PipelineModel, s: Settings
+    folded: DataFrame, predictors: dict[int | None, Callable[[DataFrame], DataFrame]]
 ) -> DataFrame:
-    """Every training row with the level predicted by the forest that did not see its fold."""
+    """Every training row with the level predicted by the predictor that did not see its fold.
+
+    A predictor adds ``predicted`` to rows; the one under None, fitted on all rows, is not used.
+    """
     result = None
-    for fold in [f for f in forests if f is not None]:
-        held_out = folded.where(F.col("fold") == fold)
-        part = predict_level(forests[fold], encode, held_out, s)
+    for fold, predict in predictors.items():
+        if fold is None:
+            continue
+        part = predict(folded.where(F.col("fold") == fold))
         result = part if result is None else result.unionByName(part)
     return result
 
 
+def forest_predictors(forests: dict, encode: PipelineModel, s: Settings) -> dict:
+    return {f: partial(predict_level, m, encode, s=s) for f, m in forests.items()}
+
+
+def majority_predictors(folded: DataFrame) -> dict:
+    """The plainest rival: per fold, the level that most rows of the other folds have.
+
+    Ties go to the first name. One row per fold and level comes to the driver.
+    """
+    counts = folded.groupBy("fold", "nivel").agg(F.count("*").alias("n")).collect()
+    predictors = {}
+    for fold in sorted({r.fold for r in counts}):
+        seen: dict[str, int] = {}
+        for r in counts:
+            if r.fold != fold:
+                seen[r.nivel] = seen.get(r.nivel, 0) + r.n
+        level_ = min(seen, key=lambda name: (-seen[name], name)) if seen else None
+        predictors[fold] = partial(_always, level_)
+    return predictors
+
+
+def _always(name: str | None, rows: DataFrame) -> DataFrame:
+    return rows.withColumn("predicted", F.lit(name).cast("string"))
+
+
 def class_report(scored: DataFrame, actual: str = "nivel", predicted: str = "predicted"):
     """(nivel, precision, recall, f1, support) per class; 0 where a score is undefined.
 
@@ -207,11 +252,8 @@ def persistence(train: DataFrame, s: Settings) -> DataFrame:
     return train.withColumn("predicted", level(F.col("ratio_lag1"), s.scheme, s))
 
 
-def classified(
-    model, encode: PipelineModel, features: DataFrame, f1_macro: Column, entity: str, s: Settings
-) -> DataFrame:
+def classified(scored: DataFrame, f1_macro: Column, entity: str) -> DataFrame:
     """Projected months with ratio, predicted level and the classifier's score."""
-    scored = predict_level(model, encode, complete(features), s)
     return scored.select(
         entity,
         F.col("ds").alias("mes_clasificado"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from satmart.functions.periods import month_name, period_start, semester
 from satmart.functions.text import empty_to_null, is_six_digits, normalize_name_exact
 from satmart.operators.ingest import GEOGRAPHY
+from satmart.settings import Settings
 
 
 def _first_by(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -56,14 +57,14 @@ def with_hash_key(df: DataFrame, key_name: str, natural_key: str) -> DataFrame:
     return df.select(F.xxhash64(natural_key).alias(key_name), *df.columns)
 
 
-def time_dimension(fact: DataFrame) -> DataFrame:
-    """One row per valid period found in the fact."""
+def time_dimension(fact: DataFrame, s: Settings) -> DataFrame:
+    """One row per valid period found in the fact, within the first and the last valid year."""
     day = F.col("fecha_inicio")
     periods = (
         fact.select("periodo")
         .distinct()
         .withColumn("fecha_inicio", period_start(F.col("periodo")))
-        .where(day.isNotNull())
+        .where(F.year(day).between(s.first_year, s.last_year))
     )
     rows = periods.select(
         F.col("periodo").cast("int").alias("periodo"),

@@ -120,8 +120,9 @@ def with_cutoffs(stable: DataFrame, entity: str, s: Settings) -> DataFrame:
 def backtest(gated: DataFrame, entity: str, s: Settings) -> DataFrame:
     """(entity, mape) of the rolling-origin backtest on the stable years.
 
-    Mean over horizons (days after the cutoff) of the mean error at that horizon. Undefined,
-    so null, when a scored actual is zero.
+    Errors are averaged over a rolling window of a tenth of the scored months, at least one,
+    that ends with a horizon (days after the cutoff); the score is the mean over the horizons
+    whose window is full. Undefined, so null, when a scored actual is zero.
     """
     stable = gated.where(F.col("anio").isin(*s.stable_years))
     rows = with_cutoffs(stable, entity, s)
@@ -130,11 +131,37 @@ def backtest(gated: DataFrame, entity: str, s: Settings) -> DataFrame:
     )
     error = F.try_divide(F.abs(F.col("y") - F.col("yhat")), F.abs("y"))
     by_horizon = scored.groupBy(entity, F.datediff("ds", "cutoff").alias("days")).agg(
-        F.avg(error).alias("error"), F.min(F.abs("y")).alias("least")
+        F.avg(error).alias("error"), F.count("*").alias("n"), F.min(F.abs("y")).alias("least")
     )
-    mape = F.avg("error") * 100
-    return by_horizon.groupBy(entity).agg(
-        F.when(F.min("least") >= _ZERO, mape).alias("mape")
+    rolled = rolling_means(by_horizon, entity, "days")
+    mape = F.avg("rolled") * 100
+    return rolled.groupBy(entity).agg(F.when(F.min("least") >= _ZERO, mape).alias("mape"))
+
+
+def rolling_means(by_horizon: DataFrame, entity: str, order: str) -> DataFrame:
+    """Adds ``rolled``: the mean over the last tenth of the rows up to each horizon.
+
+    Takes the mean ``error`` of ``n`` rows per horizon. A window may hold part of a horizon, which
+    then counts with its mean; before the window is full the result is null. Windows run over an
+    entity's horizons, which the calendar bounds: the error summed up to any row number is a broken
+    line through the horizons' ends, so the start of a window is looked up on that line.
+    """
+    own = W.partitionBy(entity)
+    upto = own.orderBy(order)
+    summed = by_horizon.withColumns({
+        "_rows": F.sum("n").over(upto),
+        "_sum": F.sum(F.col("error") * F.col("n")).over(upto),
+        "_window": F.greatest(F.lit(1), F.floor(F.sum("n").over(own) / 10)),
+    })
+    line = F.sort_array(F.collect_list(F.struct("_rows", "_sum", "n", "error")).over(own))
+    start = F.col("_rows") - F.col("_window")
+    # The first horizon that ends behind the window's start, less what lies behind the start.
+    at = F.element_at(F.filter("_line", lambda p: p["_rows"] > start), 1)
+    before = at["_sum"] - (at["_rows"] - start) * at["error"]
+    return (
+        summed.withColumn("_line", line)
+        .withColumn("rolled", F.when(start >= 0, (F.col("_sum") - before) / F.col("_window")))
+        .drop("_rows", "_sum", "_window", "_line")
     )
 
 
@@ -157,16 +184,25 @@ def summary(
     series: DataFrame, names: DataFrame, primary: DataFrame, recovered: DataFrame,
     entity: str, s: Settings,
 ) -> DataFrame:
-    """One row per entity: name (or its key), stable months, both scores and a state."""
+    """One row per entity: name (or its key), stable months, both scores and a state.
+
+    An entity without a score names the cause: no cutoff fits its months, or a scored month is zero.
+    """
     enough = F.col("meses_estables") >= s.min_stable
     state = (
-        F.when(~enough, "SIN_CV").when(F.col("mape_principal").isNull(), "ERROR").otherwise("OK")
+        F.when(~enough, "SIN_CV")
+        .when(F.col("mape_principal").isNotNull(), "OK")
+        .when(F.col("_scored"), "ERROR:ZERO_ACTUAL")
+        .otherwise("ERROR:NO_CUTOFF")
     )
     return (
         stable_months(series, entity, s)
         .join(names.select(entity, "nombre"), entity, "left")
         .join(
-            primary.select(entity, half_even(F.col("mape"), 2).alias("mape_principal")),
+            primary.select(
+                entity, half_even(F.col("mape"), 2).alias("mape_principal"),
+                F.lit(True).alias("_scored"),
+            ),
             entity, "left",
         )
         .join(

@@ -23,36 +23,56 @@ COLUMNS = {
 FACT_GRAIN = ["periodo", "nombre_centro", "especialidad", "ubigeo"]
 GEOGRAPHY = ["departamento", "provincia", "distrito"]
 OBSERVATION_GRAIN = FACT_GRAIN + ["red_asistencial"] + GEOGRAPHY
+OBSERVATION_SCHEMA = ", ".join(
+    [f"{name} string" for name in ["actividad", *OBSERVATION_GRAIN]]
+    + [f"{name} bigint" for name in ("cantidad", "n", "n_bad", "n_rows")]
+)
 
 
-def clean_attendance(raw: DataFrame, activity: str) -> DataFrame:
-    """Rows of one activity, trimmed, with normalised geo code and whole quantity (null if bad)."""
-    rows = trim_all(raw).where(F.col("DES_ACT") == activity)
+def cleaned(raw: DataFrame) -> DataFrame:
+    """Rows trimmed, with activity, normalised geo code and whole quantity (null if bad)."""
     renamed = [
         (normalize_geo_code(F.col(old)) if old == "UBIGEO" else F.col(old)).alias(new)
         for old, new in COLUMNS.items()
     ]
-    return rows.select(*renamed, lenient_long(F.col("CANTIDAD")).alias("cantidad"))
+    return trim_all(raw).select(
+        *renamed, F.col("DES_ACT").alias("actividad"),
+        lenient_long(F.col("CANTIDAD")).alias("cantidad"),
+    )
+
+
+def clean_attendance(raw: DataFrame, activity: str) -> DataFrame:
+    """Cleaned rows of one activity."""
+    return cleaned(raw).where(F.col("actividad") == activity).drop("actividad")
 
 
-def observations(clean: DataFrame) -> DataFrame:
+def observations(rows: DataFrame, activity: str) -> DataFrame:
     """Per grain and spelling: quantity, rows with a quantity (n) and rows without (n_bad).
 
+    Takes cleaned rows of every activity. Those of others shrink to one row per activity, with or
+    without specialty, and count in ``n_rows`` alone, for the profile of the whole extract.
     The fact, both dominant-value counts and the row counters are sums over this one aggregate,
     so the raw extract is cleaned once whatever is built from it. Counting the bad rows here
     and not in an observed metric keeps the counts right when lost tasks run again.
     """
-    return clean.groupBy(*OBSERVATION_GRAIN).agg(
-        F.sum("cantidad").alias("cantidad"),
-        F.count("cantidad").alias("n"),
-        F.count_if(F.col("cantidad").isNull()).alias("n_bad"),
+    own = F.col("actividad") == activity
+    blank = F.col("especialidad") == ""
+    grain = [
+        F.when(own | blank if c == "especialidad" else own, F.col(c)).alias(c)
+        for c in OBSERVATION_GRAIN
+    ]
+    return rows.groupBy("actividad", *grain).agg(
+        F.sum(F.when(own, F.col("cantidad"))).alias("cantidad"),
+        F.count(F.when(own, F.col("cantidad"))).alias("n"),
+        F.count_if(own & F.col("cantidad").isNull()).alias("n_bad"),
+        F.count("*").alias("n_rows"),
     )
 
 
 def merge_observations(parts: DataFrame) -> DataFrame:
     """Observations of several loads added up."""
-    sums = [F.sum(c).alias(c) for c in ("cantidad", "n", "n_bad")]
-    return parts.groupBy(*OBSERVATION_GRAIN).agg(*sums)
+    sums = [F.sum(c).alias(c) for c in ("cantidad", "n", "n_bad", "n_rows")]
+    return parts.groupBy("actividad", *OBSERVATION_GRAIN).agg(*sums)
 
 
 def fact_aggregate(rows: DataFrame) -> DataFrame:
@@ -65,10 +85,11 @@ def fact_aggregate(rows: DataFrame) -> DataFrame:
 
 
 def row_counts(observed: DataFrame) -> DataFrame:
-    """One row: rows of the activity, bad quantities among them, blank specialties among them."""
+    """One row: rows read, rows of the activity, bad quantities and blank specialties among them."""
     rows = F.col("n") + F.col("n_bad")
     blank = F.when(F.col("especialidad") == "", rows).otherwise(0)
     counts = {
+        "filas_leidas": F.col("n_rows"),
         "filas_consultas": rows, "cantidad_no_numerica": F.col("n_bad"), "especialidad_vacia": blank
     }
     return observed.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(k) for k, c in counts.items()])
@@ -80,7 +101,6 @@ def long_format(one_row: DataFrame) -> DataFrame:
 
 
 def ingest_profile(
-    raw: DataFrame,
     observed: DataFrame,
     fact: DataFrame,
     time: DataFrame,
@@ -90,7 +110,6 @@ def ingest_profile(
 ) -> DataFrame:
     """The extract's profile as (metric, value)."""
     parts = [
-        raw.agg(F.count("*").alias("filas_leidas")),
         row_counts(observed),
         fact.agg(
             F.count("*").alias("filas_hecho"),
@@ -114,15 +133,12 @@ def ingest_profile(
     return report
 
 
-def activity_counts(raw: DataFrame) -> DataFrame:
+def activity_counts(observed: DataFrame) -> DataFrame:
     """Rows per activity and, among them, rows without specialty."""
+    blank = F.when(F.col("especialidad") == "", F.col("n_rows")).otherwise(0)
     return (
-        trim_all(raw)
-        .groupBy(F.col("DES_ACT").alias("des_act"))
-        .agg(
-            F.count("*").alias("n"),
-            F.count_if(F.col("DES_SER") == "").alias("n_blank_specialty"),
-        )
+        observed.groupBy(F.col("actividad").alias("des_act"))
+        .agg(F.sum("n_rows").alias("n"), F.sum(blank).alias("n_blank_specialty"))
         .orderBy(F.desc("n"), "des_act")
     )
 

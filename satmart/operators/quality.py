@@ -64,15 +64,33 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return result
 
 
-def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union(
-        [
-            unique_violations(tables[t], t, [key])
-            for t, keys in UNIQUE_KEYS.items()
-            if t in tables
-            for key in keys
-        ]
+def unique_in_one_pass(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """Repeated values of each single-column key, from one scan and one shuffle of the table."""
+    values = F.explode(
+        F.array(*[
+            F.struct(F.lit(k).alias("check_column"), F.col(k).cast("string").alias("value"))
+            for k in keys
+        ])
+    ).alias("key")
+    counted = df.select(values).select("key.*").groupBy("check_column", "value").agg(
+        F.count("*").alias("n")
     )
+    repeated = {k: (F.col("check_column") == k) & (F.col("n") > 1) for k in keys}
+    return _one_pass(counted, table, repeated)
+
+
+def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
+    """Declared keys; a key of several columns is checked on its own."""
+    parts = []
+    for table, keys in UNIQUE_KEYS.items():
+        if table in tables:
+            single = [k for k in keys if "," not in k]
+            if single:
+                parts.append(unique_in_one_pass(tables[table], table, single))
+            parts += [
+                unique_violations(tables[table], table, k.split(",")) for k in keys if "," in k
+            ]
+    return _union(parts)
 
 
 def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _BUCKET = 1 << 20  # distinct values one second-pass task may hold
+_CLASSES = 256  # groups whose range counts are broadcast: a class column, never an entity
 
 
 def exact_quantiles(
@@ -26,15 +27,23 @@ def exact_quantiles(
         .groupBy(F.bround(F.col(column) * unit).cast("bigint").alias("v"))
         .agg(F.count("*").alias("n"))
     )
-    by_range = W.orderBy("bucket")
+    # Ranges are added up in wide ranges of 2^20 each, wide ranges among themselves: 64-bit values
+    # have fewer than 2^24 wide ranges, so neither window grows with the rows or their spread.
+    in_wide = W.partitionBy("wide").orderBy("bucket")
+    by_range = counted.groupBy(
+        F.floor(F.col("v") / _BUCKET).alias("bucket"),
+        F.floor(F.col("v") / (_BUCKET * _BUCKET)).alias("wide"),
+    ).agg(F.sum("n").alias("n"))
+    wides = by_range.groupBy("wide").agg(F.sum("n").alias("in_wide")).select(
+        "wide",
+        (F.sum("in_wide").over(W.orderBy("wide")) - F.col("in_wide")).alias("wide_before"),
+        F.sum("in_wide").over(W.partitionBy()).alias("total"),
+    )
     ranges = (
-        counted.groupBy(F.floor(F.col("v") / _BUCKET).alias("bucket"))
-        .agg(F.sum("n").alias("n"))
+        by_range.withColumn("inside", F.sum("n").over(in_wide) - F.col("n"))
+        .join(wides, "wide")
         .select(
-            "bucket",
-            "n",
-            (F.sum("n").over(by_range) - F.col("n")).alias("before"),
-            F.sum("n").over(W.partitionBy()).alias("total"),
+            "bucket", "n", (F.col("wide_before") + F.col("inside")).alias("before"), "total"
         )
         .withColumn("probability", F.explode(F.array(*map(F.lit, probabilities))))
         .withColumn("position", F.col("probability") * (F.col("total") - 1))
@@ -82,6 +91,9 @@ def position_by_digest(
     hold most of the table, so it is cut into 16^digits even ranges of the digest; rows are
     numbered inside a range and shifted by the counts of the ranges before it.
     """
+    classes = df.select(group).distinct().limit(_CLASSES + 1).count()
+    if classes > _CLASSES:
+        raise ValueError(f"{group} has over {_CLASSES} values; it must be a class")
     keyed = df.withColumn("_digest", digest).withColumn(
         "_range", F.substring("_digest", 1, digits)
     )

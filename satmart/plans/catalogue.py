@@ -5,43 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satmart.functions.levels import DOMAINS, level
-from satmart.functions.text import is_six_digits, normalize_geo_code, normalize_name, trim_ws
+from satmart.functions.text import is_six_digits, normalize_geo_code, normalize_name_exact, trim_ws
 from satmart.operators import baseline as bl
-from satmart.operators import classify, dimensions, facts, forecast, fourier, ingest, panel
+from satmart.operators import classify, dimensions, facts, forecast, ingest, panel
 from satmart.operators import quality, registry
 from satmart.plans.roles import (
     ROLE_SETTINGS,
     TABLES,
     attendance_of,
+    dirty_attendance,
     documents,
     raw_attendance,
     raw_registry,
     table,
 )
+from satmart.plans import jobs
 from satmart.plans.star import DEPARTMENT, Star
-from satmart.sources.storage import Stage, exists
-from satmart.streaming.ingest import ingest_new_files, merged_observations
+from satmart.sources.delimited import read_delimited, write_delimited
+from satmart.sources.storage import Stage, exists, fingerprint
+from satmart.sources.warehouse import Warehouse
+from satmart.streaming.ingest import compact, ingest_new_files, merged_observations
 
 S = ROLE_SETTINGS
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-_stars: dict[tuple[str, str], Star] = {}
+_stars: dict[tuple, Star] = {}
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
+def star(spark: SparkSession, sf_dir: str, view=raw_attendance) -> Star:
     """The star over one data folder, loaded once per application and then queried.
 
-    Loaded anew when its staged tables are gone from the shared folder.
+    Loaded anew when the line items under that name have changed, or when its staged tables are
+    gone from the shared folder.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    lines = fingerprint(spark, f"{sf_dir}/lineitem.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, lines, view.__name__)
     if key not in _stars or not exists(spark, _stars[key].stage.root):
-        attendance, known = raw_attendance(spark, sf_dir), raw_registry(spark, sf_dir)
-        _stars[key] = Star(attendance, known, S, Stage(spark))
+        _stars[key] = Star(view(spark, sf_dir), raw_registry(spark, sf_dir), S, Stage(spark))
     return _stars[key]
 
 
@@ -55,6 +61,12 @@ def on_star(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
     return build
 
 
+def on_dirty_star(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
+    """For checks: the star over attendance with faults put in."""
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(star(spark, sf_dir, dirty_attendance))
+    return build
+
+
 def _r(name: str, places: int = 6) -> Column:
     """Floating results to a fixed place, so summation order does not show."""
     return F.round(F.col(name), places).alias(name)
@@ -79,23 +91,24 @@ def fact_aggregate(spark, sf_dir):
 @query
 def stream_fact_aggregate(spark, sf_dir):
     """The same fact from line items that arrive as a file stream."""
-    lines = (
-        spark.readStream.schema(TABLES["lineitem"])
-        .option("pathGlobFilter", "lineitem.parquet")
-        .parquet(sf_dir)
-    )
+    # Named by a pattern, since a stream's plain path must be a folder and a table may be one file.
+    lines = spark.readStream.schema(TABLES["lineitem"]).parquet(f"{sf_dir}/lineitem.parque[t]")
     root = Stage(spark).root
     run = ingest_new_files(
         attendance_of(lines, spark, sf_dir), S.activity, f"{root}/partials", f"{root}/checkpoint"
     )
     run.awaitTermination()
+    compact(spark, f"{root}/partials")
     return ingest.fact_aggregate(merged_observations(spark, f"{root}/partials"))
 
 
 @query
 def name_norm(spark, sf_dir):
+    """Whole texts by the exact rule; every 97th gets letters that expand and rare blanks."""
+    extra = F.when(F.col("doc_id") % 97 == 0, F.lit(" \u00a0ﬁnal½\u2003ﬀ Ⅷ "))
+    text = F.concat(F.coalesce("text", F.lit("")), F.coalesce(extra, F.lit("")))
     return documents(spark, sf_dir).select(
-        "doc_id", normalize_name(F.col("text")).alias("text_norm")
+        "doc_id", normalize_name_exact(text).alias("text_norm")
     )
 
 
@@ -111,14 +124,13 @@ def geo_code_norm(spark, sf_dir):
 def ingest_profile(m):
     m.load_dimensions()
     return ingest.ingest_profile(
-        m.attendance, m.observations, m.aggregate, m.time, m.specialties, m.facilities,
-        m.geography,
+        m.observations, m.aggregate, m.time, m.specialties, m.facilities, m.geography
     )
 
 
-@query
-def activity_counts(spark, sf_dir):
-    return ingest.activity_counts(raw_attendance(spark, sf_dir))
+@on_star
+def activity_counts(m):
+    return ingest.activity_counts(m.observations)
 
 
 @query
@@ -128,6 +140,35 @@ def specialty_top(spark, sf_dir):
     return ingest.value_counts(clean, "especialidad", top=5)
 
 
+# Through the sources
+
+
+@query
+def delimited_fact(spark, sf_dir):
+    """The fact from attendance written as delimited text and read back."""
+    path = f"{Stage(spark).root}/attendance"
+    write_delimited(raw_attendance(spark, sf_dir), path)
+    raw = read_delimited(spark, path)
+    return ingest.fact_aggregate(ingest.clean_attendance(raw, S.activity))
+
+
+@query
+def published_fact(spark, sf_dir):
+    """The fact under its natural keys, read from a warehouse that the load job published."""
+    house = Warehouse(spark, f"{Stage(spark).root}/warehouse")
+    jobs.load_star(raw_attendance(spark, sf_dir), raw_registry(spark, sf_dir), house, S)
+    facilities = house.read("dim_establecimiento").select("id_establecimiento", "nombre_centro")
+    return (
+        house.read("fact_atenciones")
+        .join(house.read("dim_tiempo"), "id_tiempo")
+        .join(facilities, "id_establecimiento")
+        .join(house.read("dim_especialidad"), "id_especialidad")
+        .join(house.read("dim_geografia"), "id_geografia")
+        .select(F.col("periodo").cast("string").alias("periodo"), "nombre_centro",
+                "especialidad", "ubigeo", "cantidad_atenciones")
+    )
+
+
 # Dimensions
 
 
@@ -224,7 +265,7 @@ def fact_quarantine(m):
     return facts.rejected(m.resolved).select(*ingest.FACT_GRAIN, "reason")
 
 
-@on_star
+@on_dirty_star
 def quarantine_reasons(m):
     return facts.reject_reasons(m.resolved)
 
@@ -362,10 +403,16 @@ def panel_features(m):
 # Quality
 
 
-@on_star
+@on_dirty_star
 def dq_unique(m):
-    grain = quality.unique_violations(m.aggregate, "fact_atenciones", ingest.FACT_GRAIN)
-    return quality.check_unique(_tables(m)).unionByName(grain)
+    """The declared keys, and those of the registry and the candidate geographies before repair."""
+    known = registry.registry_geography(m.registry)
+    return (
+        quality.check_unique(_tables(m))
+        .unionByName(quality.unique_in_one_pass(
+            m.registry, "registro_activo", ["cod_ipress", "nombre_norm"]))
+        .unionByName(quality.unique_violations(known, "geografia_registro", ["ubigeo"]))
+    )
 
 
 def _tables(m: Star) -> dict[str, DataFrame]:
@@ -379,12 +426,25 @@ def _tables(m: Star) -> dict[str, DataFrame]:
     }
 
 
-@on_star
+@on_dirty_star
 def dq_foreign_key(m):
-    return quality.check_foreign_keys(_tables(m))
+    """The declared links, and the natural keys of the fact before they were resolved."""
+    tables = _tables(m)
+    unresolved = m.aggregate.withColumn("periodo", F.col("periodo").try_cast("int"))
+    parts = [
+        quality.foreign_key_violations(unresolved, tables[parent], "fact_agregado", column)
+        for column, parent in (
+            ("periodo", "dim_tiempo"), ("nombre_centro", "dim_establecimiento"),
+            ("especialidad", "dim_especialidad"), ("ubigeo", "dim_geografia"),
+        )
+    ]
+    result = quality.check_foreign_keys(tables)
+    for part in parts:
+        result = result.unionByName(part)
+    return result
 
 
-@on_star
+@on_dirty_star
 def dq_not_null(m):
     """The declared rules, on the fact before its split so that the failures show."""
     return quality.check_not_null(_tables(m) | {"fact_atenciones": m.resolved})
@@ -401,7 +461,7 @@ def dq_domain(m):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@on_star
+@on_dirty_star
 def dq_length(m):
     return quality.check_lengths(_tables(m))
 
@@ -460,12 +520,10 @@ def splice_dropped(m):
 
 
 @on_star
-def forecast_fourier(m):
-    rows = fourier.forecast_fourier(m.department_series, DEPARTMENT, S)
-    return rows.where(F.col("estado") == "OK").select(
-        DEPARTMENT, "mes_proyectado", "atenciones_proyectadas", "limite_inferior_ic95",
-        "limite_superior_ic95", F.col("mape_principal").alias("mape_validacion"),
-    )
+def backtest_long_era(m):
+    """A backtest with cutoffs a month apart: enough scored months that a window spans several."""
+    scores = forecast.backtest(m.gated_series, DEPARTMENT, replace(S, cv_period_days=31))
+    return scores.select(DEPARTMENT, _r("mape", 4))
 
 
 # Classification
@@ -479,8 +537,28 @@ def class_weights(m):
 
 @on_star
 def stratified_folds(m):
-    folded = classify.stratified_folds(classify.training_set(m.features, S), DEPARTMENT, S)
-    return folded.select(DEPARTMENT, "ds", "nivel", "fold")
+    return m.folded.select(DEPARTMENT, "ds", "nivel", "fold")
+
+
+def _encoder(m: Star):
+    return classify.encoder(m.department_series.select(DEPARTMENT).distinct(), DEPARTMENT)
+
+
+@on_star
+def class_vectors(m):
+    """The classifier's input: each feature of the vector, the entity's place in it, label, weight."""
+    rows = classify.assembled(classify.training_set(m.features, S), _encoder(m), S)
+    vector = vector_to_array("features")
+    n = len(classify.FEATURES)
+    rest = F.slice(vector, n + 1, F.size(vector) - n)
+    return rows.select(
+        DEPARTMENT, "ds", "nivel", "label", _r("weight"),
+        *[F.round(F.get(vector, F.lit(i)), 6).alias(f"x_{name}")
+          for i, name in enumerate(classify.FEATURES)],
+        F.array_position(rest, 1.0).alias("entity_at"),
+        F.size(vector).cast("bigint").alias("n_features"),
+        F.aggregate(rest, F.lit(0.0), lambda a, x: a + x).alias("entity_sum"),
+    )
 
 
 def _persistence_report(m: Star) -> DataFrame:
@@ -506,16 +584,26 @@ def class_report(m):
     return whole.select("nivel", _r("precision"), _r("recall"), _r("f1"), "support")
 
 
-def _folded(m: Star) -> DataFrame:
-    folded = classify.stratified_folds(classify.training_set(m.features, S), DEPARTMENT, S)
-    return Stage(m.stage.spark)(folded, "folded")
+@on_star
+def oof_majority(m):
+    """Out-of-fold rows of the plainest predictor, so that the folds' plumbing can be checked."""
+    scored = classify.out_of_fold(m.folded, classify.majority_predictors(m.folded))
+    return scored.select(DEPARTMENT, "ds", "nivel", F.col("predicted").alias("prediction"), "fold")
+
+
+@on_star
+def publish_persistence(m):
+    """The published shape of a classification, with last month's level as the predictor."""
+    f1 = classify.f1_scores(_persistence_report(m)).select("f1_macro").scalar()
+    scored = classify.persistence(panel.complete(m.spliced), S)
+    return classify.classified(scored, f1, DEPARTMENT)
 
 
 @on_star
 def sat_oof(m):
-    folded = _folded(m)
-    encode = classify.encoder(folded, DEPARTMENT)
-    scored = classify.out_of_fold(folded, classify.fit_forests(folded, encode, S), encode, S)
+    encode = _encoder(m)
+    forests = classify.fit_forests(m.folded, encode, S, whole=False)
+    scored = classify.out_of_fold(m.folded, classify.forest_predictors(forests, encode, S))
     return scored.select(
         DEPARTMENT, "ds", "nivel", F.col("predicted").alias("prediction"), "fold"
     )
@@ -523,9 +611,9 @@ def sat_oof(m):
 
 @on_star
 def sat_classify(m):
-    folded = _folded(m)
-    encode = classify.encoder(folded, DEPARTMENT)
-    forests = classify.fit_forests(folded, encode, S)
-    scored = classify.out_of_fold(folded, forests, encode, S)
+    encode = _encoder(m)
+    predictors = classify.forest_predictors(
+        classify.fit_forests(m.folded, encode, S), encode, S)
+    scored = classify.out_of_fold(m.folded, predictors)
     f1 = classify.f1_scores(classify.class_report(scored)).select("f1_macro").scalar()
-    return classify.classified(forests[None], encode, m.spliced, f1, DEPARTMENT, S)
+    return classify.classified(predictors[None](panel.complete(m.spliced)), f1, DEPARTMENT)

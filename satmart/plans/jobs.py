@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from satmart.functions.levels import DOMAINS
 from satmart.operators import baseline as bl
-from satmart.operators import classify, dimensions, facts, forecast, fourier, panel, quality
+from satmart.operators import classify, dimensions, facts, forecast, ingest, panel, quality
 from satmart.operators import registry
 from satmart.plans.star import Star
 from satmart.settings import Settings
 from satmart.sources.delimited import write_delimited
 from satmart.sources.guards import require_rows
 from satmart.sources.storage import Stage
-from satmart.sources.warehouse import Warehouse, stamped, write_quarantine
+from satmart.sources.warehouse import Warehouse, stamped
 
 ENTITY = "id_departamento"
 RESULTS = ("resultado_proyeccion", "resultado_clasificacion")
@@ -32,9 +32,11 @@ def load_star(
     strict: bool = False,
     stage: Stage | None = None,
 ) -> DataFrame:
-    """Dimensions and fact from the raw extracts; rejected rows go to the quarantine folder.
+    """Dimensions, fact and quarantine (``fact_cuarentena``) from the raw extracts.
 
     Replaces the whole star at once and drops the results that were computed from the old one.
+    Returns (section, metric, value): the profiles of both extracts, with a warning where the
+    registry has not the expected size, the match rate, failures per key and the valid rate.
     A dimension that breaks a declared rule (a repeated key, a null, a text over its width)
     raises and nothing is published.
     With ``strict`` a valid rate under the limit raises and nothing is published.
@@ -43,7 +45,6 @@ def load_star(
     require_rows(star.counted, "the cleaned attendance")
     if strict:
         facts.require_valid_rate(star.resolved, s.valid_rate)
-    write_quarantine(facts.rejected(star.resolved), f"{warehouse.root}/quarantine")
     dimension_tables = {
         "dim_geografia": star.geography,
         "dim_tiempo": star.time,
@@ -51,10 +52,47 @@ def load_star(
         "dim_establecimiento": star.facilities,
     }
     quality.enforce(quality.check_declared(dimension_tables))
-    warehouse.replace(
-        dimension_tables | {"fact_atenciones": star.fact}, drop=("dim_departamento", *RESULTS)
-    )
-    return facts.valid_rate(star.resolved, s.valid_rate)
+    published = dimension_tables | {
+        "fact_atenciones": star.fact, "fact_cuarentena": facts.rejected(star.resolved)
+    }
+    warehouse.replace(published, drop=("dim_departamento", *RESULTS))
+    return _load_report(star, s)
+
+
+def _load_report(star: Star, s: Settings) -> DataFrame:
+    repeated = quality.check_unique({"fact_atenciones": star.fact})
+    parts = {
+        "atenciones": ingest.ingest_profile(
+            star.observations, star.aggregate, star.time, star.specialties, star.facilities,
+            star.geography,
+        ),
+        "cruce": ingest.long_format(_as_doubles(dimensions.match_rate(star.facilities))),
+        "claves_fallidas": facts.reject_reasons(star.resolved),
+        "carga": ingest.long_format(_as_doubles(facts.valid_rate(star.resolved, s.valid_rate))),
+        "grano_repetido": repeated.select("check_column", "n_violations"),
+    }
+    if star.raw_registry is not None:
+        profile = registry.registry_profile(star.raw_registry, s)
+        warning = profile.where("NOT ok").select("metric", F.col("value") - F.col("expected"))
+        parts |= {"registro": profile.select("metric", "value"), "registro_inesperado": warning}
+    return sections(parts)
+
+
+def _as_doubles(one_row: DataFrame) -> DataFrame:
+    return one_row.select([F.col(c).cast("double").alias(c) for c in one_row.columns])
+
+
+def sections(parts: dict[str, DataFrame]) -> DataFrame:
+    """(section, metric, value) from reports whose two columns are a name and a number."""
+    result = None
+    for section, part in parts.items():
+        name, value = part.columns
+        rows = part.select(
+            F.lit(section).alias("section"), F.col(f"`{name}`").alias("metric"),
+            F.col(f"`{value}`").cast("double").alias("value"),
+        )
+        result = rows if result is None else result.unionAll(rows)
+    return result
 
 
 def export_staging(
@@ -85,7 +123,10 @@ def export_staging(
 def compute_baseline(
     warehouse: Warehouse, s: Settings, stage: Stage | None = None
 ) -> DataFrame:
-    """Operating baseline of every facility, written into its dimension."""
+    """Operating baseline of every facility, written into its dimension.
+
+    Returns (section, metric, value): how the baselines are spread, and who has none.
+    """
     fact = require_rows(warehouse.read("fact_atenciones"), "fact_atenciones")
     entity = "id_establecimiento"
     monthly = bl.monthly_totals(fact, warehouse.read("dim_tiempo"), entity)
@@ -96,7 +137,10 @@ def compute_baseline(
     facilities = warehouse.read("dim_establecimiento")
     updated = bl.apply_baseline(facilities, computed, entity)
     warehouse.replace({"dim_establecimiento": updated})
-    return bl.distribution(computed, "linea_base")
+    return sections({
+        "distribucion": ingest.long_format(_as_doubles(bl.distribution(computed, "linea_base"))),
+        "cobertura": ingest.long_format(bl.coverage(computed)),
+    })
 
 
 def load_departments(warehouse: Warehouse, stage: Stage | None = None) -> DataFrame:
@@ -122,25 +166,12 @@ def _series(warehouse: Warehouse, stage: Stage) -> DataFrame:
     return stage(series, "series")
 
 
-def _fourier_forecast(series: DataFrame, names: DataFrame, s: Settings, stage: Stage):
-    rows = stage(fourier.forecast_fourier(series, ENTITY, s), "fourier")
-    summary = (
-        rows.select(ENTITY, "meses_estables", "mape_principal", "mape_recuperacion", "estado")
-        .distinct()
-        .join(names.select(ENTITY, "nombre"), ENTITY, "left")
-        .select(
-            ENTITY,
-            F.coalesce("nombre", F.col(ENTITY).cast("string")).alias("departamento"),
-            "meses_estables", "mape_principal", "mape_recuperacion", "estado",
-        )
-    )
-    published = rows.where(F.col("estado") == "OK").withColumn(
-        "mape_validacion", F.col("mape_principal")
-    )
-    return published, summary
-
-
-def _seasonal_forecast(series: DataFrame, names: DataFrame, s: Settings, stage: Stage):
+def run_forecast(
+    warehouse: Warehouse, s: Settings, stage: Stage | None = None
+) -> DataFrame:
+    """Demand projection per department, replacing the earlier one; returns the run's summary."""
+    stage = stage or Stage(warehouse.spark)
+    series, names = _series(warehouse, stage), warehouse.read("dim_departamento")
     gated = forecast.eligible(series, ENTITY, s)
     summary = stage(
         forecast.summary(
@@ -151,25 +182,19 @@ def _seasonal_forecast(series: DataFrame, names: DataFrame, s: Settings, stage:
         "summary",
     )
     published = forecast.published_forecast(forecast.forecast(gated, ENTITY, s), ENTITY)
-    return forecast.result_rows(published, summary, ENTITY), summary
-
-
-def run_forecast(
-    warehouse: Warehouse, s: Settings, model: str = "fourier", stage: Stage | None = None
-) -> DataFrame:
-    """Demand projection per department, replacing the earlier one. Models: fourier, seasonal."""
-    stage = stage or Stage(warehouse.spark)
-    series, names = _series(warehouse, stage), warehouse.read("dim_departamento")
-    build = {"fourier": _fourier_forecast, "seasonal": _seasonal_forecast}[model]
-    published, summary = build(series, names, s, stage)
-    warehouse.replace({"resultado_proyeccion": stamped(published)})
+    rows = forecast.result_rows(published, summary, ENTITY)
+    warehouse.replace({"resultado_proyeccion": stamped(rows)})
     return summary
 
 
 def run_classification(
     warehouse: Warehouse, s: Settings, stage: Stage | None = None
 ) -> DataFrame:
-    """Saturation level of every projected month, replacing the earlier one."""
+    """Saturation level of every projected month, replacing the earlier one.
+
+    Returns (section, metric, value): scores per class and on average, folds, projected months kept
+    and dropped for missing lags, and months per published level.
+    """
     projection = require_rows(warehouse.read("resultado_proyeccion"), "resultado_proyeccion")
     stage = stage or Stage(warehouse.spark)
     series = _series(warehouse, stage)
@@ -177,8 +202,8 @@ def run_classification(
     train = stage(classify.training_set(features, s), "train")
     folded = stage(classify.stratified_folds(train, ENTITY, s), "folded")
     encode = classify.encoder(series.select(ENTITY).distinct(), ENTITY)
-    forests = classify.fit_forests(folded, encode, s)
-    scored = classify.out_of_fold(folded, forests, encode, s)
+    predictors = classify.forest_predictors(classify.fit_forests(folded, encode, s), encode, s)
+    scored = classify.out_of_fold(folded, predictors)
     report = stage(classify.class_report(scored), "report")
     spliced = panel.splice_features(
         series,
@@ -190,7 +215,8 @@ def run_classification(
     )
     score = classify.f1_scores(report).select("f1_macro").scalar()
     result = stage(
-        classify.classified(forests[None], encode, spliced, score, ENTITY, s), "classified"
+        classify.classified(predictors[None](panel.complete(spliced)), score, ENTITY),
+        "classified",
     )
     quality.enforce(
         quality.domain_violations(
@@ -198,4 +224,11 @@ def run_classification(
         )
     )
     warehouse.replace({"resultado_clasificacion": stamped(result)})
-    return report.unionByName(classify.report_averages(report))
+    whole = report.unionByName(classify.report_averages(report))
+    scores = [c for c in whole.columns if c != "nivel"]
+    return sections({
+        **{c: whole.select("nivel", c) for c in scores},
+        "pliegues": folded.groupBy(F.col("fold").cast("string").alias("fold")).count(),
+        "proyectados": ingest.long_format(panel.dropped_counts(spliced)),
+        "niveles": result.groupBy("nivel_saturacion").count(),
+    })

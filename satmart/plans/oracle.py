@@ -26,6 +26,24 @@ _STEPS: dict[str, str] = {
                CAST((n_nationkey + 1) * 10000 + s_suppkey % 100 AS VARCHAR) AS UBIGEO
         FROM lineitem JOIN part ON l_partkey = p_partkey
         JOIN facility_rows ON l_suppkey = s_suppkey""",
+    "dirty_attendance": """
+        SELECT CASE l_orderkey % 97 WHEN 0 THEN '199513'
+                    WHEN 1 THEN '0' || strftime(l_shipdate, '%Y%m') WHEN 2 THEN '000101'
+                    ELSE strftime(l_shipdate, '%Y%m') END AS PERIODO,
+               'Red ' || l_returnflag AS SES_DESRED,
+               '  ' || s_name || ' ' || CASE WHEN s_suppkey % 17 = 0
+                    THEN repeat('anexo ', 30) || 'z' ELSE '' END AS SES_DESCAS,
+               CASE WHEN l_linestatus = 'F' THEN 'Consultas' ELSE 'Procedimientos' END AS DES_ACT,
+               CASE WHEN l_linenumber = 7 THEN '' ELSE p_type END
+                   || CASE WHEN l_orderkey % 83 = 0 THEN repeat('x', 60) ELSE '' END AS DES_SER,
+               CASE WHEN l_linenumber = 6 AND l_returnflag = 'A' THEN 'S/D'
+                    ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS CANTIDAD,
+               n_name AS DEPARTAMENTO, r_name AS PROVINCIA,
+               'D' || CAST(s_suppkey % 100 AS VARCHAR) AS DISTRITO,
+               CASE l_orderkey % 89 WHEN 0 THEN 'X' WHEN 1 THEN '1234567'
+                    ELSE CAST((n_nationkey + 1) * 10000 + s_suppkey % 100 AS VARCHAR) END AS UBIGEO
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+        JOIN facility_rows ON l_suppkey = s_suppkey""",
     "raw_registry": """
         SELECT prefix || lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS COD_IPRESS,
                CASE WHEN s_suppkey % 5 = 0 THEN 'Otro ' || s_name
@@ -51,7 +69,9 @@ _STEPS: dict[str, str] = {
                     ELSE code END AS ubigeo,
                trim(DEPARTAMENTO) AS departamento, trim(PROVINCIA) AS provincia,
                trim(DISTRITO) AS distrito,
-               CAST(trunc(TRY_CAST(trim(CANTIDAD) AS DOUBLE)) AS BIGINT) AS cantidad
+               CASE WHEN regexp_full_match(trim(CANTIDAD), '[+-]?[0-9]+')
+                    THEN TRY_CAST(trim(CANTIDAD) AS BIGINT)
+                    ELSE CAST(trunc(TRY_CAST(trim(CANTIDAD) AS DOUBLE)) AS BIGINT) END AS cantidad
         FROM (SELECT *, regexp_replace(UBIGEO, '[^0-9]', '', 'g') AS code FROM raw_attendance)
         WHERE trim(DES_ACT) = 'Consultas'""",
     "fact": """
@@ -118,7 +138,7 @@ _STEPS: dict[str, str] = {
         FROM (SELECT DISTINCT CAST(periodo AS INTEGER) AS periodo,
                      CAST(try_strptime(periodo || '01', '%Y%m%d') AS DATE) AS d
               FROM fact WHERE regexp_full_match(periodo, '[0-9]{6}'))
-        WHERE d IS NOT NULL""",
+        WHERE year(d) BETWEEN 1990 AND 2050""",
     "specialties": """
         SELECT DISTINCT especialidad, CAST(NULL AS VARCHAR) AS area
         FROM fact WHERE especialidad <> ''""",
@@ -264,11 +284,23 @@ _STEPS: dict[str, str] = {
         LEFT JOIN cut_season z ON z.codigo_departamento = c.codigo_departamento
                               AND z.cutoff = c.cutoff AND z.m = g.m
         WHERE anio BETWEEN 1995 AND 1998 AND ds > c.cutoff AND ds <= c.cutoff + 183""",
+    "horizons": """
+        SELECT *, sum(n) OVER (PARTITION BY codigo_departamento ORDER BY days) AS upto,
+               greatest(1, floor(sum(n) OVER (PARTITION BY codigo_departamento) / 10)) AS w
+        FROM (SELECT codigo_departamento, days, avg(error) AS error, min(abs(y)) AS least_y,
+                     count(*) AS n
+              FROM cut_error GROUP BY ALL)""",
     "primary_score": """
         SELECT codigo_departamento,
                CASE WHEN min(least_y) >= 1e-8 THEN avg(error) * 100 END AS mape
-        FROM (SELECT codigo_departamento, days, avg(error) AS error, min(abs(y)) AS least_y
-              FROM cut_error GROUP BY ALL)
+        FROM (SELECT h.codigo_departamento, h.days, any_value(h.least_y) AS least_y,
+                     -- rows h.upto - w + 1 .. h.upto, each with the mean of its horizon
+                     CASE WHEN any_value(h.upto) >= any_value(h.w) THEN
+                       sum(p.error * greatest(0, least(p.upto, h.upto)
+                           - greatest(p.upto - p.n, h.upto - h.w))) / any_value(h.w) END AS error
+              FROM horizons h JOIN horizons p
+                ON p.codigo_departamento = h.codigo_departamento AND p.days <= h.days
+              GROUP BY h.codigo_departamento, h.days)
         GROUP BY codigo_departamento""",
     "stable_line": """
         SELECT codigo_departamento, regr_slope(y, t) AS b, regr_intercept(y, t) AS a
@@ -290,8 +322,9 @@ _STEPS: dict[str, str] = {
                coalesce(d.nombre, c.codigo_departamento) AS departamento, c.meses_estables,
                round_even(p.mape, 2) AS mape_principal,
                round_even(r.mape, 2) AS mape_recuperacion,
-               CASE WHEN c.meses_estables < 48 THEN 'SIN_CV' WHEN p.mape IS NULL THEN 'ERROR'
-                    ELSE 'OK' END AS estado
+               CASE WHEN c.meses_estables < 48 THEN 'SIN_CV' WHEN p.mape IS NOT NULL THEN 'OK'
+                    WHEN p.codigo_departamento IS NULL THEN 'ERROR:NO_CUTOFF'
+                    ELSE 'ERROR:ZERO_ACTUAL' END AS estado
         FROM stable_count c
         LEFT JOIN departments d ON d.codigo_departamento = c.codigo_departamento
         LEFT JOIN primary_score p ON p.codigo_departamento = c.codigo_departamento
@@ -348,6 +381,14 @@ _STEPS: dict[str, str] = {
         WHERE anio BETWEEN 1996 AND 1998 AND ratio IS NOT NULL AND ratio_lag1 IS NOT NULL
           AND ratio_lag2 IS NOT NULL AND ratio_lag3 IS NOT NULL AND ratio_lag12 IS NOT NULL
           AND aten_lag1 IS NOT NULL AND aten_lag12 IS NOT NULL""",
+    "folds": """
+        SELECT codigo_departamento, ds, nivel,
+               CAST((row_number() OVER (PARTITION BY nivel
+                        ORDER BY md5('42|' || codigo_departamento || '|'
+                                     || strftime(ds, '%Y-%m-%d'))) - 1)
+                    % (SELECT greatest(2, least(5, min(n)))
+                       FROM (SELECT count(*) AS n FROM train GROUP BY nivel)) AS INTEGER) AS fold
+        FROM train""",
     "report": """
         SELECT c.nivel,
                coalesce(count(*) FILTER (WHERE predicted = c.nivel AND t.nivel = c.nivel)
@@ -362,6 +403,25 @@ _STEPS: dict[str, str] = {
         GROUP BY c.nivel""",
 }
 
+
+def _again(suffix: str, names: tuple[str, ...], changed: str, into: str) -> dict[str, str]:
+    """Steps once more under other names, with one expression changed."""
+    own = rf"\b({'|'.join(names)})\b"
+    return {
+        f"{name}_{suffix}": re.sub(own, rf"\1_{suffix}", re.sub(changed, into, _STEPS[name]))
+        for name in names
+    }
+
+
+# The backtest with cutoffs 31 days apart, and the star over attendance with faults.
+_BACKTEST = ("cuts", "cut_line", "cut_season", "cut_error", "horizons", "primary_score")
+_STAR = (
+    "clean", "fact", "geo_seen", "facility_seen", "geo", "times", "specialties", "facilities",
+    "resolved", "loaded", "departments", "districts",
+)
+_STEPS |= _again("31", _BACKTEST, r"183 \* k", "31 * k")
+_STEPS |= _again("dirty", _STAR, r"\braw_attendance\b", "dirty_attendance")
+
 _FEATURES = ", ".join(
     f"round({c}, 6) AS {c}"
     for c in (
@@ -415,10 +475,13 @@ _SELECTS: dict[str, str] = {
         FROM clean GROUP BY ALL""",
     "fact_aggregate": "SELECT * FROM fact",
     "stream_fact_aggregate": "SELECT * FROM fact",
-    "name_norm": """
-        SELECT doc_id, regexp_replace(strip_accents(replace(upper(
-                   trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13))), 'ẞ', 'SS')),
-                   '\\s+', ' ', 'g') AS text_norm
+    "name_norm": r"""
+        SELECT doc_id, regexp_replace(strip_accents(replace(replace(replace(replace(replace(upper(
+                   trim(coalesce(text, '') || CASE WHEN doc_id % 97 = 0 THEN
+                            ' ' || chr(160) || 'ﬁnal½' || chr(8195) || 'ﬀ Ⅷ ' ELSE '' END,
+                        ' ' || chr(9) || chr(10) || chr(13) || chr(160) || chr(8195))),
+                   'ẞ', 'SS'), 'ﬁ', 'FI'), 'ﬀ', 'FF'), '½', '1⁄2'), 'Ⅷ', 'VIII')),
+                   '[\s\x{a0}\x{2003}]+', ' ', 'g') AS text_norm
         FROM documents""",
     "geo_code_norm": """
         SELECT raw_code, ubigeo, regexp_full_match(ubigeo, '[0-9]{6}') AS valid
@@ -442,6 +505,9 @@ _SELECTS: dict[str, str] = {
         UNION ALL SELECT 'especialidades', count(*) FROM specialties
         UNION ALL SELECT 'periodos', count(*) FROM times
         UNION ALL SELECT 'ubigeos', count(*) FROM geo""",
+    "delimited_fact": "SELECT * FROM fact",
+    "published_fact": """
+        SELECT periodo, nombre_centro, especialidad, ubigeo, cantidad_atenciones FROM loaded""",
     "activity_counts": """
         SELECT trim(DES_ACT) AS des_act, count(*) AS n,
                count(*) FILTER (WHERE trim(DES_SER) = '') AS n_blank_specialty
@@ -570,8 +636,11 @@ _SELECTS: dict[str, str] = {
         _repeats("dim_especialidad", "especialidad", "especialidad", "specialties"),
         _repeats("dim_departamento", "id_departamento", "codigo_departamento", "departments"),
         _repeats("dim_departamento", "codigo_departamento", "codigo_departamento", "departments"),
-        _repeats("fact_atenciones", "periodo,nombre_centro,especialidad,ubigeo",
-                 "(periodo, nombre_centro, especialidad, ubigeo)", "fact"),
+        _repeats("fact_atenciones", "id_tiempo,id_establecimiento,id_especialidad,id_geografia",
+                 "(id_tiempo, key_e, key_s, key_g)", "loaded"),
+        _repeats("registro_activo", "cod_ipress", "cod_ipress", "active"),
+        _repeats("registro_activo", "nombre_norm", "nombre_norm", "active"),
+        _repeats("geografia_registro", "ubigeo", "ubigeo", "registry_places"),
     ),
     "dq_foreign_key": _all(
         _orphans("dim_geografia", "id_departamento", "codigo_departamento",
@@ -585,6 +654,13 @@ _SELECTS: dict[str, str] = {
         _orphans("fact_atenciones", "id_especialidad", "key_s",
                  "loaded", "specialties", "especialidad"),
         _orphans("fact_atenciones", "id_geografia", "key_g", "loaded", "geo", "ubigeo"),
+        _orphans("fact_agregado", "periodo", "periodo",
+                 "(SELECT TRY_CAST(periodo AS INTEGER) AS periodo FROM fact)", "times", "periodo"),
+        _orphans("fact_agregado", "nombre_centro", "nombre_centro", "fact", "facilities",
+                 "nombre_centro"),
+        _orphans("fact_agregado", "especialidad", "especialidad", "fact", "specialties",
+                 "especialidad"),
+        _orphans("fact_agregado", "ubigeo", "ubigeo", "fact", "geo", "ubigeo"),
     ),
     "dq_not_null": _all(
         _nulls("dim_tiempo", {c: c for c in (
@@ -605,10 +681,6 @@ _SELECTS: dict[str, str] = {
             "id_tiempo": "id_tiempo", "id_establecimiento": "key_e", "id_especialidad": "key_s",
             "id_geografia": "key_g", "cantidad_atenciones": "cantidad_atenciones"}, "resolved"),
     ),
-    "dq_domain": _all(*[
-        _counted(f"niveles_{scheme}", {"nivel_cuatro": f"nivel_cuatro NOT IN {domain}"}, "levels")
-        for scheme, domain in _LEVEL_DOMAINS.items()
-    ]),
     "dq_length": _all(
         _counted("dim_tiempo", {"nombre_mes": "length(nombre_mes) > 12"}, "times"),
         _counted("dim_geografia", {
@@ -626,6 +698,10 @@ _SELECTS: dict[str, str] = {
             "codigo_departamento": "length(codigo_departamento) > 2",
             "nombre": "length(nombre) > 50"}, "departments"),
     ),
+    "dq_domain": _all(*[
+        _counted(f"niveles_{scheme}", {"nivel_cuatro": f"nivel_cuatro NOT IN {domain}"}, "levels")
+        for scheme, domain in _LEVEL_DOMAINS.items()
+    ]),
     "forecast_seasonal": "SELECT * EXCLUDE (mape_validacion) FROM forecast_rows",
     "forecast_published": """
         SELECT codigo_departamento, mes_proyectado, atenciones_proyectadas, mape_validacion
@@ -652,14 +728,34 @@ _SELECTS: dict[str, str] = {
                round((SELECT count(*) FROM train)
                      / ((SELECT count(DISTINCT nivel) FROM train) * count(*)), 6) AS weight
         FROM train GROUP BY nivel""",
-    "stratified_folds": """
-        SELECT codigo_departamento, ds, nivel,
-               CAST((row_number() OVER (PARTITION BY nivel
-                        ORDER BY md5('42|' || codigo_departamento || '|'
-                                     || strftime(ds, '%Y-%m-%d'))) - 1)
-                    % (SELECT greatest(2, least(5, min(n)))
-                       FROM (SELECT count(*) AS n FROM train GROUP BY nivel)) AS INTEGER) AS fold
-        FROM train""",
+    "stratified_folds": "SELECT codigo_departamento, ds, nivel, fold FROM folds",
+    "class_vectors": """
+        SELECT t.codigo_departamento, t.ds, t.nivel,
+               CASE WHEN t.nivel = 'Saturado' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
+               round((SELECT count(*) FROM train) / ((SELECT count(DISTINCT nivel) FROM train)
+                     * (SELECT count(*) FROM train u WHERE u.nivel = t.nivel)), 6) AS weight,
+               round(ratio_lag1, 6) AS x_ratio_lag1, round(ratio_lag2, 6) AS x_ratio_lag2,
+               round(ratio_lag3, 6) AS x_ratio_lag3, round(ratio_lag12, 6) AS x_ratio_lag12,
+               round(aten_lag1::DOUBLE, 6) AS x_aten_lag1,
+               round(aten_lag12::DOUBLE, 6) AS x_aten_lag12, mes::DOUBLE AS x_mes,
+               (SELECT count(DISTINCT codigo_departamento) FROM series s
+                WHERE s.codigo_departamento <= t.codigo_departamento) AS entity_at,
+               8 + (SELECT count(DISTINCT codigo_departamento) FROM series) AS n_features,
+               1.0::DOUBLE AS entity_sum
+        FROM train t""",
+    "oof_majority": """
+        SELECT f.codigo_departamento, f.ds, f.nivel, f.fold,
+               (SELECT o.nivel FROM folds o WHERE o.fold <> f.fold
+                GROUP BY o.nivel ORDER BY count(*) DESC, o.nivel LIMIT 1) AS prediction
+        FROM folds f""",
+    "publish_persistence": """
+        SELECT codigo_departamento, ds AS mes_clasificado,
+               round_even(ratio, 2) AS ratio_saturacion,
+               CASE WHEN ratio_lag1 >= 90 THEN 'Saturado' ELSE 'Normal' END AS nivel_saturacion,
+               (SELECT round_even(avg(f1) * 100, 2) FROM report) AS f1_score_validacion
+        FROM spliced_whole""",
+    "backtest_long_era": """
+        SELECT codigo_departamento, round(mape, 4) AS mape FROM primary_score_31""",
     "f1_scores": """
         SELECT round(avg(f1) * 100, 6) AS f1_macro,
                round(sum(f1 * support) / sum(support) * 100, 6) AS f1_weighted
@@ -689,6 +785,9 @@ _SELECTS: dict[str, str] = {
 }
 
 
+_ON_DIRTY = {"quarantine_reasons", "dq_unique", "dq_foreign_key", "dq_not_null", "dq_length"}
+
+
 def _used(sql: str) -> set[str]:
     words = set(re.findall(r"\w+", sql))
     found: set[str] = set()
@@ -700,6 +799,8 @@ def _used(sql: str) -> set[str]:
 def oracle_sql() -> dict[str, str]:
     result = {}
     for key, select in _SELECTS.items():
+        if key in _ON_DIRTY:
+            select = re.sub(rf"\b({'|'.join(_STAR)})\b(?!')", r"\1_dirty", select)
         used = _used(select)
         steps = ",\n".join(f"{name} AS ({_STEPS[name]})" for name in _STEPS if name in used)
         result[key] = f"WITH {steps}\n{select}" if steps else select

@@ -19,8 +19,6 @@ ROLE_SETTINGS = Settings(
     recovery_year=2001,
     splice_start=date(2001, 1, 1),
     cv_initial_days=730,
-    trees=50,
-    max_depth=10,
     expected_rows=110,
     expected_institution_rows=99,
 )
@@ -69,8 +67,10 @@ def _with_place(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def attendance_of(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attendance rows from line items; ``lines`` may be a batch table or a stream."""
+def attendance_of(
+    lines: DataFrame, spark: SparkSession, sf_dir: str, *carried: str
+) -> DataFrame:
+    """Attendance rows from line items, a batch table or a stream, with some of their columns."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     quantity_missing = (F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "A")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -97,27 +97,40 @@ def attendance_of(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFra
             F.concat(F.lit("D"), (F.col("s_suppkey") % 100).cast("string")).alias("DISTRITO"),
             _code().alias("UBIGEO"),
             F.lit("").alias("FECHA_CORTE"),
+            *carried,
         )
     )
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out a table that has fewer input splits than there are cores.
-
-    The small test tables are one row group each, which one task would clean alone. A table of
-    cluster size has more splits than cores and is left as it lies, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def raw_attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
-    return attendance_of(lines, spark, sf_dir)
+    return attendance_of(table(spark, sf_dir, "lineitem"), spark, sf_dir)
+
+
+def dirty_attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attendance with what the checks are there to find: periods of no month, of a stray year and
+    in a second form, geo codes that resolve to nothing, and texts over their width."""
+    lines = table(spark, sf_dir, "lineitem")
+    raw = attendance_of(lines, spark, sf_dir, "l_orderkey", "l_suppkey")
+    order, supplier = F.col("l_orderkey"), F.col("l_suppkey")
+    period = (
+        F.when(order % 97 == 0, "199513")
+        .when(order % 97 == 1, F.concat(F.lit("0"), "PERIODO"))
+        .when(order % 97 == 2, "000101")
+        .otherwise(F.col("PERIODO"))
+    )
+    long_name = F.concat(F.col("SES_DESCAS"), F.repeat(F.lit("anexo "), 30), F.lit("z"))
+    return raw.withColumns({
+        "PERIODO": period,
+        "UBIGEO": F.when(order % 89 == 0, "X").when(order % 89 == 1, "1234567")
+        .otherwise(F.col("UBIGEO")),
+        "SES_DESCAS": F.when(supplier % 17 == 0, long_name).otherwise(F.col("SES_DESCAS")),
+        "DES_SER": F.when(order % 83 == 0, F.concat("DES_SER", F.repeat(F.lit("x"), 60)))
+        .otherwise(F.col("DES_SER")),
+    }).drop("l_orderkey", "l_suppkey")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:

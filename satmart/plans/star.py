@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from satmart.operators import baseline as bl
 from satmart.operators import dimensions as dims
-from satmart.operators import facts, forecast, ingest, panel, registry
+from satmart.operators import classify, facts, forecast, ingest, panel, registry
 from satmart.settings import Settings
 from satmart.sources.storage import Stage
 
@@ -35,8 +35,8 @@ class Star:
 
     @cached_property
     def observations(self) -> DataFrame:
-        clean = ingest.clean_attendance(self.attendance, self.s.activity)
-        return self.stage(ingest.observations(clean), "observations")
+        rows = ingest.observations(ingest.cleaned(self.attendance), self.s.activity)
+        return self.stage(rows, "observations")
 
     @cached_property
     def counted(self) -> DataFrame:
@@ -57,7 +57,7 @@ class Star:
 
     @cached_property
     def time(self) -> DataFrame:
-        return self.stage(dims.time_dimension(self.counted), "dim_tiempo")
+        return self.stage(dims.time_dimension(self.counted, self.s), "dim_tiempo")
 
     @cached_property
     def specialties(self) -> DataFrame:
@@ -129,10 +129,11 @@ class Star:
 
     @cached_property
     def facility_baseline(self) -> DataFrame:
-        return bl.baseline(
+        rows = bl.baseline(
             self.facility_monthly, "nombre_centro", "total", self.s,
             min_months=self.s.min_months, places=2,
         )
+        return self.stage(rows, "facility_baseline")
 
     @cached_property
     def facilities_with_baseline(self) -> DataFrame:
@@ -170,6 +171,12 @@ class Star:
         rows = panel.panel_features(self.department_saturation, DEPARTMENT)
         return self.stage(rows, "panel_features")
 
+    @cached_property
+    def folded(self) -> DataFrame:
+        """Training rows with their folds."""
+        train = classify.training_set(self.features, self.s)
+        return self.stage(classify.stratified_folds(train, DEPARTMENT, self.s), "folded")
+
     # Forecast
 
     @cached_property
@@ -178,7 +185,7 @@ class Star:
 
     @cached_property
     def forecast_summary(self) -> DataFrame:
-        return forecast.summary(
+        rows = forecast.summary(
             self.department_series,
             self.departments,
             forecast.backtest(self.gated_series, DEPARTMENT, self.s),
@@ -186,6 +193,7 @@ class Star:
             DEPARTMENT,
             self.s,
         )
+        return self.stage(rows, "forecast_summary")
 
     @cached_property
     def forecast_rows(self) -> DataFrame:

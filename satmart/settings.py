@@ -12,6 +12,9 @@ class Settings:
     institution: str | None = None  # registry owner to keep; None keeps every owner
     active_state: str = "ACTIVO"
     activity: str = "Consultas"
+    # Periods of other years are bad ones: a stray year would stretch every calendar panel
+    first_year: int = 1990
+    last_year: int = 2050
     # Year regimes
     excluded_years: tuple[int, ...] = (2020, 2021)
     stable_years: tuple[int, ...] = (2015, 2016, 2017, 2018, 2019)
@@ -35,7 +38,7 @@ class Settings:
     cv_horizon_days: int = 183
     # Classifier
     trees: int = 300
-    max_depth: int = 12
+    max_depth: int = 30  # the deepest that Spark's trees may be; fits rarely need it
     seed: int = 42
     max_folds: int = 5
     # Gates

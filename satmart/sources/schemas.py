@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Column names, types, widths, keys and links of the warehouse tables.
 # Column list of each table, in DDL form.
 SCHEMAS = {
     "dim_tiempo": (
@@ -45,6 +46,8 @@ LOAD_ORDER = (
 
 # Tables written in key order, so that file and row-group statistics prune reads by time and
 # geography. All grain columns take part: a month or district of any size is still divisible.
+PARTITIONING = {"fact_cuarentena": ("reason",)}
+
 CLUSTERING = {
     "fact_atenciones": ("id_tiempo", "id_geografia", "id_establecimiento", "id_especialidad"),
 }
@@ -55,6 +58,7 @@ UNIQUE_KEYS = {
     "dim_establecimiento": ("id_establecimiento", "nombre_centro"),
     "dim_especialidad": ("id_especialidad", "especialidad"),
     "dim_departamento": ("id_departamento", "codigo_departamento"),
+    "fact_atenciones": ("id_tiempo,id_establecimiento,id_especialidad,id_geografia",),
 }
 
 # (child table, child column, parent table); the parent column has the same name.

@@ -16,7 +16,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        return named.rstrip("/")
+        return _checked(spark, named.rstrip("/"))
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     own = tempfile.mkdtemp(prefix="satmart-")
@@ -24,6 +24,34 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def _checked(spark: SparkSession, folder: str) -> str:
+    """The folder, once it is known that files which executors write there reach the driver.
+
+    Only a ``file:`` folder can fail that, and only where executors run on other machines.
+    """
+    fs, _ = _path(spark, folder)
+    local = spark.sparkContext.master.startswith("local")
+    key = (spark.sparkContext.applicationId, folder)
+    if local or fs.getScheme() != "file" or key in _shared:
+        return folder
+    if not reaches_driver(spark, folder, spark.sparkContext.defaultParallelism):
+        raise RuntimeError(f"{folder} is local to each machine; name one that all share")
+    _shared.add(key)
+    return folder
+
+
+def reaches_driver(spark: SparkSession, folder: str, tasks: int) -> bool:
+    """Whether one small file from each of some tasks is there for the driver to see."""
+    probe = f"{folder}/probe-{uuid.uuid4().hex}"
+    spark.range(0, tasks, 1, tasks).write.parquet(probe)
+    seen = sum(name.startswith("part-") for name in child_names(spark, probe))
+    remove(spark, probe)
+    return seen == tasks
+
+
+_shared: set[tuple[str, str]] = set()
+
+
 class Stage:
     """Writes a result that has several readers once, and hands back the written table.
 
@@ -50,6 +78,13 @@ def _path(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and time of change of a file or folder; new data under the same name changes it."""
+    fs, hadoop_path = _path(spark, path)
+    status = fs.getFileStatus(hadoop_path)
+    return fs.getContentSummary(hadoop_path).getLength(), status.getModificationTime()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _path(spark, path)
     return fs.exists(hadoop_path)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satmart.sources.guards import MissingInputError
-from satmart.sources.schemas import CLUSTERING, LOAD_ORDER, SCHEMAS, conform
+from satmart.sources.schemas import CLUSTERING, LOAD_ORDER, PARTITIONING, SCHEMAS, conform
 from satmart.sources.storage import child_names, exists, remove, touch
 
 
@@ -29,24 +29,30 @@ class Warehouse:
     def _release(self, number: int, *parts: str) -> str:
         return "/".join([f"{self.root}/_releases/{number:08d}", *parts])
 
-    def _current(self) -> dict[str, str]:
+    def _current(self) -> dict[str, list[str]]:
+        """Table -> the version folders that make it up: one, and one per append since."""
         releases = self._releases()
-        if not releases:
-            return {}
-        markers = child_names(self.spark, self._release(releases[-1]))
-        return dict(m.split("@", 1) for m in markers if "@" in m)
+        current: dict[str, list[str]] = {}
+        if releases:
+            for marker in child_names(self.spark, self._release(releases[-1])):
+                if "@" in marker:
+                    table, version = marker.split("@", 1)
+                    current.setdefault(table, []).append(version)
+        return current
 
     def tables(self) -> list[str]:
         return sorted(self._current())
 
     def read(self, table: str) -> DataFrame:
-        version = self._current().get(table)
-        if version is None:
+        versions = self._current().get(table)
+        if versions is None:
             raise MissingInputError(f"table {table} is not in the warehouse {self.root}")
         reader = self.spark.read
         if table in SCHEMAS:
             reader = reader.schema(SCHEMAS[table])
-        return reader.parquet(f"{self.root}/{table}/{version}")
+        if len(versions) == 1:
+            return reader.parquet(f"{self.root}/{table}/{versions[0]}")
+        return reader.parquet(*[f"{self.root}/{table}/{v}" for v in sorted(versions)])
 
     def replace(self, tables: dict[str, DataFrame], drop: tuple[str, ...] = ()) -> None:
         """Write the given tables, parents first, and publish them together.
@@ -56,25 +62,30 @@ class Warehouse:
         versions = {t: v for t, v in self._current().items() if t not in drop}
         order = [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]
         for table in order:
-            df = tables[table]
-            if table in SCHEMAS:
-                df = conform(df, SCHEMAS[table])
-            if table in CLUSTERING:
-                keys = CLUSTERING[table]
-                df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            versions[table] = uuid.uuid4().hex
-            df.write.parquet(f"{self.root}/{table}/{versions[table]}")
+            versions[table] = [self._written(table, tables[table])]
         self._publish(versions)
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Add rows to the published version of a table."""
-        version = self._current().get(table)
-        if version is None:
-            self.replace({table: rows})
-            return
+    def _written(self, table: str, df: DataFrame) -> str:
+        """Write a new version folder, which no reader sees until it is published."""
         if table in SCHEMAS:
-            rows = conform(rows, SCHEMAS[table])
-        rows.write.mode("append").parquet(f"{self.root}/{table}/{version}")
+            df = conform(df, SCHEMAS[table])
+        if table in CLUSTERING:
+            keys = CLUSTERING[table]
+            df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        version = uuid.uuid4().hex
+        df.write.partitionBy(*PARTITIONING.get(table, ())).parquet(f"{self.root}/{table}/{version}")
+        return version
+
+    def append(self, table: str, rows: DataFrame) -> None:
+        """Add rows to a table: a further version folder, published beside the earlier ones.
+
+        A run that dies half-way leaves the published rows as they were, so it can be repeated.
+        """
+        if table in PARTITIONING:
+            raise ValueError(f"{table} is partitioned; replace it")
+        current = self._current()
+        version = self._written(table, rows)
+        self._publish(current | {table: [*current.get(table, []), version]})
 
     def remove_old_versions(self) -> None:
         """Free the space of unpublished versions, when no reader or writer is under way."""
@@ -83,21 +94,17 @@ class Warehouse:
             folder = f"{self.root}/{table}"
             if table in SCHEMAS or table in current:
                 for version in child_names(self.spark, folder):
-                    if version != current.get(table):
+                    if version not in current.get(table, []):
                         remove(self.spark, f"{folder}/{version}")
 
-    def _publish(self, versions: dict[str, str]) -> None:
+    def _publish(self, versions: dict[str, list[str]]) -> None:
         number = max((int(n) for n in child_names(self.spark, f"{self.root}/_releases")), default=0)
-        for table, version in versions.items():
-            touch(self.spark, self._release(number + 1, f"{table}@{version}"))
+        for table, folders in versions.items():
+            for version in folders:
+                touch(self.spark, self._release(number + 1, f"{table}@{version}"))
         touch(self.spark, self._release(number + 1, "_DONE"))
 
 
 def stamped(df: DataFrame) -> DataFrame:
     """A result table with the time of the run that made it."""
     return df.withColumn("fecha_ejecucion", F.current_timestamp())
-
-
-def write_quarantine(rejected: DataFrame, path: str, reason: str = "reason") -> None:
-    """Rows that failed key resolution, one folder per reason."""
-    rejected.write.mode("overwrite").partitionBy(reason).parquet(path)

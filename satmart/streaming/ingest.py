@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from satmart.operators.ingest import clean_attendance, merge_observations, observations
+from satmart.operators.ingest import (
+    OBSERVATION_SCHEMA,
+    cleaned,
+    merge_observations,
+    observations,
+)
+from satmart.sources.storage import child_names, exists, remove
 
 
 def ingest_new_files(
@@ -18,10 +24,10 @@ def ingest_new_files(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        observations(batch).write.mode("overwrite").parquet(f"{partials}/batch={batch_id}")
+        observations(batch, activity).write.mode("overwrite").parquet(f"{partials}/batch={batch_id}")
 
     return (
-        clean_attendance(raw_stream, activity)
+        cleaned(raw_stream)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -29,6 +35,41 @@ def ingest_new_files(
     )
 
 
+def _numbered(spark: SparkSession, partials: str, kind: str) -> list[int]:
+    """Numbers of the finished folders of a kind, ascending."""
+    names = [n for n in child_names(spark, partials) if n.startswith(f"{kind}=")]
+    done = [n for n in names if exists(spark, f"{partials}/{n}/_SUCCESS")]
+    return sorted(int(n.removeprefix(f"{kind}=")) for n in done)
+
+
+def _unmerged(spark: SparkSession, partials: str) -> tuple[list[str], int | None]:
+    """The last total and the batches that came after it, and the number of the last of all.
+
+    A total is named after the last batch in it, so one cut off half-way changes nothing."""
+    totals, batches = (_numbered(spark, partials, kind) for kind in ("total", "batch"))
+    last = totals[-1] if totals else -1
+    newer = [b for b in batches if b > last]
+    paths = [f"{partials}/total={last}"] * bool(totals) + [f"{partials}/batch={b}" for b in newer]
+    return paths, newer[-1] if newer else None
+
+
 def merged_observations(spark: SparkSession, partials: str) -> DataFrame:
-    """Observations of everything ingested so far: the sums of the partial sums."""
-    return merge_observations(spark.read.parquet(partials))
+    """Observations of everything ingested so far; none before the first batch."""
+    paths, _ = _unmerged(spark, partials)
+    if not paths:
+        return spark.createDataFrame([], OBSERVATION_SCHEMA)
+    return merge_observations(spark.read.schema(OBSERVATION_SCHEMA).parquet(*paths))
+
+
+def compact(spark: SparkSession, partials: str) -> None:
+    """Merge the batches since the last total into a new one.
+
+    A later merge then reads one total and the batches after it, however many there were. The
+    merged folders are removed, so no reader may be under way.
+    """
+    paths, last = _unmerged(spark, partials)
+    if last is None:
+        return
+    merged_observations(spark, partials).write.mode("overwrite").parquet(f"{partials}/total={last}")
+    for path in paths:
+        remove(spark, path)

@@ -59,9 +59,11 @@ def test_geo_codes(frame):
 
 
 def test_lenient_numbers(frame):
-    given_text = ["3.7", "12", "", "S/D", "1d", "1e3", "-2.9", "NaN", "inf", "1e300", None]
+    given_text = ["3.7", "12", "", "S/D", "1d", "1e3", "-2.9", "NaN", "inf", "1e300", None,
+                  "9007199254740993", "-9223372036854775808", "9223372036854775808", "+7"]
     got = values(frame, given_text, numbers.lenient_long(F.col("c")))
-    assert got == [3, 12, None, None, None, 1000, -2, None, None, None, None]
+    assert got == [3, 12, None, None, None, 1000, -2, None, None, None, None,
+                   9007199254740993, -9223372036854775808, None, 7]
 
 
 def test_rounding_is_half_even(frame):

@@ -5,8 +5,10 @@ import compare
 import pytest
 from conftest import SF, SF_SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-WITHOUT_ORACLE = {"forecast_fourier", "sat_oof", "sat_classify"}
+from satmart.plans import catalogue, oracle
+
+QUERIES, ORACLES = catalogue.QUERIES, oracle.oracle_sql()
+WITHOUT_ORACLE = {"sat_oof", "sat_classify"}
 
 
 @pytest.fixture(scope="module")
@@ -54,14 +56,10 @@ def test_known_counts(spark):
     }
 
 
-def test_fourier_rows_keep_their_invariants(spark):
-    rows = QUERIES["forecast_fourier"](spark, SF).collect()
-    closed = QUERIES["forecast_seasonal"](spark, SF).collect()
-    months = {(r.codigo_departamento, r.mes_proyectado) for r in rows}
-    assert months == {(r.codigo_departamento, r.mes_proyectado) for r in closed}
-    for r in rows:
-        assert 0 <= r.limite_inferior_ic95 <= r.atenciones_proyectadas <= r.limite_superior_ic95
-        assert r.mape_validacion > 0
+def test_entry_lists_every_query_and_oracle():
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_out_of_fold_covers_every_training_row_once(spark):

@@ -2,6 +2,8 @@
 
 import json
 import os
+import subprocess
+import sys
 from dataclasses import asdict, replace
 
 import pytest
@@ -90,6 +92,9 @@ def test_warehouse_replaces_whole_versions(spark, frame, workdir):
     assert [r.x for r in house.read("b").collect()] == [5]
     house.append("a", frame([(4,)], "x int"))
     assert house.read("a").count() == 3
+    house.append("a", frame([(4,)], "x int"))
+    assert sorted(r.x for r in house.read("a").collect()) == [2, 3, 4, 4]
+    assert before.count() == 1
     house.replace({"b": frame([], "x int")}, drop=("a",))
     assert house.tables() == ["b"] and house.read("b").isEmpty()
 
@@ -103,6 +108,35 @@ def test_an_unfinished_release_is_not_seen(spark, frame, workdir):
     assert [r.x for r in house.read("a").collect()] == [2]
 
 
+def test_a_failed_append_leaves_the_old_rows(spark, frame, workdir):
+    house = Warehouse(spark, workdir)
+    house.replace({"a": frame([(1,), (2,)], "x int")})
+    good = frame([(3,)], "x int")
+    broken = good.unionAll(good.select(F.raise_error(F.lit("lost")).cast("int").alias("x")))
+    with pytest.raises(Exception, match="lost"):
+        house.append("a", broken)
+    assert sorted(r.x for r in house.read("a").collect()) == [1, 2]
+    house.append("a", good)
+    assert sorted(r.x for r in house.read("a").collect()) == [1, 2, 3]
+
+
+def test_a_refused_load_leaves_the_quarantine(spark, extracts, workdir):
+    house = Warehouse(spark, workdir)
+    attendance = read_delimited(spark, f"{extracts}/attendance")
+    jobs.load_star(attendance, None, house, S)
+    before = house.read("fact_cuarentena").count()
+    long_name = attendance.withColumn("SES_DESCAS", F.repeat(F.lit("x"), 200))
+    with pytest.raises(ValueError, match="violations"):
+        jobs.load_star(long_name, None, house, S)
+    assert house.read("fact_cuarentena").count() == before > 0
+
+
+def test_a_folder_that_only_executors_see_is_noticed(spark, workdir, monkeypatch):
+    assert storage.reaches_driver(spark, workdir, 3)
+    monkeypatch.setattr(storage, "child_names", lambda spark, path: ["_SUCCESS"])
+    assert not storage.reaches_driver(spark, workdir, 3)
+
+
 def test_old_versions_can_be_removed(spark, frame, workdir):
     house = Warehouse(spark, workdir)
     for x in (1, 2, 3):
@@ -142,7 +176,11 @@ def loaded(spark, extracts, tmp_path_factory):
         read_delimited(spark, f"{extracts}/attendance"),
         read_delimited(spark, f"{extracts}/registry"), house, S,
     )
-    assert (report.first().n_total, report.first().n_rejected) == (2253, 356)
+    values = {(r.section, r.metric): r.value for r in report.collect()}
+    assert (values["carga", "n_total"], values["carga", "n_rejected"]) == (2253, 356)
+    assert values["claves_fallidas", "id_especialidad"] == 356
+    assert values["atenciones", "filas_leidas"] == 6000
+    assert {s for s, _ in values} >= {"cruce", "registro", "grano_repetido"}
     jobs.load_departments(house)
     return house
 
@@ -160,7 +198,7 @@ def test_loaded_star_equals_the_queries(spark, loaded):
     want = QUERIES["fact_load"](spark, SF_SMALL)
     assert named.exceptAll(want).isEmpty() and want.exceptAll(named).isEmpty()
     assert fact.where("ratio_saturacion IS NOT NULL").isEmpty()
-    reasons = spark.read.parquet(f"{loaded.root}/quarantine").groupBy("reason").count().collect()
+    reasons = loaded.read("fact_cuarentena").groupBy("reason").count().collect()
     assert [(r.reason, r["count"]) for r in reasons] == [("id_especialidad", 356)]
 
 
@@ -196,9 +234,8 @@ def test_baseline_job_is_idempotent(spark, loaded):
     assert got == want
 
 
-@pytest.mark.parametrize("model", ["seasonal", "fourier"])
-def test_forecast_and_classification_jobs(loaded, model):
-    summary = jobs.run_forecast(loaded, S, model)
+def test_forecast_and_classification_jobs(loaded):
+    summary = jobs.run_forecast(loaded, S)
     modelled = [r for r in summary.collect() if r.estado == "OK"]
     projected = loaded.read("resultado_proyeccion")
     assert projected.count() == S.horizon * len(modelled) > 0
@@ -208,7 +245,8 @@ def test_forecast_and_classification_jobs(loaded, model):
     )
     assert bad.isEmpty()
     report = jobs.run_classification(loaded, S).collect()
-    assert {"accuracy", "macro avg", "weighted avg"} < {r.nivel for r in report}
+    assert {"accuracy", "macro avg", "weighted avg"} < {r.metric for r in report if r.section == "f1"}
+    assert {r.section for r in report} >= {"pliegues", "proyectados", "niveles", "support"}
     result = loaded.read("resultado_clasificacion")
     assert 0 < result.count() <= projected.count()
     assert {r.nivel_saturacion for r in result.collect()} <= {"Normal", "Saturado"}
@@ -246,3 +284,14 @@ def test_command_line(spark, extracts, workdir, capsys):
     main(["departments", *common])
     main(["baseline", *common])
     assert "n_rejected" in capsys.readouterr().out
+
+
+def test_command_line_keeps_the_submitted_session():
+    code = ("from satmart.__main__ import session; s = session(); "
+            "print(s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'))")
+    submit = ("--master local[2] --conf spark.sql.shuffle.partitions=3000 "
+              "--conf spark.ui.enabled=false pyspark-shell")
+    got = subprocess.run(
+        [sys.executable, "-c", code], env=os.environ | {"PYSPARK_SUBMIT_ARGS": submit},
+        cwd=os.path.dirname(os.path.dirname(__file__)), capture_output=True, text=True, check=True)
+    assert got.stdout.split() == ["local[2]", "3000"]

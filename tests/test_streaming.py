@@ -4,10 +4,11 @@ import os
 
 from conftest import SF_SMALL
 
-from satmart.operators.ingest import clean_attendance, observations
+from satmart.operators.ingest import cleaned, observations
 from satmart.plans import roles
+from satmart.plans.catalogue import QUERIES
 from satmart.sources.delimited import stream_delimited, write_delimited
-from satmart.streaming.ingest import ingest_new_files, merged_observations
+from satmart.streaming.ingest import compact, ingest_new_files, merged_observations
 
 
 def test_stream_of_files_equals_batch(spark, workdir):
@@ -20,13 +21,20 @@ def test_stream_of_files_equals_batch(spark, workdir):
         stream = spark.readStream.schema(raw.schema).parquet(landing)
         ingest_new_files(stream, "Consultas", partials, checkpoint).awaitTermination()
 
+    assert merged_observations(spark, partials).isEmpty()
+    compact(spark, partials)
     early.write.parquet(landing)
     arrive()
     arrive()  # nothing new: nothing is counted twice
+    compact(spark, partials)
+    assert os.listdir(partials) == ["total=0"]
     late.write.mode("append").parquet(landing)
     arrive()
+    compact(spark, partials)
+    compact(spark, partials)
+    assert os.listdir(partials) == ["total=1"]
     got = merged_observations(spark, partials)
-    want = observations(clean_attendance(raw, "Consultas"))
+    want = observations(cleaned(raw), "Consultas").select(got.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
@@ -36,6 +44,15 @@ def test_delimited_files_can_be_streamed(spark, workdir):
     stream = stream_delimited(spark, f"{workdir}/landing", raw.columns)
     run = ingest_new_files(stream, "Consultas", f"{workdir}/partials", f"{workdir}/checkpoint")
     run.awaitTermination()
-    want = observations(clean_attendance(raw, "Consultas"))
     got = merged_observations(spark, f"{workdir}/partials")
+    want = observations(cleaned(raw), "Consultas").select(got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_stream_query_reads_a_table_of_many_files(spark, workdir):
+    for name in roles.TABLES:
+        table = roles.table(spark, SF_SMALL, name)
+        table.repartition(3 if name == "lineitem" else 1).write.parquet(f"{workdir}/{name}.parquet")
+    got = QUERIES["stream_fact_aggregate"](spark, workdir)
+    want = QUERIES["fact_aggregate"](spark, SF_SMALL)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
