@@ -32,6 +32,17 @@ _LOW = np.uint64(1 << 31)  # states lie in [2^31, 2^63), renormalised by 32-bit
 _WORD, _MASK = np.uint64(32), np.uint64(0xFFFFFFFF)
 
 
+def _byte_signs() -> dict[int, str]:
+    """Stand-ins of byte-level vocabularies: visible Latin-1 characters stand for their own byte,
+    the other bytes in order for characters from 256 on. A blank is left as it is."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + i) for i, b in enumerate(hidden) if b != 32}
+
+
+_BYTE_SIGNS = _byte_signs()
+
+
 @dataclass(frozen=True)
 class Layout:
     """Ids per block, and ids after which a segment is closed; a document is never split."""
@@ -158,8 +169,8 @@ class Words:
 
     Words between ASCII white space are cut further into the runs below, as the tokenizer cuts them
     before it looks inside; distinct runs go to it many at a time. That equals encoding the text
-    whole, which tests check. Words that could differ, those with invisible characters, not in
-    composed form or with a special token's mark, go to the tokenizer as they are.
+    whole, which tests check. Words that could differ (invisible characters, not in composed form, lower
+    case of another length, a special token's mark) go to the tokenizer as they are.
     """
 
     RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -171,24 +182,48 @@ class Words:
         self.most = most
         self.words: dict[bytes, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self._encoded = self._whole_runs
+        probe = ["Abc", "é", "'s", "9", "?!", "ß", "漢字", "~", "ÀÑ"]
+        if self.tokenizer.normalizer is not None:
+            if self._byte_runs(probe) == self._whole_runs(probe):
+                self._encoded = self._byte_runs
 
     def _learn_runs(self, runs: list[str]) -> None:
         for at in range(0, len(runs), 20_000):
             part = runs[at : at + 20_000]
-            got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            raw = np.array(got.ids, "<u4").tobytes()
-            owner = np.array(got.word_ids, np.int64)
-            cuts = (4 * np.searchsorted(owner, np.arange(len(part) + 1))).tolist()
-            for run, a, b in zip(part, cuts, cuts[1:]):
-                self.runs[run] = raw[a:b]
+            for run, ids in zip(part, self._encoded(part)):
+                self.runs[run] = np.array(ids, "<u4").tobytes()
+
+    def _whole_runs(self, runs: list[str]) -> list[list[int]]:
+        """Ids of each run by the whole tokenizer."""
+        got = self.tokenizer.encode(runs, is_pretokenized=True, add_special_tokens=False)
+        owner = np.array(got.word_ids, np.int64)
+        cuts = np.searchsorted(owner, np.arange(len(runs) + 1)).tolist()
+        return [got.ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _byte_runs(self, runs: list[str]) -> list[list[int]]:
+        """The same for a byte-level tokenizer: its normaliser for all runs at once, its bytes'
+        stand-ins, and its model for each run, without the bookkeeping of places in the text."""
+        joined = self.tokenizer.normalizer.normalize_str(" ".join(runs))
+        pieces = joined.encode().decode("latin-1").translate(_BYTE_SIGNS).split(" ")
+        if len(pieces) != len(runs):
+            return self._whole_runs(runs)
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(piece)] for piece in pieces]
 
     def _learn(self, new: list[bytes]) -> None:
         cut = {}
         for word in new:
             text = word.decode("utf-8", "replace")
-            plain = text.isprintable() and "<|" not in text
+            plain = text.isprintable() and "<|" not in text and len(text.lower()) == len(text)
             if plain and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-                cut[word] = self.RUNS.findall(text)
+                # Most words are letters, with or without a sign behind them.
+                if text.isalpha():
+                    cut[word] = [text]
+                elif text[-1] in ".,;:!?" and text[:-1].isalpha():
+                    cut[word] = [text[:-1], text[-1]]
+                else:
+                    cut[word] = self.RUNS.findall(text)
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 self.words[word] = np.array(ids, "<u4").tobytes()
