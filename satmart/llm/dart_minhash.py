@@ -208,16 +208,100 @@ def components(edges: DataFrame, stage) -> DataFrame:
             return labels
 
 
+def _compared(members: DataFrame, texts: DataFrame, state: dict, turns: int, stage, how: Near):
+    """Links found by comparing each text of a bucket (id, bucket) with leaders, turn by turn.
+
+    The leader is the least id; a text already in its class is not compared. Buckets whose texts are
+    in one class by then are settled; the others go on without their leader. Returns the buckets
+    that are left after the turns. ``state`` holds the edges found so far and the labels they give.
+    """
+    remaining = members
+    for _ in range(turns):
+        open_ = _unsettled(remaining, state, stage)
+        if open_.isEmpty():
+            return open_
+        own = open_.filter("id = leader").select("bucket", F.col("label").alias("leader_label"))
+        pairs = open_.filter("id > leader").join(own, "bucket").filter(
+            "label != leader_label").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+        _link(pairs, texts, state, stage, how)
+        remaining = open_.filter("id > leader").select("id", "bucket")
+    return _unsettled(remaining, state, stage)
+
+
+def _unsettled(members: DataFrame, state: dict, stage) -> DataFrame:
+    """id, bucket, label and leader of the buckets that hold texts of several classes."""
+    labelled = members.withColumn("label", F.col("id"))
+    if state["labels"] is not None:
+        labelled = members.join(state["labels"], "id", "left").withColumn(
+            "label", F.coalesce("label", "id"))
+    leaders = labelled.groupBy("bucket").agg(
+        F.min("id").alias("leader"), F.min("label").alias("low"), F.max("label").alias("high")
+    ).filter("low < high").select("bucket", "leader")
+    return stage(labelled.join(leaders, "bucket").select("id", "bucket", "label", "leader"), "open")
+
+
+def _link(pairs: DataFrame, texts: DataFrame, state: dict, stage, how: Near) -> None:
+    found = stage(similar(pairs.distinct(), texts, how), "links")
+    state["edges"] = found if state["edges"] is None else state["edges"].union(found)
+    state["labels"] = components(state["edges"], stage)
+
+
+def rare_buckets(texts: DataFrame, how: Near, stage, common_from: int = 16) -> DataFrame:
+    """id and bucket: the rarest shingles of each text, as many as a similar text cannot all lack.
+
+    Two sets of similarity t share an element among the first n - ceil(t * n) + 1 of each, in any
+    order that both follow. Here shingles in fewer than ``common_from`` texts come first, by hash,
+    then the others by their number, so texts that share nothing but common passages do not meet.
+    Weights other than ``set`` are held within the same bound, by the weight of what is left out.
+    """
+    source = texts.select("id", common.text_bytes("text").alias("text"))
+
+    def listed(batches):
+        for batch in batches:
+            for part in common.slices(batch):
+                ids = part.column(0).to_pylist()
+                for doc_id, (keys, _) in zip(ids, elements(part.column(1).to_pylist(), how)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(keys.size, doc_id, np.int64)),
+                         pa.array(keys.view(np.int64))], ["id", "bucket"])
+
+    shingles = source.mapInArrow(listed, "id long, bucket long")
+    often = stage(shingles.groupBy("bucket").agg(F.count("*").alias("n"))
+                  .filter(F.col("n") >= common_from), "common_shingles")
+    held = shingles.join(often, "bucket").groupBy("id").agg(
+        F.collect_list("bucket").alias("common"), F.collect_list("n").alias("n"))
+    both = source.join(held, "id", "left")
+
+    def first(batches):
+        for batch in batches:
+            for part in common.slices(batch):
+                sets = elements(part.column(1).to_pylist(), how)
+                columns = (part.column(i).to_pylist() for i in (0, 2, 3))
+                for doc_id, names, counts, (keys, weights) in zip(*columns, sets):
+                    known = dict(zip(names or [], counts or []))
+                    number = [known.get(k, 0) for k in keys.view(np.int64).tolist()]
+                    order = np.lexsort((keys, np.array(number, np.int64)))
+                    left = weights[order][::-1].cumsum()[::-1]
+                    # An element counts while what it and its successors weigh could suffice.
+                    kept = keys[order][left >= how.similarity * weights.sum() - 1e-9]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(kept.size, doc_id, np.int64)),
+                         pa.array(kept.view(np.int64))], ["id", "bucket"])
+
+    return both.mapInArrow(first, "id long, bucket long")
+
+
 def classes(docs: DataFrame, stage, text: str = "text", how: Near = Near()) -> DataFrame:
     """doc_id, copy_of and class_id for every row of ``docs``.
 
     ``copy_of`` is the least doc_id among rows with the same words; ``class_id`` is the least
     doc_id that a row is linked to through pairs of at least the similarity. Links are looked for
-    between different texts only, one text for each group of copies. In a bucket (texts that share
-    a band) all texts are compared with one leader; buckets whose texts are in one class by then
-    are settled, the others go on with the next leader, and what is left after some rounds is
-    compared pair by pair, texts of different classes only. So no link inside a bucket is lost and
-    groups of many near copies cost one comparison a text.
+    between different texts only, one text for each group of copies.
+
+    Texts that share a band are first compared with leaders, so a group of many near copies costs
+    few comparisons a text. What shares a band and is not in one class after some turns is mostly
+    texts with a passage in common: those meet again by their rarest shingles only, which loses no
+    similar pair, with leaders first and then pair by pair, texts of different classes only.
 
     Texts without words, null ones included, are classes of their own. doc_id is taken for a key:
     rows that repeat it are one document. Extra columns are not read.
@@ -231,36 +315,21 @@ def classes(docs: DataFrame, stage, text: str = "text", how: Near = Near()) -> D
     shared = exploded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = stage(exploded.join(shared.select("bucket"), "bucket").distinct(), "members")
     texts = _texts(docs, members, text, stage)
-    labels = edges = None
-    remaining = members.withColumn("label", F.col("id"))
-    for turn in range(how.leader_rounds + 1):
-        if labels is not None:
-            remaining = remaining.drop("label").join(labels, "id", "left").withColumn(
-                "label", F.coalesce("label", "id"))
-        leaders = remaining.groupBy("bucket").agg(
-            F.min("id").alias("leader"), F.min("label").alias("low"), F.max("label").alias("high")
-        ).filter("low < high").select("bucket", "leader")
-        open_ = stage(remaining.join(leaders, "bucket"), "open")
-        if open_.isEmpty():
-            break
-        if turn < how.leader_rounds:
-            own = open_.filter("id = leader").select("bucket", F.col("label").alias("leader_label"))
-            pairs = open_.filter("id > leader").join(own, "bucket").filter(
-                "label != leader_label").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-        else:
-            other = open_.select("bucket", F.col("id").alias("b"), F.col("label").alias("label_b"))
-            pairs = open_.join(other, "bucket").filter("id < b AND label != label_b").select(
-                F.col("id").alias("a"), "b")
-        found = stage(similar(pairs.distinct(), texts, how), "links")
-        edges = found if edges is None else edges.union(found)
-        labels = components(edges, stage)
-        remaining = open_.filter("id > leader").select("id", "bucket", "label")
+    state = {"edges": None, "labels": None}
+    open_ = _compared(members, texts, state, how.leader_rounds, stage, how)
+    if not open_.isEmpty():
+        left = texts.join(open_.select("id").distinct(), "id", "left_semi")
+        rare = rare_buckets(stage(left, "open_texts"), how, stage)
+        open_ = _compared(stage(rare, "rare"), texts, state, how.leader_rounds, stage, how)
+        other = open_.select("bucket", F.col("id").alias("b"), F.col("label").alias("label_b"))
+        pairs = open_.join(other, "bucket").filter("id < b AND label != label_b")
+        _link(pairs.select(F.col("id").alias("a"), "b"), texts, state, stage, how)
     known = signed.select("doc_id", "copy_key").join(
         reps.select("copy_key", F.col("id").alias("copy_of")), "copy_key", "left")
     out = known.select("doc_id", F.coalesce("copy_of", "doc_id").alias("copy_of"))
-    if labels is None:
+    if state["labels"] is None:
         return out.withColumn("class_id", F.col("copy_of"))
-    return out.join(labels.withColumnRenamed("id", "copy_of"), "copy_of", "left").select(
+    return out.join(state["labels"].withColumnRenamed("id", "copy_of"), "copy_of", "left").select(
         "doc_id", "copy_of", F.coalesce("label", "copy_of").alias("class_id"))
 
 
