@@ -35,8 +35,8 @@ class Shape:
     """Order of the trie, bytes of text in a block, bytes that numpy looks at in one go."""
 
     order: int = 4
-    block_bytes: int = 24_000_000
-    part_bytes: int = 2_000_000
+    block_bytes: int = 14_000_000
+    part_bytes: int = 1_000_000
 
 
 def blocks(docs: DataFrame, trains: Column, shape: Shape) -> DataFrame:
@@ -131,7 +131,7 @@ def words_of(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 counts = _word_counts(_texts(row), row["trains"])
-                columns = [pa.array([row["block"]] * len(counts), pa.int64()),
+                columns = [pa.array(np.full(len(counts), row["block"], np.int64)),
                            pa.array(list(counts), pa.binary()),
                            pa.array(list(counts.values()), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["block", "word", "n"])
@@ -265,8 +265,7 @@ def scored(docs: DataFrame, trains: Column, stage, shape: Shape = Shape()) -> Da
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         is_gram = right.column("word").is_null()
         word_part = right.filter(pc.invert(is_gram))
-        counts = dict(zip(word_part.column("word").to_pylist(),
-                          word_part.column("v").to_numpy()))
+        counts = dict(zip(word_part.column("word").to_pylist(), word_part.column("v").to_pylist()))
         gram_part = right.filter(is_gram)
         keys = gram_part.column("gram").to_numpy()
         order = np.argsort(keys)
