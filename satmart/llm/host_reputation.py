@@ -69,15 +69,20 @@ def suffix_and_domain(
 def _strength(children: DataFrame, least: float = 1.0, most: float = 1000.0) -> float:
     """Weight of a level's prior in pages, by moments of the counts ``n``, ``k`` around ``mu``.
 
-    One row comes to the driver. Rounded, so that the order of summing can't change a verdict.
+    With fewer than two children, or one page each, nothing tells how they differ, and the prior
+    is weak. One row comes to the driver. Rounded, so that the order of summing can't change a
+    verdict.
     """
     n, k, mu = F.col("n"), F.col("k"), F.col("mu")
     within = mu * (1 - mu)
     got = children.agg(
         F.sum((k - n * mu) ** 2 - n * within).alias("over"),
         F.sum(n * (n - 1) * within).alias("pairs"),
+        F.count("*").alias("children"),
     ).first()
-    if not got.pairs or got.over is None or got.over <= 0:
+    if got.children < 2 or not got.pairs:
+        return least
+    if got.over <= 0:
         return most
     return round(min(max(got.pairs / got.over - 1, least), most), 6)
 
@@ -88,7 +93,8 @@ def host_posteriors(hosts: DataFrame, outcomes: DataFrame, stage) -> DataFrame:
     ``outcomes`` holds host and bad (0 or 1), one row per labelled page. The global share is the
     prior of a suffix, a suffix's posterior mean that of its domains, a domain's that of its hosts;
     how much a prior counts is estimated per level. A host without labelled pages has its domain's
-    prior, or the suffix's. Labelled rows are summed by host, map-side, before anything else.
+    prior; one of an unknown domain the suffix's, which counts only as much as suffixes tell about
+    domains; one of an unknown suffix the global one in the same way. Labelled rows are summed by host, map-side, before anything else.
     """
     suffix, domain = suffix_and_domain(F.col("host"))
     bad = F.col("bad").cast("long")
@@ -106,19 +112,22 @@ def host_posteriors(hosts: DataFrame, outcomes: DataFrame, stage) -> DataFrame:
     def summed(key: str, *more: str) -> DataFrame:
         return by_host.groupBy(key, *more).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
 
-    def shrunk(children: DataFrame, strength: float) -> Column:
+    def shrunk(strength: float) -> Column:
         return (F.col("k") + strength * F.col("mu")) / (F.col("n") + strength)
 
     suffixes = summed("suffix").withColumn("mu", F.lit(share))
-    suffixes = stage(suffixes.withColumn("suffix_mean", shrunk(suffixes, _strength(suffixes))),
-                     "suffixes").select("suffix", "suffix_mean")
+    by_suffix = _strength(suffixes)
+    suffixes = stage(suffixes.withColumn("suffix_mean", shrunk(by_suffix)), "suffixes").select("suffix", "suffix_mean")
     domains = summed("domain", "suffix").join(suffixes, "suffix").withColumnRenamed(
         "suffix_mean", "mu")
-    domains = stage(domains.withColumn("domain_mean", shrunk(domains, _strength(domains))),
-                    "domains").select("domain", "domain_mean")
-    weight = _strength(by_host.join(domains, "domain").withColumnRenamed("domain_mean", "mu"))
+    by_domain = _strength(domains)
+    domains = stage(domains.withColumn("domain_mean", shrunk(by_domain)), "domains").select(
+        "domain", "domain_mean")
+    by_own = _strength(by_host.join(domains, "domain").withColumnRenamed("domain_mean", "mu"))
     n, k = F.coalesce("n", F.lit(0)), F.coalesce("k", F.lit(0))
     mu = F.coalesce("domain_mean", "suffix_mean", F.lit(share))
+    weight = (F.when(F.col("domain_mean").isNotNull(), by_own)
+              .when(F.col("suffix_mean").isNotNull(), by_domain).otherwise(by_suffix))
     a, b = F.col("a"), F.col("b")
     return (
         hosts.select("host").withColumns({"suffix": suffix, "domain": domain})

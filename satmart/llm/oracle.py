@@ -124,24 +124,29 @@ hosts AS (
 share AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS m FROM hosts),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT m FROM share) AS mu
       FROM hosts WHERE n > 0 GROUP BY suffix),
-sw AS (SELECT CASE WHEN p > 0 AND o > 0 THEN least(greatest(p / o - 1, 1), 1000) ELSE 1000 END AS w
+sw AS (SELECT CASE WHEN c < 2 OR NOT p > 0 THEN 1 WHEN o <= 0 THEN 1000
+            ELSE least(greatest(p / o - 1, 1), 1000) END AS w
        FROM (SELECT sum((k - n * mu) ** 2 - n * mu * (1 - mu)) AS o,
-                    sum(n * (n - 1) * mu * (1 - mu)) AS p FROM s)),
+                    sum(n * (n - 1) * mu * (1 - mu)) AS p, count(*) AS c FROM s)),
 sm AS (SELECT suffix, (k + w * mu) / (n + w) AS mean FROM s, sw),
 d AS (SELECT domain, sum(n) AS n, sum(k) AS k, any_value(mean) AS mu
       FROM hosts JOIN sm USING (suffix) WHERE n > 0 GROUP BY domain),
-dw AS (SELECT CASE WHEN p > 0 AND o > 0 THEN least(greatest(p / o - 1, 1), 1000) ELSE 1000 END AS w
+dw AS (SELECT CASE WHEN c < 2 OR NOT p > 0 THEN 1 WHEN o <= 0 THEN 1000
+            ELSE least(greatest(p / o - 1, 1), 1000) END AS w
        FROM (SELECT sum((k - n * mu) ** 2 - n * mu * (1 - mu)) AS o,
-                    sum(n * (n - 1) * mu * (1 - mu)) AS p FROM d)),
+                    sum(n * (n - 1) * mu * (1 - mu)) AS p, count(*) AS c FROM d)),
 dm AS (SELECT domain, (k + w * mu) / (n + w) AS mean FROM d, dw),
-hw AS (SELECT CASE WHEN p > 0 AND o > 0 THEN least(greatest(p / o - 1, 1), 1000) ELSE 1000 END AS w
+hw AS (SELECT CASE WHEN c < 2 OR NOT p > 0 THEN 1 WHEN o <= 0 THEN 1000
+            ELSE least(greatest(p / o - 1, 1), 1000) END AS w
        FROM (SELECT sum((k - n * mean) ** 2 - n * mean * (1 - mean)) AS o,
-                    sum(n * (n - 1) * mean * (1 - mean)) AS p
+                    sum(n * (n - 1) * mean * (1 - mean)) AS p, count(*) AS c
              FROM hosts JOIN dm USING (domain) WHERE n > 0)),
 ab AS (
   SELECT host, n, k + w * mu AS a, n - k + w * (1 - mu) AS b
-  FROM (SELECT host, n, k, w, coalesce(dm.mean, sm.mean, (SELECT m FROM share)) AS mu
-        FROM hosts LEFT JOIN dm USING (domain) LEFT JOIN sm USING (suffix), hw)
+  FROM (SELECT host, n, k, coalesce(dm.mean, sm.mean, (SELECT m FROM share)) AS mu,
+               CASE WHEN dm.mean IS NOT NULL THEN hw.w WHEN sm.mean IS NOT NULL THEN dw.w
+                    ELSE sw.w END AS w
+        FROM hosts LEFT JOIN dm USING (domain) LEFT JOIN sm USING (suffix), hw, dw, sw)
 ),
 judged AS (
   SELECT host, n,

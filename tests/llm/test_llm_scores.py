@@ -164,7 +164,8 @@ def test_positive_unlabelled_risk_separates_without_negatives():
     hits = [np.flatnonzero(draw.random(6) < ([0.8, 0.8, 0.1, 0.1, 0.1, 0.1] if t else 0.1))
             for t in toxic]
     positive = toxic & (draw.random(n) < 0.3)
-    weights, bias = nnpu.fit(hits, positive, 6, 0.2, nnpu.Fit())
+    share = toxic[~positive].mean()
+    weights, bias = nnpu.fit(hits, positive, 6, share, nnpu.Fit())
     z = np.array([weights[h].sum() + bias for h in hits])
     rest = ~positive
     assert np.mean((z[rest] > 0) == toxic[rest]) > 0.9
