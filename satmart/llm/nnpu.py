@@ -31,10 +31,12 @@ class Fit:
     unlabelled: int = 10_000
     features: int = 2_048
     least_positives: int = 4
+    least_gain: float = 8.0
+    least_ratio: float = 3.0
     prior: float | None = None
     steps: int = 600
     rate: float = 0.05
-    decay: float = 1e-5
+    decay: float = 1e-4
     slack: float = 0.0
 
 
@@ -131,12 +133,14 @@ def train(docs: DataFrame, labels: DataFrame, train_rows, stage, how: Fit = Fit(
     )
     n_pos = max(1, sample.filter("positive").count())
     n_unl = max(1, sample.filter("NOT positive").count())
-    # Log ratio of the shares, in units of its own deviation: telling and well supported first.
-    ratio = F.log((F.col("p") + 0.5) / n_pos) - F.log((F.col("u") + 0.5) / n_unl)
-    weight = F.round(ratio / F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("u") + 0.5)), 6)
+    # How unlikely so many positives are by chance, in natural logarithms.
+    p, chance = F.col("p"), (F.col("p") + F.col("u")) * (n_pos / (n_pos + n_unl))
+    gain = F.round(p * F.log(p / chance) - (p - chance), 6)
+    ratio = (p / n_pos) / ((F.col("u") + 0.5) / n_unl)
+    telling = (gain >= how.least_gain) & (ratio >= how.least_ratio)
     best = (
-        counted.filter((F.col("p") >= how.least_positives) & (ratio > F.log(F.lit(1.5))))
-        .orderBy(weight.desc(), "feature").limit(how.features)
+        counted.filter((p >= how.least_positives) & telling)
+        .orderBy(gain.desc(), "feature").limit(how.features)
     )
     number = {r.feature: i for i, r in enumerate(best.select("feature").collect())}
 
