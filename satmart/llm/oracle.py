@@ -170,4 +170,62 @@ SELECT page_id, host, path, rule,
 FROM ruled JOIN judged USING (host)
 """
 
-SQL = {"op1_quality_rules": _OP1, "op6_chat_windows": _OP6, "op9_host_reputation": _OP9}
+# Dynamic programming, one step per bucket; of equal costs the last boundary, then fewer buckets.
+_OP4_STEPS = ",\n".join(
+    f"""dp{b} AS (
+  SELECT j, m.cost AS cost, -m.minus_i AS i FROM (
+    SELECT h.j, min({{'cost': p.cost + h.len * (h.c - p.c), 'minus_i': -p.j}}) AS m
+    FROM hist h JOIN (SELECT d.j, d.cost, c FROM dp{b - 1} d JOIN sums USING (j)) p ON p.j < h.j
+    GROUP BY h.j)
+)"""
+    for b in range(1, 13)
+)
+
+_OP4 = rf"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS tokens
+  FROM documents
+),
+pieces AS (
+  SELECT doc_id, piece, piece * 8192 AS start, least(8192, tokens - piece * 8192) AS n_tokens
+  FROM (SELECT doc_id, tokens, unnest(range(0, (tokens - 1) // 8192 + 1)) AS piece FROM sized)
+),
+hist AS (
+  SELECT len, row_number() OVER (ORDER BY len) AS j, sum(n) OVER (ORDER BY len) AS c
+  FROM (SELECT n_tokens AS len, count(*) AS n FROM pieces GROUP BY n_tokens)
+),
+sums AS (SELECT 0 AS j, 0 AS c UNION ALL SELECT j, c FROM hist),
+dp0 AS (SELECT 0 AS j, 0 AS cost),
+{_OP4_STEPS},
+dp AS ({" UNION ALL ".join(f"SELECT {b} AS b, * FROM dp{b}" for b in range(1, 13))}),
+best AS (
+  SELECT b, j, i FROM dp WHERE j = (SELECT max(j) FROM hist) ORDER BY cost, b LIMIT 1
+),
+path AS (
+  SELECT b, j, i FROM best
+  UNION ALL
+  SELECT dp.b, dp.j, dp.i FROM path JOIN dp ON dp.b = path.b - 1 AND dp.j = path.i
+),
+ends AS (
+  SELECT (b - 1)::INTEGER AS bucket, len::BIGINT AS bucket_length,
+         coalesce(lag(len) OVER (ORDER BY len), 0) AS below
+  FROM path JOIN hist USING (j)
+),
+placed AS (
+  SELECT doc_id, piece, start, n_tokens, bucket, bucket_length,
+         row_number() OVER (PARTITION BY bucket ORDER BY doc_id, piece) - 1 AS place,
+         greatest(1, 65536 // bucket_length) AS capacity
+  FROM pieces JOIN ends ON n_tokens > below AND n_tokens <= bucket_length
+)
+SELECT doc_id, piece, start, n_tokens, bucket, bucket_length, place // capacity AS batch,
+       place % capacity AS slot, bucket_length - n_tokens AS padding
+FROM placed
+"""
+
+SQL = {
+    "op1_quality_rules": _OP1,
+    "op4_length_buckets": _OP4,
+    "op6_chat_windows": _OP6,
+    "op9_host_reputation": _OP9,
+}
