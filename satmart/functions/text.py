@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-# Executors get the one Python helper by value, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Every character that counts as whitespace, built from the Unicode property.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
@@ -103,17 +96,37 @@ def normalize_name(c: Column) -> Column:
     return F.regexp_replace(folded, _SPACE_RUN, " ")
 
 
-@F.pandas_udf(StringType())
-def _expand(names: pd.Series) -> pd.Series:
-    return names.map(_base_letters, na_action="ignore")
+def _expand(c: Column) -> Column:
+    """Each expanding character by its letters: syllables by rule, the others from a literal map."""
+    syllables = (0xAC00, 0xD7A3)
+    others = [x for x in _folding()[2] if not syllables[0] <= ord(x) <= syllables[1]]
+    pairs = "\x01".join(f"{x}\x02{_base_letters(x)}" for x in others)
+    known = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+
+    def part(first: int, count: int, number: Column) -> Column:
+        signs = "".join(map(chr, range(first, first + count)))
+        return F.substr(F.lit(signs), number.cast("int") + 1, F.lit(1))
+
+    def letters(char: Column) -> Column:
+        n = F.ascii(char) - syllables[0]
+        last = F.when(n % 28 > 0, part(0x11A8, 27, n % 28 - 1)).otherwise(F.lit(""))
+        syllable = F.concat(
+            part(0x1100, 19, F.floor(n / 588)), part(0x1161, 21, F.floor(n % 588 / 28)), last)
+        return F.when(n.between(0, syllables[1] - syllables[0]), syllable).otherwise(
+            F.coalesce(F.try_element_at(known, char), char))
+
+    chars = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    return F.array_join(F.transform(chars, letters), "")
 
 
 def normalize_name_exact(c: Column) -> Column:
-    """``normalize_name`` for any script: only names with expanding characters reach Python."""
+    """``normalize_name`` for any script; only names with expanding characters are taken apart."""
     base = trim_ws(F.upper(null_to_empty(c)))
-    needs_python = base.rlike(_ranges(_folding()[2]))
-    expanded = _expand(F.when(needs_python, base))
-    return F.coalesce(F.regexp_replace(expanded, _SPACE_RUN, " "), normalize_name(c))
+    replace, bases, expanding = _folding()
+    folded = F.translate(_expand(base), replace, bases)
+    return F.when(
+        base.rlike(_ranges(expanding)), F.regexp_replace(folded, _SPACE_RUN, " ")
+    ).otherwise(normalize_name(c))
 
 
 def normalize_geo_code(c: Column) -> Column:

@@ -24,7 +24,7 @@ def python_name(value):
     return re.sub(r"\s+", " ", value)
 
 
-NAMES = ["  Ñandú \t  Güe x ", None, "straße", "Nº 1", "1ª", "36°", " a\x1fb ", "ﬁ ½ …", "한국"]
+NAMES = ["  Ñandú \t  Güe x ", None, "straße", "Nº 1", "1ª", "36°", " a\x1fb ", "ﬁ ½ …", "한국 가각힣", "🄐 ㌀ 𝐀 ﷺ ǆ"]
 
 
 def test_names_of_any_script(frame):
@@ -43,6 +43,12 @@ def test_native_names_equal_the_python_rule(frame, names):
         assert got == [python_name(n) for n in names]
 
 
+def test_every_expanding_letter(frame):
+    letters = [f"a{c}b" for c in text._folding()[2][::7]]
+    assert values(frame, letters, text.normalize_name_exact(F.col("c"))) == [
+        python_name(n) for n in letters]
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(st.sampled_from(text.WHITESPACE + "aé.~!\x7f\x00ñ")), min_size=30))
 def test_trim_equals_strip(frame, names):
