@@ -36,7 +36,8 @@ class Near:
     bands: int = 40
     rows: int = 5
     weights: str = "set"
-    leader_rounds: int = 4
+    leader_rounds: int = 2
+    rare_rounds: int = 1
 
 
 class _WordHashes(dict):
@@ -191,7 +192,7 @@ def components(edges: DataFrame, stage) -> DataFrame:
     Labels spread along edges and are then followed once more, so long chains take few turns. Each
     turn is written; only the number of changes comes to the driver.
     """
-    both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    both = edges.select("a", "b").union(edges.select("b", "a"))
     labels = stage(both.groupBy(F.col("a").alias("id")).agg(
         F.least(F.first("a"), F.min("b")).alias("label")), "labels")
     while True:
@@ -242,6 +243,8 @@ def _unsettled(members: DataFrame, state: dict, stage) -> DataFrame:
 
 def _link(pairs: DataFrame, texts: DataFrame, state: dict, stage, how: Near) -> None:
     found = stage(similar(pairs.distinct(), texts, how), "links")
+    if found.isEmpty():
+        return
     state["edges"] = found if state["edges"] is None else state["edges"].union(found)
     state["labels"] = components(state["edges"], stage)
 
@@ -320,10 +323,11 @@ def classes(docs: DataFrame, stage, text: str = "text", how: Near = Near()) -> D
     if not open_.isEmpty():
         left = texts.join(open_.select("id").distinct(), "id", "left_semi")
         rare = rare_buckets(stage(left, "open_texts"), how, stage)
-        open_ = _compared(stage(rare, "rare"), texts, state, how.leader_rounds, stage, how)
+        open_ = _compared(stage(rare, "rare"), texts, state, how.rare_rounds, stage, how)
         other = open_.select("bucket", F.col("id").alias("b"), F.col("label").alias("label_b"))
         pairs = open_.join(other, "bucket").filter("id < b AND label != label_b")
-        _link(pairs.select(F.col("id").alias("a"), "b"), texts, state, stage, how)
+        if not open_.isEmpty():
+            _link(pairs.select(F.col("id").alias("a"), "b"), texts, state, stage, how)
     known = signed.select("doc_id", "copy_key").join(
         reps.select("copy_key", F.col("id").alias("copy_of")), "copy_key", "left")
     out = known.select("doc_id", F.coalesce("copy_of", "doc_id").alias("copy_of"))

@@ -67,7 +67,7 @@ def test_classes_equal_brute_force(spark, frame, rounds):
     texts = near_copies(rounds)
     texts += [texts[0], texts[0] + " ", "one", "one", "one two three", "", " ", None]
     docs = frame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, label int")
-    how = dart_minhash.Near(leader_rounds=rounds)
+    how = dart_minhash.Near(leader_rounds=rounds, rare_rounds=rounds // 2)
     got = {r.doc_id: r.class_id for r in dart_minhash.classes(docs, Stage(spark), how=how).collect()}
     assert got == plain_classes({i: t or "" for i, t in enumerate(texts)})
     kept = dart_minhash.keep_one(docs.union(docs), Stage(spark))
