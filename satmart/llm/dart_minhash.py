@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from satmart.llm import common
@@ -225,7 +225,7 @@ def _compared(members: DataFrame, texts: DataFrame, state: dict, turns: int, sta
         pairs = open_.filter("id > leader").join(own, "bucket").filter(
             "label != leader_label").select(F.col("leader").alias("a"), F.col("id").alias("b"))
         _link(pairs, texts, state, stage, how)
-        remaining = open_.filter("id > leader").select("id", "bucket")
+        remaining = open_.filter("id > leader").select(*members.columns)
     return _unsettled(remaining, state, stage)
 
 
@@ -238,7 +238,7 @@ def _unsettled(members: DataFrame, state: dict, stage) -> DataFrame:
     leaders = labelled.groupBy("bucket").agg(
         F.min("id").alias("leader"), F.min("label").alias("low"), F.max("label").alias("high")
     ).filter("low < high").select("bucket", "leader")
-    return stage(labelled.join(leaders, "bucket").select("id", "bucket", "label", "leader"), "open")
+    return stage(labelled.join(leaders, "bucket").select(*members.columns, "label", "leader"), "open")
 
 
 def _link(pairs: DataFrame, texts: DataFrame, state: dict, stage, how: Near) -> None:
@@ -250,7 +250,8 @@ def _link(pairs: DataFrame, texts: DataFrame, state: dict, stage, how: Near) ->
 
 
 def rare_buckets(texts: DataFrame, how: Near, stage, common_from: int = 16) -> DataFrame:
-    """id and bucket: the rarest shingles of each text, as many as a similar text cannot all lack.
+    """id, bucket, rest and weight: the rarest shingles of each text, as many as a similar text
+    cannot all lack, with what a shingle and those after it weigh, and the whole text's weight.
 
     Two sets of similarity t share an element among the first n - ceil(t * n) + 1 of each, in any
     order that both follow. Here shingles in fewer than ``common_from`` texts come first, by hash,
@@ -286,12 +287,27 @@ def rare_buckets(texts: DataFrame, how: Near, stage, common_from: int = 16) -> D
                     order = np.lexsort((keys, np.array(number, np.int64)))
                     left = weights[order][::-1].cumsum()[::-1]
                     # An element counts while what it and its successors weigh could suffice.
-                    kept = keys[order][left >= how.similarity * weights.sum() - 1e-9]
+                    whole = weights.sum()
+                    kept = left >= how.similarity * whole - 1e-9
+                    n = int(kept.sum())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(kept.size, doc_id, np.int64)),
-                         pa.array(kept.view(np.int64))], ["id", "bucket"])
+                        [pa.array(np.full(n, doc_id, np.int64)),
+                         pa.array(keys[order][kept].view(np.int64)), pa.array(left[kept]),
+                         pa.array(np.full(n, whole, np.float64))], names_out)
 
-    return both.mapInArrow(first, "id long, bucket long")
+    names_out = ["id", "bucket", "rest", "weight"]
+    return both.mapInArrow(first, "id long, bucket long, rest double, weight double")
+
+
+def may_be_similar(how: Near) -> Column:
+    """Whether two texts can share enough, if a shingle is the first that they share.
+
+    Sets of weights x and y with similarity t share at least t / (1 + t) * (x + y), all of it in
+    what each has from the shared shingle on. The first shared shingle of a similar pair always
+    meets this, so no pair is lost.
+    """
+    share = how.similarity / (1 + how.similarity)
+    return F.least("rest", "rest_b") >= share * (F.col("weight") + F.col("weight_b")) - 1e-9
 
 
 def classes(docs: DataFrame, stage, text: str = "text", how: Near = Near()) -> DataFrame:
@@ -324,8 +340,11 @@ def classes(docs: DataFrame, stage, text: str = "text", how: Near = Near()) -> D
         left = texts.join(open_.select("id").distinct(), "id", "left_semi")
         rare = rare_buckets(stage(left, "open_texts"), how, stage)
         open_ = _compared(stage(rare, "rare"), texts, state, how.rare_rounds, stage, how)
-        other = open_.select("bucket", F.col("id").alias("b"), F.col("label").alias("label_b"))
-        pairs = open_.join(other, "bucket").filter("id < b AND label != label_b")
+        other = open_.select(
+            "bucket", F.col("id").alias("b"), F.col("label").alias("label_b"),
+            F.col("rest").alias("rest_b"), F.col("weight").alias("weight_b"))
+        pairs = open_.join(other, "bucket").filter("id < b AND label != label_b").filter(
+            may_be_similar(how))
         if not open_.isEmpty():
             _link(pairs.select(F.col("id").alias("a"), "b"), texts, state, stage, how)
     known = signed.select("doc_id", "copy_key").join(
