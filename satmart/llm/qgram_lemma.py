@@ -28,12 +28,15 @@ _BLANKS = {c: " " for c in range(0x3001) if chr(c).isspace()}
 @dataclass(frozen=True)
 class Match:
     """``q``; edits allowed per character; passages that an item is cut into, and their distance;
-    characters of benchmark text that one pass over the documents looks for."""
+    characters of benchmark text that one pass over the documents looks for.
+
+    Wherever it is cut out of its item, a copied run of ``passage`` + ``step`` - 1 characters holds
+    a whole passage."""
 
     q: int = 12
     edits: float = 0.05
-    passage: int = 160
-    step: int = 80
+    passage: int = 80
+    step: int = 20
     block_chars: int = 2_000_000
 
 
@@ -89,12 +92,12 @@ class Index:
                 hashes = gram_hashes(_codes(passage), how.q)
                 if not hashes.size:
                     continue
-                owner.append(np.full(hashes.size, len(self.patterns)))
-                place.append(np.arange(hashes.size))
+                owner.append(np.full(hashes.size, len(self.patterns), np.int32))
+                place.append(np.arange(hashes.size, dtype=np.int32))
                 grams.append(hashes)
                 self.items.append(item_id)
                 self.patterns.append(passage)
-        empty = np.empty(0, np.int64)
+        empty = np.empty(0, np.int32)
         grams = np.concatenate([np.empty(0, np.uint64), *grams])
         order = np.argsort(grams, kind="stable")
         self.owner = np.concatenate([empty, *owner])[order]

@@ -1,6 +1,7 @@
 """Near duplicates, packing, coded files, chat windows and the q-gram filter against plain rewrites,
 and the pipeline."""
 
+import difflib
 import hashlib
 import itertools
 import random
@@ -308,6 +309,38 @@ def test_overlaps_equal_alignment_of_everything(spark, frame):
     assert qgram_lemma.overlaps(docs, bench.limit(0), ["doc_id"]).count() == 0
 
 
+def longest_shared_run(a, b):
+    return difflib.SequenceMatcher(None, a, b, autojunk=False).find_longest_match().size
+
+
+def test_copies_cut_anywhere_are_found():
+    """Against the longest run of characters that two texts share: no passages are asked."""
+    draw = random.Random(12)
+
+    def letters(n):
+        return "".join(draw.choice("aeiourstln ") for _ in range(n))
+
+    sizes = [150, 240] + [draw.randrange(99, 420) for _ in range(14)]
+    items = [(i, letters(n)) for i, n in enumerate(sizes)]
+    cuts = [(0, 25, 125), (1, 20, 220)]
+    for _ in range(70):
+        i = draw.randrange(len(items))
+        start = draw.randrange(sizes[i] - 60)
+        cuts.append((i, start, draw.randrange(start + 60, sizes[i] + 1)))
+    texts = [letters(50) + items[i][1][a:b].upper() + letters(draw.randrange(60)) for i, a, b in cuts]
+    edited = []
+    for i, a, b in cuts:  # every 30th character is another one
+        run = "".join("#" if k % 30 == 17 else c for k, c in enumerate(items[i][1][a:b]))
+        edited.append(letters(30) + run + letters(30))
+    index = qgram_lemma.Index(items, qgram_lemma.Match())
+    for text, found in zip(texts, qgram_lemma.matches(index, texts)):
+        shared = {i: longest_shared_run(text.lower(), item) for i, item in items}
+        assert {i for i, n in shared.items() if n >= 99} <= set(found)
+        assert all(shared[i] >= 15 for i in found)  # four edits leave such a run of 80 characters
+    for (i, a, b), found in zip(cuts, qgram_lemma.matches(index, edited)):
+        assert set(found) <= {i} and (b - a < 99 or i in found)
+
+
 def test_benchmark_items_are_found_in_the_test_table(spark):
     got = {(r.doc_id, r.item_id) for r in queries.op7_qgram_lemma(spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
