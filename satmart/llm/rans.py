@@ -170,10 +170,12 @@ class Words:
     Words between ASCII white space are cut further into the runs below, as the tokenizer cuts them
     before it looks inside; distinct runs go to it many at a time. That equals encoding the text
     whole, which tests check. Words that could differ (invisible characters, not in composed form, lower
-    case of another length, a special token's mark) go to the tokenizer as they are.
+    case of another length, a special token's mark, a capital soon behind an apostrophe: a
+    contraction only where the tokenizer lower-cases) go to the tokenizer as they are.
     """
 
     RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    CAPITAL = regex.compile(r"'\p{L}?\p{Lu}")
 
     def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
@@ -211,6 +213,10 @@ class Words:
         tokenize = self.tokenizer.model.tokenize
         return [[t.id for t in tokenize(piece)] for piece in pieces]
 
+    def _learn_whole(self, word: bytes, text: str) -> None:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.words[word] = np.array(ids, "<u4").tobytes()
+
     def _learn(self, new: list[bytes]) -> None:
         cut = {}
         for word in new:
@@ -222,11 +228,12 @@ class Words:
                     cut[word] = [text]
                 elif text[-1] in ".,;:!?" and text[:-1].isalpha():
                     cut[word] = [text[:-1], text[-1]]
+                elif self.CAPITAL.search(text):
+                    self._learn_whole(word, text)
                 else:
                     cut[word] = self.RUNS.findall(text)
             else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                self.words[word] = np.array(ids, "<u4").tobytes()
+                self._learn_whole(word, text)
         runs = dict.fromkeys(chain.from_iterable(cut.values()))
         self._learn_runs([run for run in runs if run not in self.runs])
         known = self.runs

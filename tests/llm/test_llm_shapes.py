@@ -188,7 +188,8 @@ def test_damaged_block_is_found():
 
 
 TRICKY = ["it's  they're'd ''s x's\ty", "a<|endoftext|>b <|x", "ΣΑΣ İstanbul ǅ ﬁ ½ 12½", "e\u0301 \u0301x",
-          "a\u00a0b\u2003c\x1cd\x85e", "don't we'll I'm O'Neil's", "\u200b\ufeffz", "漢字 かな 🙂🙂", "a\x00b"]
+          "a\u00a0b\u2003c\x1cd\x85e", "don't we'll I'm O'Neil's", "\u200b\ufeffz", "漢字 かな 🙂🙂", "a\x00b",
+          "DON'T O'Smith, D'Souza (O'Sullivan) O'Toole. O'Malley's IT'S WE'LL YOU'RE I'VE I'M SHE'D ''S"]
 
 
 def test_words_equal_whole_texts():
@@ -198,6 +199,16 @@ def test_words_equal_whole_texts():
     assert [g.tolist() for g in got] == want
 
 
+def test_capitals_behind_apostrophes_equal_whole_texts():
+    words = rans.Words(VOCABULARY)
+    ends = "s S t T m M d D re rE Re RE ve vE Ve VE ll lL Ll LL n N é É rÉ".split()
+    texts = [f"{a}'{b}{c}" for a in ("", "O", "(x", "9'", "don't") for b in ends
+             for c in ("", "mith", "MITH", "!", "'T")]
+    got = words([t.encode() for t in texts], 1)
+    for text, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids + [1], text
+
+
 def test_token_files_equal_direct_encoding(spark, frame, workdir):
     texts = [*TRICKY, None, "", "q w e " * 3000]
     docs = frame([(7 * i % 12, t, 0) for i, t in enumerate(texts)] + [(3, "same id", 0)],
