@@ -95,10 +95,11 @@ def packed(docs: DataFrame, tokens: Column, stage, shape: Shape = Shape()) -> Da
 
     ``tokens`` is an expression of at least 1. The histogram has at most ``longest`` rows, and only
     it comes to the driver. Documents longer than ``longest`` are cut into pieces, none is dropped.
-    A row's place in its bucket comes from its place in a shard of the bucket, by hash of a written
-    row number, and the sizes of the shards before: no task sorts more than about ``shard_rows``
-    rows, and only the last batch of a bucket can be short. Repeated rows get a place each; a null
-    doc_id is an id like others. An empty table gives no rows.
+    A row's place in its bucket is its number in the order of doc_id and piece, at any size and on
+    any splits: rows are dealt to ranges of (bucket, doc_id, piece), numbered in each range and
+    shifted by the sizes of the ranges before. No task sorts more than about ``shard_rows`` rows, and
+    only the last batch of a bucket can be short. Repeated rows get a place each, the shorter first;
+    a null doc_id comes last. An empty table gives no rows.
     """
     numbered = pieces(docs, tokens, shape).withColumn("row_no", F.monotonically_increasing_id())
     rows = stage(numbered, "pieces")
@@ -106,17 +107,21 @@ def packed(docs: DataFrame, tokens: Column, stage, shape: Shape = Shape()) -> Da
     lengths = np.array([r[0] for r in histogram], np.int64)
     counts = np.array([r[1] for r in histogram], np.int64)
     ends = boundaries(lengths, counts, shape.buckets)
-    bucket, top, shards = F.lit(0), F.lit(0).cast("long"), F.lit(1)
+    bucket, top, n_ranges = F.lit(0), F.lit(0).cast("long"), 0
     low = [0, *ends]
     for k in reversed(range(len(ends))):
         inside = int(counts[(lengths > low[k]) & (lengths <= ends[k])].sum())
         fits = F.col("n_tokens") <= ends[k]
         bucket = F.when(fits, F.lit(k)).otherwise(bucket)
         top = F.when(fits, F.lit(ends[k]).cast("long")).otherwise(top)
-        shards = F.when(fits, F.lit(-(-inside // shape.shard_rows))).otherwise(shards)
-    placed = rows.withColumns({"bucket": bucket, "bucket_length": top}).withColumn(
-        "shard", F.pmod(F.xxhash64("row_no"), shards))
-    in_shard = W.partitionBy("bucket", "shard").orderBy("doc_id", "piece", "row_no")
+        n_ranges += -(-inside // shape.shard_rows)
+    # Rows that tie in all but row_no are alike, so their order does not show.
+    order = [F.col("doc_id").asc_nulls_last(), "piece", "n_tokens", "row_no"]
+    ranged = rows.withColumns({"bucket": bucket, "bucket_length": top}).repartitionByRange(
+        max(1, n_ranges), "bucket", *order).withColumn("shard", F.spark_partition_id())
+    # Written, so that sizes and numbers come from the same ranges.
+    placed = stage(ranged, "ranges")
+    in_shard = W.partitionBy("bucket", "shard").orderBy(*order)
     before = W.partitionBy("bucket").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     sizes = placed.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
     bases = sizes.select("bucket", "shard",

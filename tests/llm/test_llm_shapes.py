@@ -11,12 +11,13 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from compare import connect, difference
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from satmart.llm import (
-    chat_windows, dart_minhash, length_buckets, qgram_lemma, queries, rans,
+    chat_windows, dart_minhash, length_buckets, oracle, qgram_lemma, queries, rans,
 )
 from satmart.sources.storage import Stage
 
@@ -168,6 +169,25 @@ def test_packing_keeps_every_token(spark, frame):
     assert length_buckets.packed(docs.limit(0), length_buckets.word_tokens(), Stage(spark)).count() == 0
 
 
+def test_places_follow_ids_in_any_number_of_ranges(spark, frame):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    shape = length_buckets.Shape(shard_rows=40)
+    for part in (docs, docs.repartition(7, "text")):
+        df = length_buckets.packed(part, length_buckets.word_tokens(), Stage(spark), shape)
+        assert difference(df, connect(SF), oracle.SQL["op4_length_buckets"]) is None
+    draw = random.Random(2)
+    rows = [(draw.choice([None, 3, 3, 3, *range(90)]), "w " * draw.randrange(40)) for _ in range(400)]
+    shape = length_buckets.Shape(longest=16, buckets=3, batch_tokens=50, shard_rows=25)
+    got = []
+    for part in (rows, rows[::-1]):
+        df = length_buckets.packed(frame(part, "doc_id long, text string").repartition(5),
+                                   length_buckets.word_tokens(), Stage(spark), shape)
+        got.append(sorted(df.collect(), key=lambda r: (r.bucket, r.batch, r.slot)))
+    assert got[0] == got[1]
+    key = [(r.bucket, r.doc_id is None, r.doc_id or 0, r.piece, r.n_tokens) for r in got[0]]
+    assert key == sorted(key)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 70_000), max_size=40), max_size=12), st.integers(1, 9))
 def test_segments_round_trip(documents, block):
