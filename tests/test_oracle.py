@@ -1,9 +1,15 @@
 """Every query with an oracle gives the same names, types and values as DuckDB."""
 
+import os
+import shutil
+import subprocess
+import sys
+import tempfile
+
 import __spark_entry__ as entry
 import compare
 import pytest
-from conftest import SF, SF_SMALL
+from conftest import ROOT, SF, SF_SMALL
 
 from satmart.plans import catalogue, oracle
 
@@ -62,6 +68,23 @@ def test_entry_lists_every_query_and_oracle():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_the_rest_imports_without_the_text_operators():
+    """In a fresh process, on a copy without that package, with and without its pipeline."""
+    copy = tempfile.mkdtemp(prefix="satmart-copy-")
+    shutil.copytree(
+        f"{ROOT}/satmart", f"{copy}/satmart", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    show = "import __spark_entry__ as e, bench; print(len(e.queries()), len(e.oracle_sql()))"
+    expected = f"{len(QUERIES)} {len(ORACLES)}"
+    for names in (["__spark_entry__.py", "bench.py"], ["corpus_pipeline.py"]):
+        for name in names:
+            if os.path.exists(f"{ROOT}/{name}"):
+                shutil.copy(f"{ROOT}/{name}", copy)
+        run = subprocess.run(
+            [sys.executable, "-c", show], cwd=copy, capture_output=True, text=True,
+            env={**os.environ, "PYTHONPATH": copy, "PYTHONDONTWRITEBYTECODE": "1"})
+        assert run.stdout.strip() == expected, run.stderr
+
+
 def test_out_of_fold_covers_every_training_row_once(spark):
     scored = QUERIES["sat_oof"](spark, SF).collect()
     folded = QUERIES["stratified_folds"](spark, SF).collect()
