@@ -223,9 +223,73 @@ SELECT doc_id, piece, start, n_tokens, bucket, bucket_length, place // capacity
 FROM placed
 """
 
+_OP12 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           AS text
+  FROM documents
+),
+pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+),
+worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM pieces
+),
+words AS (SELECT lang, unnest(w) AS w1 FROM worded),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+f1 AS (SELECT lang, w1, count(*) AS f FROM words GROUP BY ALL),
+places AS (SELECT lang, w, unnest(range(1, len(w))) AS i FROM worded WHERE len(w) > 1),
+f2 AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM places GROUP BY ALL
+  HAVING count(*) >= 10
+),
+f3 AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM places
+  WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= 10
+),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.w1, c.w2, NULL AS w3, c.f AS a, 1 AS k,
+         x.f AS l, y.f AS r
+  FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1
+  JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.w1, c.w2, c.w3, c.f, 1, x.f, y.f
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1
+  JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.w1, c.w2, c.w3, c.f, 2, x.f, y.f
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2
+  JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3
+),
+scored AS (
+  SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+),
+lowest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+  SELECT lang, w1, w2, max(f) AS f FROM (
+    SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3
+  ) GROUP BY ALL
+),
+kept AS (
+  SELECT s.* FROM lowest s
+  LEFT JOIN inside i ON s.w3 IS NULL AND i.lang = s.lang AND i.w1 = s.w1 AND i.w2 = s.w2
+  WHERE NOT coalesce(100 * i.f >= 50 * s.a, false)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
 SQL = {
     "op1_quality_rules": _OP1,
     "op4_length_buckets": _OP4,
     "op6_chat_windows": _OP6,
     "op9_host_reputation": _OP9,
+    "op12_phrase_index": _OP12,
 }

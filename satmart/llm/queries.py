@@ -14,10 +14,12 @@ from satmart.llm import (
     host_reputation,
     length_buckets,
     nnpu,
+    phrases,
     ppm,
     qgram_lemma,
     quality_rules,
     rans,
+    spelling_variants,
 )
 from satmart.llm.common import table
 from satmart.sources.storage import Stage
@@ -120,6 +122,19 @@ def op10_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first collocations of each language, by FM-indexes over shards of word ids."""
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return phrases.collocations(docs, Stage(spark))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words' number, its form and its root."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling_variants.grouped(docs, Stage(spark)).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ppm_scores": op2_ppm_scores,
@@ -131,4 +146,6 @@ QUERIES = {
     "op8_nnpu_toxicity": op8_nnpu_toxicity,
     "op9_host_reputation": op9_host_reputation,
     "op10_gam_quality": op10_gam_quality,
+    "op12_phrase_index": op12_phrase_index,
+    "op13_spelling_variants": op13_spelling_variants,
 }
