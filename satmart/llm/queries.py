@@ -20,6 +20,7 @@ from satmart.llm import (
     quality_rules,
     rans,
     spelling_variants,
+    suffix_repeats,
 )
 from satmart.llm.common import table
 from satmart.sources.storage import Stage
@@ -122,6 +123,16 @@ def op10_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the bytes of passages of 200 bytes that occur again anywhere."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return suffix_repeats.without_repeats(docs, Stage(spark)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first collocations of each language, by FM-indexes over shards of word ids."""
     docs = table(spark, sf_dir, "documents").select("text", "lang")
@@ -146,6 +157,7 @@ QUERIES = {
     "op8_nnpu_toxicity": op8_nnpu_toxicity,
     "op9_host_reputation": op9_host_reputation,
     "op10_gam_quality": op10_gam_quality,
+    "op11_suffix_repeats": op11_suffix_repeats,
     "op12_phrase_index": op12_phrase_index,
     "op13_spelling_variants": op13_spelling_variants,
 }

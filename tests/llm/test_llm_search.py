@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from satmart.llm import phrases, spelling_variants
+from satmart.llm import phrases, queries, spelling_variants, suffix_repeats
 from satmart.sources.storage import Stage
 
 
@@ -183,3 +183,69 @@ def test_neighbours_are_the_reduced_words_one_edit_away():
         plain |= {(*row[:at], *row[at + 1 :]) for at in range(6)}
         want = sorted(int(spelling_variants.own_keys(np.array([p], np.uint64))[0]) for p in plain)
         assert sorted(k for r, k in made["all"] if r == i) == want
+
+
+# Repeated passages
+
+
+def plain_repeats(texts, size):
+    """Per text (spans, kept): every start's string counted over all texts."""
+    raw = [(t or "").encode() for t in texts]
+    count = Counter(t[i : i + size] for t in raw for i in range(len(t) - size + 1))
+    out = []
+    for t in raw:
+        gone = [False] * len(t)
+        for i in range(len(t) - size + 1):
+            if count[t[i : i + size]] > 1:
+                gone[i : i + size] = [True] * size
+        spans, at = [], 0
+        for value, run in itertools.groupby(gone):
+            n = len(list(run))
+            spans += [(at, at + n)] * value
+            at += n
+        out.append((len(t), spans, bytes(c for c, g in zip(t, gone) if not g)))
+    return out
+
+
+def found_repeats(spark, frame, texts, how):
+    docs = frame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, block long")
+    rows = suffix_repeats.without_repeats(docs, Stage(spark), how).orderBy("doc_id").collect()
+    assert [r.doc_id for r in rows] == list(range(len(texts)))
+    return [(r.n_bytes, [(s.start, s.stop) for s in r.spans], bytes(r.kept)) for r in rows]
+
+
+@pytest.mark.parametrize("start, gram, short, block, part", [
+    (10, 4, 3, 300, 64), (5, 3, 4, 1000, 1 << 20), (7, 5, 1, 1, 37), (16, 2, 2, 500, 1000),
+])
+def test_repeats_equal_plain_counts(spark, frame, start, gram, short, block, part):
+    rng = random.Random(start)
+    pool = ["".join(rng.choice("abcé") for _ in range(rng.randint(15, 60))) for _ in range(12)]
+    texts = []
+    for _ in range(60):
+        parts = [rng.choice(pool) if rng.random() < 0.5 else "".join(
+            rng.choice("abcdefgh") for _ in range(rng.randint(0, 30))) for _ in range(4)]
+        text = "".join(parts)
+        if rng.random() < 0.5:
+            at = rng.randrange(len(text) + 1)
+            text = text[:at] + rng.choice("xyz") + text[at:]
+        texts.append(text)
+    texts += [None, "", "a" * 19, "b" * 20, "b" * 20, "c" * 21, "z" * 500, "xy" * 100, texts[0]]
+    texts += ["".join(rng.choice("klm") for _ in range(3000))]
+    how = suffix_repeats.Repeats(20, start, gram, short, block, part)
+    assert found_repeats(spark, frame, texts, how) == plain_repeats(texts, 20)
+
+
+def test_repeats_of_an_empty_table(spark, frame):
+    assert found_repeats(spark, frame, [], suffix_repeats.Repeats()) == []
+    assert found_repeats(spark, frame, [None], suffix_repeats.Repeats()) == [(0, [], b"")]
+
+
+def test_repeats_of_the_table_equal_plain_counts(spark):
+    rows = queries.QUERIES["op11_suffix_repeats"](spark, "/root/testdata/sf0.001").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    plain = plain_repeats([d.text for d in docs], 200)
+    want = {d.doc_id: (n, sum(b - a for a, b in spans), len(spans),
+                       hashlib.sha256(kept).hexdigest())
+            for d, (n, spans, kept) in zip(docs, plain)}
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == want
+    assert sum(v[1] for v in want.values()) > 0
