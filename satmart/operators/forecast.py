@@ -95,74 +95,126 @@ def published_forecast(predicted: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def with_cutoffs(stable: DataFrame, entity: str, s: Settings) -> DataFrame:
-    """Each row once per cutoff whose training or test span holds it.
-
-    The last cutoff is one horizon before the entity's last month, the others follow at the
-    period backwards as long as the initial training span remains.
-    """
-    own = W.partitionBy(entity)
-    span = F.datediff(F.max("ds").over(own), F.min("ds").over(own))
-    last_index = F.floor(
-        (span - s.cv_horizon_days - s.cv_initial_days) / F.lit(s.cv_period_days)
-    ).cast("int")
-    indexes = F.when(F.col("_index") >= 0, F.sequence(F.lit(0), F.col("_index")))
-    back = F.lit(s.cv_horizon_days) + F.col("_k") * s.cv_period_days
-    return (
-        stable.withColumns({"_last": F.max("ds").over(own), "_index": last_index})
-        .withColumn("_k", F.explode(indexes))
-        .withColumn("cutoff", F.date_sub("_last", back))
-        .where(F.col("ds") <= F.date_add("cutoff", s.cv_horizon_days))
-        .drop("_last", "_index", "_k")
-    )
+def with_moments(stable: DataFrame, entity: str) -> DataFrame:
+    """Each month with the sums over the months up to it: of its entity, and of its calendar month.
+
+    A least-squares line and the month effects up to any day follow from two such rows, so no row is
+    copied for a cutoff."""
+    so_far = W.partitionBy(entity).orderBy("ds")
+    same_month = W.partitionBy(entity, "m").orderBy("ds")
+    t, y = F.col("t"), F.col("y")
+    rows = stable.select(
+        entity, "ds", F.month("ds").alias("m"), month_number(F.col("ds")).cast("double").alias("t"),
+        F.col("y").cast("double").alias("y"))
+    # Months are counted from the entity's first one, which keeps the squares small.
+    rows = rows.withColumn("t", t - F.min("t").over(W.partitionBy(entity)))
+    own = {"n": F.lit(1.0), "st": t, "stt": t * t, "sy": y, "sty": t * y}
+    month = {"mn": F.lit(1.0), "mt": t, "my": y}
+    return rows.withColumns(
+        {k: F.sum(v).over(so_far) for k, v in own.items()}
+        | {k: F.sum(v).over(same_month) for k, v in month.items()})
+
+
+def _line(upto: Column) -> tuple[Column, Column]:
+    """(level, slope) of the months summed in ``upto``; one month has no slope, so null."""
+    n, st, stt, sy, sty = (upto[c] for c in ("n", "st", "stt", "sy", "sty"))
+    slope = F.try_divide(n * sty - st * sy, n * stt - st * st)
+    return (sy - slope * st) / n, slope
+
+
+def _scored_months(s: Settings) -> Column:
+    """Array of (days, error, size): each month of each cutoff's horizon, from ``_rows``."""
+    rows = F.col("_rows")
+
+    def of_cutoff(k: Column) -> Column:
+        cutoff = F.date_sub(F.col("_last"), F.lit(s.cv_horizon_days) + k * s.cv_period_days)
+        past = F.filter(rows, lambda r: r["ds"] <= cutoff)
+        ahead = F.filter(
+            rows,
+            lambda r: (r["ds"] > cutoff) & (r["ds"] <= F.date_add(cutoff, s.cv_horizon_days)))
+        level, slope = _line(F.element_at(past, -1))
+
+        def month(r: Column) -> Column:
+            seen = F.filter(past, lambda p: p["m"] == r["m"])
+            last = F.try_element_at(seen, F.lit(-1))
+            season = (last["my"] - level * last["mn"] - slope * last["mt"]) / last["mn"]
+            yhat = level + slope * r["t"] + F.coalesce(season, F.lit(0.0))
+            return F.struct(
+                F.datediff(r["ds"], cutoff).alias("days"),
+                F.try_divide(F.abs(r["y"] - yhat), F.abs(r["y"])).alias("error"),
+                F.abs(r["y"]).alias("size"))
+
+        return F.transform(ahead, month)
+
+    cutoffs = F.sequence(F.lit(0), F.col("_cutoffs"))
+    return F.flatten(F.transform(cutoffs, of_cutoff))
+
+
+def _total(items: Column, value) -> Column:
+    return F.aggregate(items, F.lit(0.0), lambda sum_, x: sum_ + value(x))
+
+
+def _by_horizon(scored: Column) -> Column:
+    """Array of (days, n, error): the mean error of each horizon, in order."""
+    def one(days: Column) -> Column:
+        own = F.filter(scored, lambda e: e["days"] == days)
+        n = F.size(own).cast("double")
+        return F.struct(days.alias("days"), n.alias("n"),
+                        (_total(own, lambda e: e["error"]) / n).alias("error"))
+
+    return F.transform(F.array_sort(F.array_distinct(
+        F.transform(scored, lambda e: e["days"]))), one)
+
+
+def _rolled(horizons: Column, window: Column) -> Column:
+    """Means over the last ``window`` scored months up to each horizon, where there are as many.
+
+    A window may hold part of a horizon, which then counts with its mean."""
+    def upto(h: Column, i: Column) -> Column:
+        taken = F.aggregate(
+            F.reverse(F.slice(horizons, F.lit(1), i + 1)),
+            F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("sum")),
+            lambda a, x: F.struct(
+                (a["n"] + F.least(x["n"], window - a["n"])).alias("n"),
+                (a["sum"] + x["error"] * F.least(x["n"], window - a["n"])).alias("sum")))
+        return F.when(taken["n"] >= window, taken["sum"] / window)
+
+    return F.filter(F.transform(horizons, upto), lambda x: x.isNotNull())
 
 
 def backtest(gated: DataFrame, entity: str, s: Settings) -> DataFrame:
     """(entity, mape) of the rolling-origin backtest on the stable years.
 
+    The last cutoff is one horizon before the entity's last month, the others follow at the period
+    backwards as long as the initial training span remains; an entity without one has no row.
     Errors are averaged over a rolling window of a tenth of the scored months, at least one,
     that ends with a horizon (days after the cutoff); the score is the mean over the horizons
     whose window is full. Undefined, so null, when a scored actual is zero.
-    """
-    stable = gated.where(F.col("anio").isin(*s.stable_years))
-    rows = with_cutoffs(stable, entity, s)
-    scored = fit_predict(rows, [entity, "cutoff"], F.col("ds") <= F.col("cutoff")).where(
-        F.col("ds") > F.col("cutoff")
-    )
-    error = F.try_divide(F.abs(F.col("y") - F.col("yhat")), F.abs("y"))
-    by_horizon = scored.groupBy(entity, F.datediff("ds", "cutoff").alias("days")).agg(
-        F.avg(error).alias("error"), F.count("*").alias("n"), F.min(F.abs("y")).alias("least")
-    )
-    rolled = rolling_means(by_horizon, entity, "days")
-    mape = F.avg("rolled") * 100
-    return rolled.groupBy(entity).agg(F.when(F.min("least") >= _ZERO, mape).alias("mape"))
-
 
-def rolling_means(by_horizon: DataFrame, entity: str, order: str) -> DataFrame:
-    """Adds ``rolled``: the mean over the last tenth of the rows up to each horizon.
-
-    Takes the mean ``error`` of ``n`` rows per horizon. A window may hold part of a horizon, which
-    then counts with its mean; before the window is full the result is null. Windows run over an
-    entity's horizons, which the calendar bounds: the error summed up to any row number is a broken
-    line through the horizons' ends, so the start of a window is looked up on that line.
+    One exchange on the entity: its months, which the calendar bounds, carry running sums, and each
+    cutoff's fit is read off two of them. A cutoff costs a few array look-ups, not a copy of the
+    months.
     """
-    own = W.partitionBy(entity)
-    upto = own.orderBy(order)
-    summed = by_horizon.withColumns({
-        "_rows": F.sum("n").over(upto),
-        "_sum": F.sum(F.col("error") * F.col("n")).over(upto),
-        "_window": F.greatest(F.lit(1), F.floor(F.sum("n").over(own) / 10)),
-    })
-    line = F.sort_array(F.collect_list(F.struct("_rows", "_sum", "n", "error")).over(own))
-    start = F.col("_rows") - F.col("_window")
-    # The first horizon that ends behind the window's start, less what lies behind the start.
-    at = F.element_at(F.filter("_line", lambda p: p["_rows"] > start), 1)
-    before = at["_sum"] - (at["_rows"] - start) * at["error"]
-    return (
-        summed.withColumn("_line", line)
-        .withColumn("rolled", F.when(start >= 0, (F.col("_sum") - before) / F.col("_window")))
-        .drop("_rows", "_sum", "_window", "_line")
+    stable = gated.where(F.col("anio").isin(*s.stable_years))
+    columns = ("ds", "m", "t", "y", "n", "st", "stt", "sy", "sty", "mn", "mt", "my")
+    entities = with_moments(stable, entity).groupBy(entity).agg(
+        F.sort_array(F.collect_list(F.struct(*columns))).alias("_rows"),
+        F.min("ds").alias("_first"), F.max("ds").alias("_last"))
+    span = F.datediff("_last", "_first")
+    last = F.floor((span - s.cv_horizon_days - s.cv_initial_days) / F.lit(s.cv_period_days))
+    scored = (
+        entities.withColumn("_cutoffs", last.cast("int"))
+        .where(F.col("_cutoffs") >= 0)
+        .select(entity, _scored_months(s).alias("_scored"))
+        .where(F.size("_scored") > 0)
+        .withColumn("_horizons", _by_horizon(F.col("_scored")))
     )
+    window = F.greatest(F.lit(1), F.floor(F.size("_scored") / 10)).cast("double")
+    least = F.array_min(F.transform("_scored", lambda e: e["size"]))
+    rolled = scored.select(entity, least.alias("_least"),
+                           _rolled(F.col("_horizons"), window).alias("_rolled"))
+    mean = F.try_divide(_total(F.col("_rolled"), lambda x: x), F.size("_rolled"))
+    return rolled.select(entity, F.when(F.col("_least") >= _ZERO, mean * 100).alias("mape"))
 
 
 def recovery(gated: DataFrame, entity: str, s: Settings) -> DataFrame:

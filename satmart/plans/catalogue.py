@@ -13,7 +13,7 @@ from satmart.functions.levels import DOMAINS, level
 from satmart.functions.text import is_six_digits, normalize_geo_code, normalize_name_exact, trim_ws
 from satmart.operators import baseline as bl
 from satmart.operators import classify, dimensions, facts, forecast, ingest, panel
-from satmart.operators import quality, registry
+from satmart.operators import quality, registry, waves
 from satmart.plans.roles import (
     ROLE_SETTINGS,
     TABLES,
@@ -474,6 +474,16 @@ def forecast_seasonal(m):
     return m.forecast_rows.drop("mape_validacion")
 
 
+@on_star
+def forecast_waves(m):
+    """The same months by the model with changes of trend and yearly waves."""
+    predicted = m.stage(waves.forecast(m.gated_series, DEPARTMENT, S), "waves")
+    exact = predicted.select(
+        DEPARTMENT, F.col("ds").alias("mes_proyectado"), _r("yhat", 3), _r("sigma", 3))
+    return exact.join(
+        forecast.published_forecast(predicted, DEPARTMENT), [DEPARTMENT, "mes_proyectado"])
+
+
 @on_star
 def forecast_published(m):
     """The result table's rows, each with its department's backtest score."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from satmart.functions.levels import DOMAINS
 from satmart.operators import baseline as bl
 from satmart.operators import classify, dimensions, facts, forecast, ingest, panel, quality
-from satmart.operators import registry
+from satmart.operators import registry, waves
 from satmart.plans.star import Star
 from satmart.settings import Settings
 from satmart.sources.delimited import write_delimited
@@ -181,7 +181,8 @@ def run_forecast(
         ),
         "summary",
     )
-    published = forecast.published_forecast(forecast.forecast(gated, ENTITY, s), ENTITY)
+    model = {"meses": forecast.forecast, "ondas": waves.forecast}[s.forecast_model]
+    published = forecast.published_forecast(model(gated, ENTITY, s), ENTITY)
     rows = forecast.result_rows(published, summary, ENTITY)
     warehouse.replace({"resultado_proyeccion": stamped(rows)})
     return summary

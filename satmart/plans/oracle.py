@@ -7,6 +7,14 @@ from __future__ import annotations
 
 import re
 
+# Regressors of the forecast by waves at month t of a series that goes from month t0 to t1.
+_TIME = "((t - t0) / greatest(t1 - t0, 1)::DOUBLE)"
+_WAVES = ", ".join([
+    "1.0::DOUBLE", _TIME,
+    *[f"greatest({_TIME} - 0.8 * {j + 1} / 7, 0)" for j in range(6)],
+    *[f"{f}(2 * pi() * {k} / 12 * t)" for k in range(1, 5) for f in ("sin", "cos")],
+])
+
 _STEPS: dict[str, str] = {
     # Role views
     "facility_rows": """
@@ -261,6 +269,60 @@ _STEPS: dict[str, str] = {
         LEFT JOIN fit_season z
           ON z.codigo_departamento = u.codigo_departamento AND z.m = month(u.ds)
         JOIN fit_noise q ON q.codigo_departamento = u.codigo_departamento""",
+    # Forecast by waves: normal equations of 16 regressors, solved by elimination
+    "wave_rows": """
+        SELECT codigo_departamento, t, min(t) OVER own AS t0, max(t) OVER own AS t1,
+               max(abs(y)) OVER own AS scale, y / max(abs(y)) OVER own AS v
+        FROM gated WHERE anio NOT IN (1999, 2000)
+        WINDOW own AS (PARTITION BY codigo_departamento)""",
+    "wave_design": f"""
+        SELECT codigo_departamento, t0, t1, scale, v, [{_WAVES}] AS x FROM wave_rows""",
+    "wave_series": """
+        SELECT codigo_departamento, any_value(t0) AS t0, any_value(t1) AS t1,
+               any_value(scale) AS scale, count(*) AS n, sum(v * v) AS vv
+        FROM wave_design GROUP BY codigo_departamento""",
+    "wave_cells": """
+        SELECT codigo_departamento, i, j, sum(x[i] * x[j]) AS cell, sum(x[i] * v) AS b
+        FROM wave_design, range(1, 17) r(i), range(1, 17) q(j) GROUP BY ALL""",
+    "wave_lines": """
+        SELECT codigo_departamento, i, any_value(b) AS b, list(cell ORDER BY j) AS plain,
+               list(cell + CASE WHEN i <> j OR i < 3 THEN 0 WHEN i < 9 THEN 1 ELSE 2.5e-5 END
+                    ORDER BY j)
+               || [any_value(b)] || list(CASE WHEN i = j THEN 1.0 ELSE 0 END::DOUBLE ORDER BY j)
+                   AS line
+        FROM wave_cells GROUP BY codigo_departamento, i""",
+    "wave_steps": """
+        SELECT codigo_departamento, 0 AS k, list(line ORDER BY i) AS m
+        FROM wave_lines GROUP BY codigo_departamento
+        UNION ALL
+        SELECT codigo_departamento, k + 1,
+               list_transform(m, lambda r, i: CASE
+                   WHEN i = k + 1 THEN list_transform(r, lambda x: x / m[k + 1][k + 1])
+                   ELSE list_transform(r, lambda x, j:
+                       x - r[k + 1] * (m[k + 1][j] / m[k + 1][k + 1])) END)
+        FROM wave_steps WHERE k < 16""",
+    "wave_solved": """
+        SELECT codigo_departamento, list_transform(m, lambda r: r[17]) AS beta,
+               list_transform(m, lambda r: r[18:33]) AS inverse
+        FROM wave_steps WHERE k = 16""",
+    "wave_noise": """
+        SELECT s.codigo_departamento, any_value(t0) AS t0, any_value(t1) AS t1,
+               any_value(scale) AS scale, any_value(beta) AS beta, any_value(inverse) AS inverse,
+               sqrt(greatest(any_value(vv) - sum(beta[i] * (2 * b
+                    - list_dot_product(plain, beta))), 0)
+                    / greatest(any_value(n) - 16, 1)) AS sigma
+        FROM wave_series s JOIN wave_solved USING (codigo_departamento)
+        JOIN wave_lines USING (codigo_departamento) GROUP BY s.codigo_departamento""",
+    "wave_future": f"""
+        SELECT *, [{_WAVES}] AS x
+        FROM (SELECT *, t1 + h AS t FROM wave_noise, range(1, 7) r(h))""",
+    "wave_forecast": """
+        SELECT codigo_departamento, make_date((2000 + (t - 1) // 12)::BIGINT, (t - 1) % 12 + 1, 1)
+                   AS mes_proyectado,
+               scale * list_dot_product(x, beta) AS yhat,
+               scale * sigma * sqrt(1 + list_dot_product(
+                   x, list_transform(inverse, lambda r: list_dot_product(r, x)))) AS sigma
+        FROM wave_future""",
     # Backtest
     "stable_span": """
         SELECT codigo_departamento, min(ds) AS lo, max(ds) AS hi
@@ -703,6 +765,15 @@ _SELECTS: dict[str, str] = {
         for scheme, domain in _LEVEL_DOMAINS.items()
     ]),
     "forecast_seasonal": "SELECT * EXCLUDE (mape_validacion) FROM forecast_rows",
+    "forecast_waves": """
+        SELECT codigo_departamento, mes_proyectado, round(yhat, 3) AS yhat,
+               round(sigma, 3) AS sigma,
+               CAST(greatest(round_even(yhat, 0), 0) AS BIGINT) AS atenciones_proyectadas,
+               CAST(greatest(round_even(yhat - 1.96 * sigma, 0), 0) AS BIGINT)
+                   AS limite_inferior_ic95,
+               CAST(greatest(round_even(yhat + 1.96 * sigma, 0), 0) AS BIGINT)
+                   AS limite_superior_ic95
+        FROM wave_forecast""",
     "forecast_published": """
         SELECT codigo_departamento, mes_proyectado, atenciones_proyectadas, mape_validacion
         FROM forecast_rows""",
@@ -788,11 +859,9 @@ _SELECTS: dict[str, str] = {
 _ON_DIRTY = {"quarantine_reasons", "dq_unique", "dq_foreign_key", "dq_not_null", "dq_length"}
 
 
-def _used(sql: str) -> set[str]:
-    words = set(re.findall(r"\w+", sql))
-    found: set[str] = set()
-    for name in words & _STEPS.keys():
-        found |= {name} | _used(_STEPS[name])
+def _used(sql: str, found: frozenset[str] = frozenset()) -> frozenset[str]:
+    for name in set(re.findall(r"\w+", sql)) & _STEPS.keys() - found:
+        found = _used(_STEPS[name], found | {name})
     return found
 
 
@@ -803,5 +872,6 @@ def oracle_sql() -> dict[str, str]:
             select = re.sub(rf"\b({'|'.join(_STAR)})\b(?!')", r"\1_dirty", select)
         used = _used(select)
         steps = ",\n".join(f"{name} AS ({_STEPS[name]})" for name in _STEPS if name in used)
-        result[key] = f"WITH {steps}\n{select}" if steps else select
+        recursive = "RECURSIVE " * ("wave_steps" in used)
+        result[key] = f"WITH {recursive}{steps}\n{select}" if steps else select
     return result

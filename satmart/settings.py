@@ -31,6 +31,7 @@ class Settings:
     high: float = 110.0
     scheme: str = "binario"  # binario | tres | cuatro
     # Forecast and backtest
+    forecast_model: str = "meses"  # meses: trend and month effect | ondas: changes of trend, waves
     horizon: int = 6
     min_stable: int = 48
     cv_initial_days: int = 1095

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from satmart.operators import baseline, classify, dimensions, facts, forecast, ingest
-from satmart.operators import panel, quality, scale
+from satmart.operators import panel, quality, scale, waves
 from satmart.settings import Settings
 
 S = Settings()
@@ -227,6 +227,71 @@ def test_backtest_matches_brute_force(frame, period, scored):
     assert got == pytest.approx(want)
 
 
+def test_backtest_copies_no_month_and_deals_rows_once(frame):
+    gated = forecast.eligible(frame(_seasonal(), SERIES), "e", S)
+    plan = forecast.backtest(gated, "e", replace(S, cv_period_days=31))._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert "Generate" not in text
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("penalties", [(0.0, 0.0), (1.0, 2.5e-5)])
+def test_waves_equal_penalised_least_squares(frame, penalties):
+    model = waves.Model(3, 2, 0.8, *penalties)
+    rng = np.random.default_rng(2)
+    data = [(e, d, y, int(v * scale + rng.integers(0, 40)))
+            for e, scale in (("a", 1), ("b", 7)) for _, d, y, v in _seasonal(50)]
+    gated = frame(data, SERIES).withColumnRenamed("aten", "y")
+    got = {(r.e, r.ds): r for r in waves.forecast(gated, "e", S, model).collect()}
+    assert len(got) == 12
+    for e in ("a", "b"):
+        own = [r for r in data if r[0] == e]
+        t = np.array([(r[1].year - 2000) * 12 + r[1].month for r in own], float)
+        y = np.array([r[3] for r in own], float)
+
+        def design(at):
+            u = (at - t[0]) / (t[-1] - t[0])
+            hinges = [np.maximum(u - 0.8 * j / 4, 0) for j in (1, 2, 3)]
+            angles = [2 * np.pi * k / 12 * at for k in (1, 2)]
+            return np.stack([np.ones_like(u), u, *hinges, *[
+                f(a) for a in angles for f in (np.sin, np.cos)]], 1)
+
+        x, scale = design(t), y.max()
+        # A penalty is a further row whose wanted value is nothing.
+        extra = np.diag(np.sqrt(model.penalties))
+        beta = np.linalg.lstsq(
+            np.concatenate([x, extra]), np.concatenate([y / scale, np.zeros(9)]), rcond=None)[0]
+        left = y / scale - x @ beta
+        sigma = np.sqrt(left @ left / (len(y) - 9))
+        cover = np.linalg.inv(x.T @ x + np.diag(model.penalties))
+        for h in range(1, 7):
+            at = design(np.array([t[-1] + h]))[0]
+            day = months("2015-01-01", 50 + h)[-1]
+            assert got[e, day].yhat == pytest.approx(scale * at @ beta, rel=1e-7)
+            spread = scale * sigma * np.sqrt(1 + at @ cover @ at)
+            assert got[e, day].sigma == pytest.approx(spread, rel=1e-6)
+
+
+def test_waves_follow_a_change_of_trend(frame):
+    days = months("2015-01-01", 60)
+    level = [300 + (5 * i if i < 30 else 150 - 3 * (i - 30)) for i in range(66)]
+    gated = frame([("a", d, d.year, v) for d, v in zip(days, level)], SERIES).withColumnRenamed(
+        "aten", "y")
+    rows = waves.forecast(gated, "e", S, waves.Model(change_penalty=1e-3)).orderBy("ds").collect()
+    for r, want in zip(rows, level[60:]):
+        assert r.yhat == pytest.approx(want, rel=0.05)
+    flat = frame([("z", d, d.year, 0) for d in days[:3]], SERIES).withColumnRenamed("aten", "y")
+    assert [(r.yhat, r.sigma) for r in waves.forecast(flat, "e", S).collect()] == [(0.0, 0.0)] * 6
+    assert waves.forecast(gated.limit(0), "e", S).count() == 0
+
+
+def test_waves_deal_rows_once(frame):
+    gated = frame(_seasonal(), SERIES).withColumnRenamed("aten", "y")
+    text = waves.forecast(gated, "e", S)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "Python" not in text
+
+
 def test_backtest_of_a_zero_actual_is_null(frame):
     data = [(e, d, y, 0 if d == date(2019, 10, 1) else v) for e, d, y, v in _seasonal()]
     gated = forecast.eligible(frame(data, SERIES), "e", S)
