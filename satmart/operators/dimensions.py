@@ -51,13 +51,37 @@ def with_sequence_key(df: DataFrame, key_name: str, natural_key: str) -> DataFra
     return df.select(number.alias(key_name), *df.columns)
 
 
+def with_lasting_key(
+    df: DataFrame, key_name: str, natural_key: str, known: DataFrame | None
+) -> DataFrame:
+    """Sequence keys that a later load keeps: ``known`` (clave, id) are those given before, new
+    natural keys are numbered in their order above the highest of them.
+
+    For the same bounded dimensions as ``with_sequence_key``."""
+    if known is None:
+        return with_sequence_key(df, key_name, natural_key)
+    given = known.select(F.col("clave").alias("_clave"), F.col("id").alias("_id"))
+    rows = df.join(given, F.col(natural_key).cast("string") == F.col("_clave"), "left")
+    new = F.sum(F.col("_id").isNull().cast("bigint")).over(W.orderBy(natural_key))
+    top = known.agg(F.coalesce(F.max("id"), F.lit(0).cast("bigint"))).scalar()
+    return rows.withColumn("_new", new).select(
+        F.coalesce("_id", top + F.col("_new")).alias(key_name), *df.columns)
+
+
+def keys_given(dimension: str, table: DataFrame, key_name: str, natural_key: str) -> DataFrame:
+    """The rows of the key registry that a dimension stands for."""
+    return table.select(
+        F.lit(dimension).alias("dimension"), F.col(natural_key).cast("string").alias("clave"),
+        F.col(key_name).alias("id"))
+
+
 def with_hash_key(df: DataFrame, key_name: str, natural_key: str) -> DataFrame:
     """Surrogate keys for dimensions without a bound: no task sees the whole table, and a
     reload gives the same keys. ``quality.unique_violations`` reports a collision."""
     return df.select(F.xxhash64(natural_key).alias(key_name), *df.columns)
 
 
-def time_dimension(fact: DataFrame, s: Settings) -> DataFrame:
+def time_dimension(fact: DataFrame, s: Settings, known: DataFrame | None = None) -> DataFrame:
     """One row per valid period found in the fact, within the first and the last valid year."""
     day = F.col("fecha_inicio")
     periods = (
@@ -75,7 +99,7 @@ def time_dimension(fact: DataFrame, s: Settings) -> DataFrame:
         semester(F.month(day)).alias("semestre"),
         day,
     )
-    return with_sequence_key(rows, "id_tiempo", "periodo")
+    return with_lasting_key(rows, "id_tiempo", "periodo", known)
 
 
 def specialty_dimension(fact: DataFrame) -> DataFrame:
@@ -110,8 +134,8 @@ def geography_union(attendance_geo: DataFrame, registry_geo: DataFrame | None) -
     return first.select(*columns, source.alias("source"))
 
 
-def geography_dimension(union: DataFrame) -> DataFrame:
-    return with_sequence_key(union.select("ubigeo", *GEOGRAPHY), "id_geografia", "ubigeo")
+def geography_dimension(union: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    return with_lasting_key(union.select("ubigeo", *GEOGRAPHY), "id_geografia", "ubigeo", known)
 
 
 def named_facilities(facilities: DataFrame) -> DataFrame:
@@ -174,9 +198,10 @@ def department_names(fact: DataFrame, geography: DataFrame) -> DataFrame:
     return dominant(observed, ["codigo_departamento"], ["nombre"])
 
 
-def department_dimension(names: DataFrame) -> DataFrame:
-    return with_sequence_key(
-        names.select("codigo_departamento", "nombre"), "id_departamento", "codigo_departamento"
+def department_dimension(names: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    return with_lasting_key(
+        names.select("codigo_departamento", "nombre"), "id_departamento", "codigo_departamento",
+        known,
     )
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satmart.functions.numbers import lenient_long
+from satmart.functions.periods import period_start
 from satmart.functions.text import normalize_geo_code, trim_all
+from satmart.settings import Settings
 
 # Source column -> warehouse column.
 COLUMNS = {
@@ -75,6 +77,15 @@ def merge_observations(parts: DataFrame) -> DataFrame:
     return parts.groupBy("actividad", *OBSERVATION_GRAIN).agg(*sums)
 
 
+def with_month(rows: DataFrame, s: Settings) -> DataFrame:
+    """Adds ``mes``: the period as a number where it is a valid one, else 0. So it has a few hundred
+    values at most, whatever the extract holds."""
+    day = period_start(F.col("periodo"))
+    valid = F.year(day).between(s.first_year, s.last_year)
+    return rows.withColumn(
+        "mes", F.when(valid, F.col("periodo").try_cast("int")).otherwise(0).cast("int"))
+
+
 def fact_aggregate(rows: DataFrame) -> DataFrame:
     """Quantity at the fact grain, from clean rows or from observations."""
     return (

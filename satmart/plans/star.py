@@ -20,16 +20,22 @@ class Star:
     """Dimensions, fact and analysis tables from the two raw extracts; the registry may be None.
 
     Tables are built when first asked for. The raw attendance is read once, into
-    ``observations``; everything else derives from that aggregate.
+    ``observations``; everything else derives from that aggregate. ``keys`` are the keys given by
+    earlier loads (dimension, clave, id).
     """
 
     def __init__(
-        self, attendance: DataFrame, raw_registry: DataFrame | None, s: Settings, stage: Stage
+        self, attendance: DataFrame, raw_registry: DataFrame | None, s: Settings, stage: Stage,
+        keys: DataFrame | None = None,
     ):
         self.attendance = attendance
         self.raw_registry = raw_registry
         self.s = s
         self.stage = stage
+        self.keys = keys
+
+    def known(self, dimension: str) -> DataFrame | None:
+        return None if self.keys is None else self.keys.where(F.col("dimension") == dimension)
 
     # Attendance and registry
 
@@ -57,7 +63,8 @@ class Star:
 
     @cached_property
     def time(self) -> DataFrame:
-        return self.stage(dims.time_dimension(self.counted, self.s), "dim_tiempo")
+        rows = dims.time_dimension(self.counted, self.s, self.known("dim_tiempo"))
+        return self.stage(rows, "dim_tiempo")
 
     @cached_property
     def specialties(self) -> DataFrame:
@@ -70,7 +77,8 @@ class Star:
 
     @cached_property
     def geography(self) -> DataFrame:
-        return self.stage(dims.geography_dimension(self.geography_union), "dim_geografia")
+        rows = dims.geography_dimension(self.geography_union, self.known("dim_geografia"))
+        return self.stage(rows, "dim_geografia")
 
     @cached_property
     def enriched_facilities(self) -> DataFrame:

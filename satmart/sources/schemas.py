@@ -27,6 +27,18 @@ SCHEMAS = {
         "id_tiempo bigint, id_establecimiento bigint, id_especialidad bigint, "
         "id_geografia bigint, cantidad_atenciones bigint, ratio_saturacion decimal(8,2)"
     ),
+    "fact_cuarentena": (
+        "periodo string, nombre_centro string, especialidad string, ubigeo string, "
+        "cantidad_atenciones bigint, id_tiempo bigint, id_establecimiento bigint, "
+        "id_especialidad bigint, id_geografia bigint, reason string"
+    ),
+    # What the star is made of and its lasting keys; neither is read by analyses.
+    "observaciones": (
+        "actividad string, periodo string, nombre_centro string, especialidad string, "
+        "ubigeo string, red_asistencial string, departamento string, provincia string, "
+        "distrito string, cantidad bigint, n bigint, n_bad bigint, n_rows bigint, mes int"
+    ),
+    "registro_claves": "dimension string, clave string, id bigint",
     "resultado_proyeccion": (
         "id_departamento bigint, mes_proyectado date, atenciones_proyectadas bigint, "
         "limite_inferior_ic95 bigint, limite_superior_ic95 bigint, "
@@ -44,9 +56,12 @@ LOAD_ORDER = (
     "dim_establecimiento", "fact_atenciones", "resultado_proyeccion", "resultado_clasificacion",
 )
 
-# Tables written in key order, so that file and row-group statistics prune reads by time and
-# geography. All grain columns take part: a month or district of any size is still divisible.
-PARTITIONING = {"fact_cuarentena": ("reason",)}
+# The fact has a folder per month, so that a month is replaced alone and a join with some months of
+# the time dimension reads those only. Inside, rows lie in key order, so that file and row-group
+# statistics prune reads by geography: a month or district of any size is still divisible.
+PARTITIONING = {
+    "fact_cuarentena": ("reason",), "fact_atenciones": ("id_tiempo",), "observaciones": ("mes",),
+}
 
 CLUSTERING = {
     "fact_atenciones": ("id_tiempo", "id_geografia", "id_establecimiento", "id_especialidad"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -97,9 +98,38 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
-def touch(spark: SparkSession, path: str) -> None:
+def read_text(spark: SparkSession, path: str) -> str:
     fs, hadoop_path = _path(spark, path)
-    fs.create(hadoop_path, False).close()
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_only(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with its whole content, unless it is there; whether this call made it.
+
+    Of several callers one succeeds: the text is written aside and given its name by a step that
+    fails where the name is taken. That is a link on a local disk and a rename elsewhere, as
+    distributed file systems do it; an object store needs one whose rename is exclusive."""
+    fs, hadoop_path = _path(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    aside = f"{path}.{uuid.uuid4().hex}"
+    stream = fs.create(_path(spark, aside)[1], False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if fs.getScheme() == "file":
+        names = [_path(spark, p)[1].toUri().getPath() for p in (aside, path)]
+        try:
+            os.link(*names)
+            made = True
+        except FileExistsError:
+            made = False
+    else:
+        made = not fs.exists(hadoop_path) and fs.rename(_path(spark, aside)[1], hadoop_path)
+    remove(spark, aside)
+    return made
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -4,7 +4,9 @@ import json
 import os
 import subprocess
 import sys
+import threading
 from dataclasses import asdict, replace
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from conftest import SF_SMALL
@@ -14,7 +16,7 @@ from satmart.plans import jobs, roles
 from satmart.plans.catalogue import QUERIES
 from satmart.sources import guards, schemas, storage
 from satmart.sources.delimited import read_delimited, write_delimited
-from satmart.sources.warehouse import Warehouse
+from satmart.sources.warehouse import ConflictError, Warehouse
 
 S = replace(
     roles.ROLE_SETTINGS, trees=5, max_depth=4, min_stable=36, expected_rows=None
@@ -102,12 +104,159 @@ def test_warehouse_replaces_whole_versions(spark, frame, workdir):
 def test_an_unfinished_release_is_not_seen(spark, frame, workdir):
     house = Warehouse(spark, workdir)
     house.replace({"a": frame([(1,)], "x int")})
-    storage.touch(spark, f"{workdir}/_releases/00000002/a@lost")
+    # A run that died between writing its manifest aside and giving it its name.
+    with open(f"{workdir}/_releases/00000002.json.lost", "w", encoding="utf-8") as file:
+        file.write('{"a": {"": ["lost"]}}')
     assert [r.x for r in house.read("a").collect()] == [1]
     house.replace({"a": frame([(2,)], "x int")})
     assert [r.x for r in house.read("a").collect()] == [2]
 
 
+@pytest.mark.parametrize("same", [False, True])
+def test_two_publishers_at_once(spark, frame, workdir, monkeypatch, same):
+    """Both read release 1 and write before either publishes: other tables are both right, of the
+    same table one publisher is refused."""
+    house = Warehouse(spark, workdir)
+    house.replace({"a": frame([(1,)], "x int"), "b": frame([(1,)], "x int")})
+    meet, first = threading.Barrier(2), threading.local()
+    published = Warehouse._published
+
+    def after_meeting(self, number, tables):
+        if not getattr(first, "passed", False):
+            first.passed = True
+            meet.wait(60)
+        return published(self, number, tables)
+
+    monkeypatch.setattr(Warehouse, "_published", after_meeting)
+
+    def publish(job):
+        table, x = job
+        try:
+            Warehouse(spark, workdir).replace({table: frame([(x,), (x,)], "x int")})
+            return "done"
+        except ConflictError:
+            return "refused"
+
+    jobs_ = [("a", 2), ("a" if same else "b", 3)]
+    with ThreadPool(2) as pool:
+        ends = pool.map(publish, jobs_, chunksize=1)
+    got = {t: sorted(r.x for r in house.read(t).collect()) for t in ("a", "b")}
+    if same:
+        assert sorted(ends) == ["done", "refused"]
+        winner = jobs_[ends.index("done")][1]
+        assert got == {"a": [winner] * 2, "b": [1]}
+    else:
+        assert ends == ["done", "done"] and got == {"a": [2, 2], "b": [3, 3]}
+
+
+def test_a_release_made_from_changed_tables_is_refused(spark, frame, workdir):
+    house = Warehouse(spark, workdir)
+    house.replace({"a": frame([(1,)], "x int")})
+    base = house.snapshot()
+    sums = base.read("a").groupBy().sum("x").toDF("x")
+    house.append("a", frame([(5,)], "x int"))
+    with pytest.raises(ConflictError, match="a was changed"):
+        house.replace({"total": sums}, since=base)
+    house.append("a", frame([(6,)], "x int"))
+    assert house.tables() == ["a"] and house.read("a").count() == 3
+
+
+def test_a_month_of_the_fact_is_replaced_alone(spark, frame, workdir):
+    house, columns = Warehouse(spark, workdir), "id_tiempo long, cantidad_atenciones long"
+    house.replace({"fact_atenciones": frame([(1, 10), (2, 20), (2, 21), (3, 30)], columns)})
+    before = set(house.read("fact_atenciones").inputFiles())
+    base = house.snapshot()
+    month = {"fact_atenciones": ["id_tiempo=2"]}
+    house.replace({"fact_atenciones": frame([(2, 25)], columns)}, partitions=month, since=base)
+    rows = house.read("fact_atenciones")
+    assert sorted((r.id_tiempo, r.cantidad_atenciones) for r in rows.collect()) == [
+        (1, 10), (2, 25), (3, 30)]
+    assert len(before & set(rows.inputFiles())) == 2  # the files of the other months
+    # Another month may be replaced by someone who began earlier; the same one may not.
+    other = {"fact_atenciones": ["id_tiempo=3"]}
+    house.replace({"fact_atenciones": frame([(3, 35)], columns)}, partitions=other, since=base)
+    with pytest.raises(ConflictError):
+        house.replace({"fact_atenciones": frame([(2, 1)], columns)}, partitions=month, since=base)
+    with pytest.raises(ValueError, match="other partitions"):
+        house.replace({"fact_atenciones": frame([(3, 1)], columns)}, partitions=month)
+    house.replace({"fact_atenciones": frame([], columns)}, partitions=month)
+    assert sorted(r.id_tiempo for r in house.read("fact_atenciones").collect()) == [1, 3]
+    house.remove_old_versions()
+    assert sorted(r.cantidad_atenciones for r in house.read("fact_atenciones").collect()) == [10, 35]
+    house.replace({"fact_atenciones": frame([], columns)})
+    assert house.read("fact_atenciones").isEmpty()
+
+
+def test_reads_of_some_months_prune_the_fact(spark, loaded):
+    months = loaded.read("dim_tiempo").where(F.col("anio").isin(*S.train_years))
+    joined = loaded.read("fact_atenciones").join(months, "id_tiempo")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert 0 < joined.count() < loaded.read("fact_atenciones").count()
+
+
+def _natural(house):
+    """The fact under its natural keys."""
+    return (
+        house.read("fact_atenciones").join(house.read("dim_tiempo"), "id_tiempo")
+        .join(house.read("dim_establecimiento").drop("id_geografia"), "id_establecimiento")
+        .join(house.read("dim_especialidad"), "id_especialidad")
+        .join(house.read("dim_geografia"), "id_geografia")
+        .select("periodo", "nombre_centro", "especialidad", "ubigeo", "cantidad_atenciones"))
+
+
+def test_arrivals_one_by_one_equal_one_load(spark, extracts, loaded, workdir):
+    attendance = read_delimited(spark, f"{extracts}/attendance")
+    known = read_delimited(spark, f"{extracts}/registry")
+    late = F.crc32(F.concat("PERIODO", "SES_DESCAS", "DES_SER").cast("binary")) % 40 == 0
+    parts = {
+        "first": (F.col("PERIODO") >= "199601") & (F.col("PERIODO") < "200001") & ~late,
+        "second": (F.col("PERIODO") < "199601") | (F.col("PERIODO") < "200001") & late,
+        "third": F.col("PERIODO") >= "200001",
+    }
+    house = Warehouse(spark, workdir)
+    jobs.load_star(attendance.where(parts["first"]), known, house, S)
+    keys = {t: {tuple(r) for r in house.read(t).select(*c).collect()} for t, c in (
+        ("dim_tiempo", ("id_tiempo", "periodo")), ("dim_geografia", ("id_geografia", "ubigeo")))}
+    open_ = house.read("fact_atenciones")
+    n = open_.count()
+    for name in ("second", "third", "third"):
+        jobs.add_attendance(attendance.where(parts[name]), known, house, S, batch=name)
+    assert open_.count() == n  # a reader under way keeps its release
+    assert _natural(house).exceptAll(_natural(loaded)).isEmpty()
+    assert _natural(loaded).exceptAll(_natural(house)).isEmpty()
+    for table, columns in (("dim_tiempo", ("id_tiempo", "periodo")),
+                           ("dim_geografia", ("id_geografia", "ubigeo"))):
+        assert keys[table] <= {tuple(r) for r in house.read(table).select(*columns).collect()}
+    plain = ["nombre_centro", "red_asistencial", "cod_ipress", "categoria"]
+    assert sorted(map(str, house.read("dim_establecimiento").select(*plain).collect())) == sorted(
+        map(str, loaded.read("dim_establecimiento").select(*plain).collect()))
+    assert house.read("fact_cuarentena").count() == loaded.read("fact_cuarentena").count()
+    assert house.read("observaciones").agg(F.sum("n_rows")).first()[0] == 6000
+    assert [r.lote for r in house.read("lotes").orderBy("lote").collect()] == ["second", "third"]
+
+
+def test_rejected_rows_join_the_fact_once_their_keys_are_there(spark, extracts, loaded, workdir):
+    house = Warehouse(spark, workdir)
+    jobs.load_star(read_delimited(spark, f"{extracts}/attendance"), None, house, S)
+    whole, some = house.read("dim_especialidad"), F.crc32(F.col("especialidad").cast("binary")) % 3 == 0
+    fact = house.read("fact_atenciones").join(whole.where(~some), "id_especialidad", "left_semi")
+    lost = _natural(house).where(some)
+    n = lost.count()
+    assert n > 0
+    rows = lost.select(
+        F.col("periodo").cast("string").alias("periodo"), "nombre_centro", "especialidad", "ubigeo",
+        "cantidad_atenciones", F.lit("id_especialidad").alias("reason"))
+    quarantine = house.read("fact_cuarentena").unionByName(rows, allowMissingColumns=True)
+    house.replace({"fact_atenciones": fact, "fact_cuarentena": quarantine,
+                   "dim_especialidad": whole.where(~some)})
+    assert jobs.replay_quarantine(house).agg(F.sum("n")).first()[0] == 356 + n
+    house.replace({"dim_especialidad": whole})
+    assert jobs.replay_quarantine(house).agg(F.sum("n")).first()[0] == 356
+    assert _natural(house).exceptAll(_natural(loaded)).isEmpty()
+    assert _natural(loaded).exceptAll(_natural(house)).isEmpty()
+
+
 def test_a_failed_append_leaves_the_old_rows(spark, frame, workdir):
     house = Warehouse(spark, workdir)
     house.replace({"a": frame([(1,), (2,)], "x int")})
