@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 _SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+_ASCII_SPACE_RUN = r"[\s\x1c-\x1f]+"
 
 
 def trim_ws(c: Column) -> Column:
@@ -96,37 +98,66 @@ def normalize_name(c: Column) -> Column:
     return F.regexp_replace(folded, _SPACE_RUN, " ")
 
 
-def _expand(c: Column) -> Column:
-    """Each expanding character by its letters: syllables by rule, the others from a literal map."""
-    syllables = (0xAC00, 0xD7A3)
-    others = [x for x in _folding()[2] if not syllables[0] <= ord(x) <= syllables[1]]
-    pairs = "\x01".join(f"{x}\x02{_base_letters(x)}" for x in others)
-    known = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+_SYLLABLES = (0xAC00, 0xD7A3)
 
+
+def _syllables_apart(c: Column) -> Column:
+    """Hangul syllables by their letters, which follow from the code point."""
     def part(first: int, count: int, number: Column) -> Column:
         signs = "".join(map(chr, range(first, first + count)))
         return F.substr(F.lit(signs), number.cast("int") + 1, F.lit(1))
 
     def letters(char: Column) -> Column:
-        n = F.ascii(char) - syllables[0]
+        n = F.ascii(char) - _SYLLABLES[0]
         last = F.when(n % 28 > 0, part(0x11A8, 27, n % 28 - 1)).otherwise(F.lit(""))
         syllable = F.concat(
             part(0x1100, 19, F.floor(n / 588)), part(0x1161, 21, F.floor(n % 588 / 28)), last)
-        return F.when(n.between(0, syllables[1] - syllables[0]), syllable).otherwise(
-            F.coalesce(F.try_element_at(known, char), char))
+        return F.when(n.between(0, _SYLLABLES[1] - _SYLLABLES[0]), syllable).otherwise(char)
 
     chars = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
     return F.array_join(F.transform(chars, letters), "")
 
 
+def _let(value: Column, result: Callable[[Column], Column]) -> Column:
+    """The result for a value that is made once, however often the result names it."""
+    return F.element_at(F.transform(F.array(value), result), 1)
+
+
+def _beyond_ascii(c: Column) -> Column:
+    return F.regexp_replace(c, r"[\x00-\x7F]+", "")
+
+
+def _expand(c: Column, beyond: Column) -> Column:
+    """Each expanding character by its letters. Those that a text holds are looked for among its few
+    characters ``beyond`` ASCII, looked up once each and replaced everywhere."""
+    others = [x for x in _folding()[2] if not _SYLLABLES[0] <= ord(x) <= _SYLLABLES[1]]
+    pairs = "\x01".join(f"{x}\x02{_base_letters(x)}" for x in others)
+    known = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+    found = F.array_distinct(
+        F.regexp_extract_all(beyond, F.lit(_ranges("".join(others))), F.lit(0)))
+    # No letters of one hold another, so the order does not matter.
+    replaced = F.aggregate(
+        found, c, lambda text, x: F.replace(text, x, F.coalesce(F.try_element_at(known, x), x)))
+    syllables = beyond.rlike(r"[\x{AC00}-\x{D7A3}]")
+    return F.when(syllables, _syllables_apart(replaced)).otherwise(replaced)
+
+
 def normalize_name_exact(c: Column) -> Column:
-    """``normalize_name`` for any script; only names with expanding characters are taken apart."""
-    base = trim_ws(F.upper(null_to_empty(c)))
+    """``normalize_name`` for any script. ASCII text meets no rule for other characters, and only
+    names with expanding characters are looked through for them."""
     replace, bases, expanding = _folding()
-    folded = F.translate(_expand(base), replace, bases)
-    return F.when(
-        base.rlike(_ranges(expanding)), F.regexp_replace(folded, _SPACE_RUN, " ")
-    ).otherwise(normalize_name(c))
+
+    def unfolded(text: Column, beyond: Column) -> Column:
+        expands = F.length(F.translate(beyond, expanding, "")) < F.length(beyond)
+        return F.when(expands, _expand(text, beyond)).otherwise(text)
+
+    upper = F.upper(null_to_empty(c))
+    letters = _let(upper, lambda u: _let(trim_ws(u), lambda text: _let(
+        _beyond_ascii(text), lambda beyond: unfolded(text, beyond))))
+    base = trim_ws(upper)
+    ascii_only = F.octet_length(base) == F.length(base)
+    return F.when(ascii_only, F.regexp_replace(base, _ASCII_SPACE_RUN, " ")).otherwise(
+        F.regexp_replace(F.translate(letters, replace, bases), _SPACE_RUN, " "))
 
 
 def normalize_geo_code(c: Column) -> Column:

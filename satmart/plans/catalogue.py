@@ -152,11 +152,8 @@ def delimited_fact(spark, sf_dir):
     return ingest.fact_aggregate(ingest.clean_attendance(raw, S.activity))
 
 
-@query
-def published_fact(spark, sf_dir):
-    """The fact under its natural keys, read from a warehouse that the load job published."""
-    house = Warehouse(spark, f"{Stage(spark).root}/warehouse")
-    jobs.load_star(raw_attendance(spark, sf_dir), raw_registry(spark, sf_dir), house, S)
+def _natural_fact(house: Warehouse) -> DataFrame:
+    """A published fact under its natural keys."""
     facilities = house.read("dim_establecimiento").select("id_establecimiento", "nombre_centro")
     return (
         house.read("fact_atenciones")
@@ -169,6 +166,65 @@ def published_fact(spark, sf_dir):
     )
 
 
+@query
+def published_fact(spark, sf_dir):
+    """The fact under its natural keys, read from a warehouse that the load job published."""
+    house = Warehouse(spark, f"{Stage(spark).root}/warehouse")
+    jobs.load_star(raw_attendance(spark, sf_dir), raw_registry(spark, sf_dir), house, S)
+    return _natural_fact(house)
+
+
+@query
+def incremental_fact(spark, sf_dir):
+    """The same fact from three arrivals: a first load, an earlier year with rows that come late for
+    months already loaded, and the last years. The last one is handed in twice."""
+    house = Warehouse(spark, f"{Stage(spark).root}/warehouse")
+    rows, known = raw_attendance(spark, sf_dir), raw_registry(spark, sf_dir)
+    late = F.crc32(F.concat("PERIODO", "SES_DESCAS", "DES_SER").cast("binary")) % 40 == 0
+    middle = F.col("PERIODO").between("199601", "199912")
+    jobs.load_star(rows.where(middle & ~late), known, house, S)
+    last = rows.where(F.col("PERIODO") >= "200001")
+    jobs.add_attendance(
+        rows.where((F.col("PERIODO") < "199601") | middle & late), known, house, S, batch="early")
+    for _ in range(2):
+        jobs.add_attendance(last, known, house, S, batch="last")
+    return _natural_fact(house)
+
+
+@query
+def replayed_fact(spark, sf_dir):
+    """The same fact, loaded before a third of the specialties were known: their rows wait in the
+    quarantine and are replayed once the dimension has grown."""
+    house = Warehouse(spark, f"{Stage(spark).root}/warehouse")
+    m, stage = star(spark, sf_dir), Stage(spark)
+    m.load_dimensions()
+    missing = F.crc32(F.col("especialidad").cast("binary")) % 3 == 0
+    resolved = stage(
+        facts.resolve_keys(
+            m.aggregate, m.time, m.facilities, m.specialties.where(~missing), m.geography),
+        "resolved")
+    house.replace({
+        "dim_tiempo": m.time, "dim_geografia": m.geography, "dim_establecimiento": m.facilities,
+        "dim_especialidad": m.specialties.where(~missing),
+        "fact_atenciones": facts.accepted(resolved), "fact_cuarentena": facts.rejected(resolved),
+    })
+    house.replace({"dim_especialidad": m.specialties})
+    jobs.replay_quarantine(house)
+    return _natural_fact(house)
+
+
+@query
+def training_month_totals(spark, sf_dir):
+    """Totals of the training years, from the months of the published fact that they prune to."""
+    house = Warehouse(spark, f"{Stage(spark).root}/warehouse")
+    jobs.load_star(raw_attendance(spark, sf_dir), raw_registry(spark, sf_dir), house, S)
+    months = house.read("dim_tiempo").where(F.col("anio").isin(*S.train_years))
+    return (
+        house.read("fact_atenciones").join(months, "id_tiempo")
+        .groupBy("periodo").agg(F.sum("cantidad_atenciones").alias("total"))
+    )
+
+
 # Dimensions
 
 

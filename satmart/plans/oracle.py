@@ -570,6 +570,13 @@ _SELECTS: dict[str, str] = {
     "delimited_fact": "SELECT * FROM fact",
     "published_fact": """
         SELECT periodo, nombre_centro, especialidad, ubigeo, cantidad_atenciones FROM loaded""",
+    "incremental_fact": """
+        SELECT periodo, nombre_centro, especialidad, ubigeo, cantidad_atenciones FROM loaded""",
+    "replayed_fact": """
+        SELECT periodo, nombre_centro, especialidad, ubigeo, cantidad_atenciones FROM loaded""",
+    "training_month_totals": """
+        SELECT CAST(periodo AS INTEGER) AS periodo, CAST(sum(cantidad_atenciones) AS BIGINT) AS total
+        FROM loaded WHERE left(periodo, 4) IN ('1996', '1997', '1998') GROUP BY periodo""",
     "activity_counts": """
         SELECT trim(DES_ACT) AS des_act, count(*) AS n,
                count(*) FILTER (WHERE trim(DES_SER) = '') AS n_blank_specialty
