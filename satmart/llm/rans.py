@@ -6,12 +6,15 @@ each per step."""
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import sys
 import unicodedata
 import zlib
+from array import array
 from dataclasses import dataclass
-from itertools import chain
+from itertools import compress
+from pathlib import Path
 from types import ModuleType
 
 import numpy as np
@@ -172,29 +175,35 @@ class Words:
     whole, which tests check. Words that could differ (invisible characters, not in composed form, lower
     case of another length, a special token's mark, a capital soon behind an apostrophe: a
     contraction only where the tokenizer lower-cases) go to the tokenizer as they are.
+
+    A run as a word has the same ids, so one table holds both; it is emptied once ``most`` are in it.
     """
 
     RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
     CAPITAL = regex.compile(r"'\p{L}?\p{Lu}")
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000, content: str | None = None):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = (
+            Tokenizer.from_file(path) if content is None else Tokenizer.from_str(content))
         self.most = most
         self.words: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
         self._encoded = self._whole_runs
         probe = ["Abc", "é", "'s", "9", "?!", "ß", "漢字", "~", "ÀÑ"]
         if self.tokenizer.normalizer is not None:
             if self._byte_runs(probe) == self._whole_runs(probe):
                 self._encoded = self._byte_runs
 
-    def _learn_runs(self, runs: list[str]) -> None:
-        for at in range(0, len(runs), 20_000):
-            part = runs[at : at + 20_000]
-            for run, ids in zip(part, self._encoded(part)):
-                self.runs[run] = np.array(ids, "<u4").tobytes()
+    def _learn_runs(self, runs: list[bytes]) -> None:
+        # Those beyond ASCII apart, since only they need stand-ins for their bytes.
+        plain = [run for run in runs if run.isascii()]
+        for part in (plain, [run for run in runs if not run.isascii()]):
+            for at in range(0, len(part), 20_000):
+                some = part[at : at + 20_000]
+                texts = b"\n".join(some).decode("utf-8", "replace").split("\n")
+                for run, ids in zip(some, self._encoded(texts)):
+                    self.words[run] = array("I", ids).tobytes()
 
     def _whole_runs(self, runs: list[str]) -> list[list[int]]:
         """Ids of each run by the whole tokenizer."""
@@ -207,7 +216,10 @@ class Words:
         """The same for a byte-level tokenizer: its normaliser for all runs at once, its bytes'
         stand-ins, and its model for each run, without the bookkeeping of places in the text."""
         joined = self.tokenizer.normalizer.normalize_str(" ".join(runs))
-        pieces = joined.encode().decode("latin-1").translate(_BYTE_SIGNS).split(" ")
+        # Visible ASCII stands for itself.
+        if not (joined.isascii() and joined.isprintable()):
+            joined = joined.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        pieces = joined.split(" ")
         if len(pieces) != len(runs):
             return self._whole_runs(runs)
         tokenize = self.tokenizer.model.tokenize
@@ -215,67 +227,92 @@ class Words:
 
     def _learn_whole(self, word: bytes, text: str) -> None:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        self.words[word] = np.array(ids, "<u4").tobytes()
+        self.words[word] = array("I", ids).tobytes()
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        return (text.isprintable() and "<|" not in text and len(text.lower()) == len(text)
+                and (text.isascii() or unicodedata.is_normalized("NFC", text)))
 
     def _learn(self, new: list[bytes]) -> None:
-        cut = {}
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            plain = text.isprintable() and "<|" not in text and len(text.lower()) == len(text)
-            if plain and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-                # Most words are letters, with or without a sign behind them.
-                if text.isalpha():
-                    cut[word] = [text]
-                elif text[-1] in ".,;:!?" and text[:-1].isalpha():
-                    cut[word] = [text[:-1], text[-1]]
-                elif self.CAPITAL.search(text):
+        # Words hold no line end, so they are read and judged together; one by one only if need be.
+        joined = b"\n".join(new).decode("utf-8", "replace")
+        texts = joined.split("\n")
+        if not self._plain(joined.replace("\n", " ")):
+            fit = [self._plain(text) for text in texts]
+            for word, text, plain in zip(new, texts, fit):
+                if not plain:
                     self._learn_whole(word, text)
-                else:
-                    cut[word] = self.RUNS.findall(text)
-            else:
+            new = list(compress(new, fit))
+            texts = list(compress(texts, fit))
+        # Most words are letters, with or without a sign behind them.
+        letters = [text.isalpha() for text in texts]
+        runs = dict.fromkeys(compress(new, letters))
+        cut = []
+        for word, text, alone in zip(new, texts, letters):
+            if alone:
+                continue
+            if text[-1] in ".,;:!?" and text[:-1].isalpha():
+                parts = (word[:-1], word[-1:])
+            elif "'" in text and self.CAPITAL.search(text):
                 self._learn_whole(word, text)
-        runs = dict.fromkeys(chain.from_iterable(cut.values()))
-        self._learn_runs([run for run in runs if run not in self.runs])
-        known = self.runs
-        for word, parts in cut.items():
-            self.words[word] = b"".join([known[run] for run in parts])
+                continue
+            else:
+                parts = tuple([run.encode() for run in self.RUNS.findall(text)])
+            cut.append((word, parts))
+            runs.update(dict.fromkeys(parts))
+        known = self.words
+        self._learn_runs([run for run in runs if run not in known])
+        for word, parts in cut:
+            known[word] = b"".join([known[run] for run in parts])
 
     def __call__(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         """Ids of each text, and the end id."""
         if len(self.words) > self.most:
             self.words.clear()
-            self.runs.clear()
         cut = [text.split() for text in texts]
         known, mark = self.words, np.array([end], "<u4").tobytes()
-        self._learn([w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in known])
-        return [np.frombuffer(b"".join([*map(known.__getitem__, ws), mark]), "<u4") for ws in cut]
+        new = set().union(*cut).difference(known)
+        if new:
+            self._learn(list(new))
+        ids = known.__getitem__
+        return [np.frombuffer(b"".join([*map(ids, ws), mark]), "<u4") for ws in cut]
 
 
-def _words(path: str) -> Words:
+def _words(path: str, content: str) -> Words:
     """The one of this Python worker, which outlives its tasks."""
     kept = sys.modules.setdefault("_worker_vocabularies", ModuleType("_worker_vocabularies"))
-    if path not in kept.__dict__:
-        kept.__dict__[path] = Words(path)
-    return kept.__dict__[path]
+    name = hashlib.sha256(content.encode()).hexdigest()
+    if name not in kept.__dict__:
+        kept.__dict__[name] = Words(path, content=content)
+    return kept.__dict__[name]
 
 
 def write(docs: DataFrame, path: str, vocabulary: str, end: int = 1, layout: Layout = Layout()):
     """Writes the texts of ``docs`` (doc_id, text) as segments, in ascending doc_id order.
 
-    Rows with the same doc_id lie in the order of their texts; a null doc_id comes first. A null
-    text counts as empty and has the end id alone. One shuffle, of the texts, by ranges of doc_id.
+    Rows with the same doc_id lie in the order of their texts' bytes; a null doc_id comes first. A
+    null text counts as empty and has the end id alone; a very long one is encoded whole, and closes
+    its segment; repeated rows each count; an empty table gives files without segments; other columns
+    are not read. One shuffle, of the texts, by ranges of doc_id and of the texts' first 256 bytes,
+    so that rows without an id are spread too. ``vocabulary`` is a file that the driver reads; its
+    content, of a fixed size, goes to the tasks.
     """
+    if array("I").itemsize != 4 or sys.byteorder != "little":
+        raise RuntimeError("ids are written as they lie in memory, in 4 bytes, the lowest first")
+    content = Path(vocabulary).read_text(encoding="utf-8")
+    order = F.col("doc_id").asc_nulls_first()
     ordered = (
         docs.select("doc_id", common.text_bytes("text").alias("text"))
-        .repartitionByRange(F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        .repartitionByRange(order, F.substring("text", 1, 256))
+        .sortWithinPartitions(order, "text")
     )
     schema = "part int, segment int, n_docs long, n_ids long, doc_ids array<long>, data binary"
     fields = ["part", "segment", "n_docs", "n_ids", "doc_ids", "data"]
     types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches):
-        words, part = _words(vocabulary), TaskContext.get().partitionId()
+        words, part = _words(vocabulary, content), TaskContext.get().partitionId()
         held: list[np.ndarray] = []
         doc_ids: list = []
         size = segment = 0
@@ -305,7 +342,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = 1, layout: Lay
 
 
 def read(spark, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and n_bytes of its segment, decoded from the files.
+    """doc_id, start, n_tokens and ids_crc32 of each document, decoded from the files.
 
     ``start`` counts all ids before the document: totals are summed per part, then per segment
     inside a part, so no task sees more rows than there are parts, or segments of one part.
