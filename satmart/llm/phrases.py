@@ -37,7 +37,7 @@ class Phrases:
     least: int = 10
     within: int = 50
     top: int = 2000
-    shard_bytes: int = 12_000_000
+    shard_bytes: int = 9_000_000
 
 
 def shards(docs: DataFrame, how: Phrases) -> DataFrame:
@@ -233,8 +233,9 @@ def collocations(docs: DataFrame, stage, how: Phrases = Phrases()) -> DataFrame:
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     known = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(
         F.col("f") >= how.least)
-    # Written, so that an id is given once.
-    known = stage(known.withColumn("id", F.monotonically_increasing_id()), "known")
+    # Written, so that an id is given once; small ids for frequent words, which then take less room.
+    known = stage(
+        known.orderBy(F.desc("f")).withColumn("id", F.monotonically_increasing_id()), "known")
     dictionary = words.join(known, ["lang", "word"]).select("shard", "word", "id")
     counts = counted_phrases(held, dictionary, how).groupBy(*names).agg(F.sum("f").alias("f"))
     found = stage(counts.filter(F.col("f") >= how.least), "candidates")
