@@ -35,12 +35,14 @@ def session() -> SparkSession:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="satmart", description=jobs.__doc__)
     parser.add_argument(
-        "job", choices=["stage", "load", "baseline", "departments", "forecast", "classify"]
+        "job", choices=[
+            "stage", "load", "add", "replay", "baseline", "departments", "forecast", "classify"]
     )
     parser.add_argument("--warehouse", required=True, help="folder of the published tables")
     parser.add_argument("--settings", help="JSON file with values that replace the defaults")
-    parser.add_argument("--attendance", help="delimited attendance extract (stage, load)")
-    parser.add_argument("--registry", help="delimited facility registry (stage, load; optional)")
+    parser.add_argument("--attendance", help="delimited attendance extract (stage, load, add)")
+    parser.add_argument("--registry", help="delimited facility registry (stage, load, add; optional)")
+    parser.add_argument("--batch", help="name of the rows, which then count once (load, add)")
     parser.add_argument("--strict", action="store_true", help="stop under the valid rate (load)")
     args = parser.parse_args(argv)
 
@@ -56,15 +58,20 @@ def main(argv: list[str] | None = None) -> None:
 
 
 def _run(args, spark, warehouse: Warehouse, s: Settings, stage: Stage):
-    if args.job in ("stage", "load"):
+    if args.job in ("stage", "load", "add"):
         require(spark, *[p for p in (args.attendance, args.registry) if p])
         known = read_delimited(spark, args.registry) if args.registry else None
         attendance = read_delimited(spark, args.attendance)
         if args.job == "load":
-            return jobs.load_star(attendance, known, warehouse, s, args.strict, stage)
+            return jobs.load_star(
+                attendance, known, warehouse, s, args.strict, stage, args.batch)
+        if args.job == "add":
+            return jobs.add_attendance(attendance, known, warehouse, s, stage, args.batch)
         folder = f"{args.warehouse}/staging"
         print(*jobs.export_staging(attendance, known, folder, s, stage))
         return None
+    if args.job == "replay":
+        return jobs.replay_quarantine(warehouse)
     if args.job == "baseline":
         return jobs.compute_baseline(warehouse, s, stage)
     if args.job == "departments":

@@ -284,12 +284,11 @@ def acceptance(summarised: DataFrame, limit: float) -> DataFrame:
     """One row: entities, modelled ones, those under the error limit, and median scores."""
     ok = F.col("estado") == "OK"
     modelled = summarised.where(ok)
-    medians = [
-        exact_quantiles(modelled, c, [0.5]).agg(F.max("value")).scalar()
-        for c in ("mape_principal", "mape_recuperacion")
-    ]
+    scores = ("mape_principal", "mape_recuperacion")
+    medians = {r.column: r.value for r in exact_quantiles(modelled, scores, [0.5]).collect()}
     return summarised.agg(
         F.count("*").alias("n_total"),
         F.count_if(ok).alias("n_ok"),
         F.count_if(ok & (F.col("mape_principal") < limit)).alias("n_under_limit"),
-    ).withColumns({"mediana_principal": medians[0], "mediana_recuperacion": medians[1]})
+    ).withColumns({
+        f"mediana_{c.removeprefix('mape_')}": F.lit(medians.get(c)).cast("double") for c in scores})

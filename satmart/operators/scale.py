@@ -2,84 +2,106 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_BUCKET = 1 << 20  # distinct values one second-pass task may hold
+from satmart.sources.storage import Stage
+
+_PARTS = 1 << 16  # parts that a range of values is cut into
 _CLASSES = 256  # groups whose range counts are broadcast: a class column, never an entity
 
 
+@dataclass(frozen=True)
+class _Range:
+    """Values low to high of a column, how many rows lie below them, and the ranks sought in them."""
+
+    column: str
+    low: int
+    high: int
+    below: int
+    ranks: tuple[int, ...]
+
+    @property
+    def width(self) -> int:
+        return -(-(self.high - self.low + 1) // _PARTS)
+
+
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], decimals: int = 2
+    df: DataFrame, columns: str | Sequence[str], probabilities: Sequence[float], decimals: int = 2
 ) -> DataFrame:
-    """(probability, value): linearly interpolated quantiles of a whole column.
+    """(column, probability, value): linearly interpolated quantiles of whole columns.
 
-    ``percentile`` would collect every distinct value in one task. Values with a fixed number
-    of decimals are whole numbers of the last place, so two counts find the wanted ranks: one
-    per range of 2^20 values, then one per value inside the few ranges that hold a rank.
+    ``percentile`` would collect every distinct value in one task. Values with a fixed number of
+    decimals are whole numbers of the last place, which are counted once, for all columns together,
+    and written. Ranks are then found by radix: a range is cut into 2^16 parts, their counts tell
+    which parts hold the ranks, and those are cut again, four times at most for 64 bits. A round
+    looks for all ranks of all columns and brings one row for each to the driver. A column without
+    values gives no row.
     """
-    unit = 10**decimals
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.bround(F.col(column) * unit).cast("bigint").alias("v"))
-        .agg(F.count("*").alias("n"))
-    )
-    # Ranges are added up in wide ranges of 2^20 each, wide ranges among themselves: 64-bit values
-    # have fewer than 2^24 wide ranges, so neither window grows with the rows or their spread.
-    in_wide = W.partitionBy("wide").orderBy("bucket")
-    by_range = counted.groupBy(
-        F.floor(F.col("v") / _BUCKET).alias("bucket"),
-        F.floor(F.col("v") / (_BUCKET * _BUCKET)).alias("wide"),
-    ).agg(F.sum("n").alias("n"))
-    wides = by_range.groupBy("wide").agg(F.sum("n").alias("in_wide")).select(
-        "wide",
-        (F.sum("in_wide").over(W.orderBy("wide")) - F.col("in_wide")).alias("wide_before"),
-        F.sum("in_wide").over(W.partitionBy()).alias("total"),
-    )
-    ranges = (
-        by_range.withColumn("inside", F.sum("n").over(in_wide) - F.col("n"))
-        .join(wides, "wide")
-        .select(
-            "bucket", "n", (F.col("wide_before") + F.col("inside")).alias("before"), "total"
-        )
-        .withColumn("probability", F.explode(F.array(*map(F.lit, probabilities))))
-        .withColumn("position", F.col("probability") * (F.col("total") - 1))
-        .withColumn(
-            "rank",
-            F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))),
-        )
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select("bucket", "before", "probability", "position", "rank")
-    )
-    # At most two ranges per probability, so this side always fits a broadcast.
-    wanted = ranges.groupBy("bucket").agg(
-        F.first("before").alias("before"),
-        F.collect_list(F.struct("probability", "position", "rank")).alias("ranks"),
-    )
-    by_value = W.partitionBy("bucket").orderBy("v")
-    hits = (
-        counted.withColumn("bucket", F.floor(F.col("v") / _BUCKET))
-        .join(F.broadcast(wanted), "bucket")
-        .withColumn("upto", F.col("before") + F.sum("n").over(by_value))
-        .withColumn("r", F.explode("ranks"))
-        .where((F.col("r.rank") < F.col("upto")) & (F.col("r.rank") >= F.col("upto") - F.col("n")))
-    )
-    share = F.col("position") - F.floor("position")
-    return (
-        hits.groupBy(F.col("r.probability").alias("probability"))
-        .agg(
-            F.first("r.position").alias("position"),
-            (F.min("v") / unit).alias("low"),
-            (F.max("v") / unit).alias("high"),
-        )
-        .select(
-            "probability",
-            (F.col("low") + (F.col("high") - F.col("low")) * share).alias("value"),
-        )
+    names = [columns] if isinstance(columns, str) else list(columns)
+    unit, spark = 10**decimals, df.sparkSession
+    values = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.bround(F.col(c) * unit).cast("bigint").alias("v"))
+        for c in names
+    ])).alias("x")
+    counted = Stage(spark)(
+        df.select(values).select("x.*").where("v IS NOT NULL")
+        .groupBy("column", "v").agg(F.count("*").alias("n")),
+        "counted")
+    spans = counted.groupBy("column").agg(
+        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+    positions = {(r.column, p): p * (r.n - 1) for r in spans for p in probabilities}
+    ranges = [
+        _Range(r.column, r.low, r.high, 0, tuple(sorted(
+            {f(positions[r.column, p]) for p in probabilities for f in (math.floor, math.ceil)})))
+        for r in spans
+    ]
+    found: dict[tuple[str, int], int] = {}
+    while ranges:
+        found |= {(r.column, k): r.low for r in ranges if r.low == r.high for k in r.ranks}
+        ranges = _narrowed(counted, [r for r in ranges if r.low < r.high])
+    rows = []
+    for (column, p), at in positions.items():
+        low, high = (found[column, f(at)] / unit for f in (math.floor, math.ceil))
+        rows.append((column, float(p), low + (high - low) * (at - math.floor(at))))
+    return spark.createDataFrame(rows, "column string, probability double, value double")
+
+
+def _narrowed(counted: DataFrame, ranges: list[_Range]) -> list[_Range]:
+    """The parts of the ranges that hold their ranks."""
+    if not ranges:
+        return []
+    number = F.coalesce(*[
+        F.when((F.col("column") == r.column) & F.col("v").between(r.low, r.high), F.lit(i))
+        for i, r in enumerate(ranges)
+    ])
+    part = F.coalesce(*[
+        F.when(F.col("range") == i, F.floor((F.col("v") - r.low) / r.width))
+        for i, r in enumerate(ranges)
+    ])
+    upto = W.partitionBy("range").orderBy("part")
+    sums = (
+        counted.withColumn("range", number).where("range IS NOT NULL").withColumn("part", part)
+        .groupBy("range", "part").agg(F.sum("n").alias("n"))
+        .withColumn("upto", F.sum("n").over(upto))
     )
+    below = F.coalesce(*[F.when(F.col("range") == i, F.lit(r.below)) for i, r in enumerate(ranges)])
+    wanted = F.coalesce(*[
+        F.when(F.col("range") == i, F.array(*map(F.lit, r.ranks))) for i, r in enumerate(ranges)])
+    sums = sums.withColumn("below", below + F.col("upto") - F.col("n"))
+    ranks = F.filter(wanted, lambda k: (k >= F.col("below")) & (k < F.col("below") + F.col("n")))
+    hits = sums.withColumn("ranks", ranks).where(F.size("ranks") > 0).collect()
+    result = []
+    for h in hits:
+        r = ranges[h.range]
+        low = r.low + h.part * r.width
+        result.append(_Range(r.column, low, min(low + r.width - 1, r.high), h.below, tuple(h.ranks)))
+    return result
 
 
 def position_by_digest(

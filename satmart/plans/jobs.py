@@ -35,6 +35,7 @@ def load_star(
     s: Settings,
     strict: bool = False,
     stage: Stage | None = None,
+    batch: str | None = None,
 ) -> DataFrame:
     """Dimensions, fact and quarantine (``fact_cuarentena``) from the raw extracts.
 
@@ -43,7 +44,8 @@ def load_star(
     registry has not the expected size, the match rate, failures per key and the valid rate.
     A dimension that breaks a declared rule (a repeated key, a null, a text over its width)
     raises and nothing is published.
-    With ``strict`` a valid rate under the limit raises and nothing is published.
+    With ``strict`` a valid rate under the limit raises and nothing is published. ``batch`` names the
+    rows for ``add_attendance``, which then does not add them again.
     """
     base = warehouse.snapshot()
     star = Star(attendance, known, s, stage or Stage(warehouse.spark), _keys(base))
@@ -62,6 +64,8 @@ def load_star(
         "observaciones": ingest.with_month(star.observations, s),
         "registro_claves": _keys_after(star.keys, dimension_tables),
     }
+    names = [(batch,)] if batch is not None else []
+    published["lotes"] = warehouse.spark.createDataFrame(names, "lote string")
     warehouse.replace(published, drop=("dim_departamento", *RESULTS), since=base)
     return _load_report(star, s)
 
@@ -319,7 +323,10 @@ def _series(base: Snapshot, stage: Stage) -> DataFrame:
 def run_forecast(
     warehouse: Warehouse, s: Settings, stage: Stage | None = None
 ) -> DataFrame:
-    """Demand projection per department, replacing the earlier one; returns the run's summary."""
+    """Demand projection per department, replacing the earlier one.
+
+    Returns the run's summary: a row per department, each with the verdict on the run, namely the
+    departments, those modelled, those under the error limit, and both median errors."""
     stage, base = stage or Stage(warehouse.spark), warehouse.snapshot()
     series, names = _series(base, stage), base.read("dim_departamento")
     gated = forecast.eligible(series, ENTITY, s)
@@ -335,7 +342,8 @@ def run_forecast(
     published = forecast.published_forecast(model(gated, ENTITY, s), ENTITY)
     rows = forecast.result_rows(published, summary, ENTITY)
     warehouse.replace({"resultado_proyeccion": stamped(rows)}, since=base)
-    return summary
+    verdict = forecast.acceptance(summary, s.mape_limit).first().asDict()
+    return summary.withColumns({name: F.lit(value) for name, value in verdict.items()})
 
 
 def run_classification(
@@ -344,7 +352,7 @@ def run_classification(
     """Saturation level of every projected month, replacing the earlier one.
 
     Returns (section, metric, value): scores per class and on average, folds, projected months kept
-    and dropped for missing lags, and months per published level.
+    and dropped for missing lags, months per published level, and whether the score passes its limit.
     """
     base = warehouse.snapshot()
     projection = require_rows(base.read("resultado_proyeccion"), "resultado_proyeccion")
@@ -383,4 +391,5 @@ def run_classification(
         "pliegues": folded.groupBy(F.col("fold").cast("string").alias("fold")).count(),
         "proyectados": ingest.long_format(panel.dropped_counts(spliced)),
         "niveles": result.groupBy("nivel_saturacion").count(),
+        "veredicto": ingest.long_format(_as_doubles(classify.acceptance(report, s.f1_limit))),
     })

@@ -572,6 +572,8 @@ _SELECTS: dict[str, str] = {
         SELECT periodo, nombre_centro, especialidad, ubigeo, cantidad_atenciones FROM loaded""",
     "incremental_fact": """
         SELECT periodo, nombre_centro, especialidad, ubigeo, cantidad_atenciones FROM loaded""",
+    "streamed_star_fact": """
+        SELECT periodo, nombre_centro, especialidad, ubigeo, cantidad_atenciones FROM loaded""",
     "replayed_fact": """
         SELECT periodo, nombre_centro, especialidad, ubigeo, cantidad_atenciones FROM loaded""",
     "training_month_totals": """

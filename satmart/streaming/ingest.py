@@ -1,4 +1,5 @@
-"""Incremental ingest: attendance arrives file by file; partial sums per grain are merged."""
+"""Incremental ingest: attendance arrives file by file; partial sums per grain are merged, or the
+published star is kept up to date."""
 
 from __future__ import annotations
 
@@ -11,7 +12,10 @@ from satmart.operators.ingest import (
     merge_observations,
     observations,
 )
+from satmart.plans import jobs
+from satmart.settings import Settings
 from satmart.sources.storage import child_names, exists, remove
+from satmart.sources.warehouse import Warehouse
 
 
 def ingest_new_files(
@@ -64,12 +68,45 @@ def merged_observations(spark: SparkSession, partials: str) -> DataFrame:
 def compact(spark: SparkSession, partials: str) -> None:
     """Merge the batches since the last total into a new one.
 
-    A later merge then reads one total and the batches after it, however many there were. The
-    merged folders are removed, so no reader may be under way.
+    A later merge then reads one total and the batches after it, however many there were. The total's
+    name says up to which batch it goes, so what it holds is not read again; the merged folders stay
+    for readers that are under way, until ``remove_merged``.
     """
-    paths, last = _unmerged(spark, partials)
-    if last is None:
-        return
-    merged_observations(spark, partials).write.mode("overwrite").parquet(f"{partials}/total={last}")
-    for path in paths:
-        remove(spark, path)
+    _, last = _unmerged(spark, partials)
+    if last is not None:
+        merged_observations(spark, partials).write.mode("overwrite").parquet(
+            f"{partials}/total={last}")
+
+
+def remove_merged(spark: SparkSession, partials: str) -> None:
+    """Free the space of what the last total holds, when no reader is under way."""
+    totals = _numbered(spark, partials, "total")
+    for kind, numbers in (("total", totals[:-1]), ("batch", _numbered(spark, partials, "batch"))):
+        for number in numbers:
+            if totals and number <= totals[-1]:
+                remove(spark, f"{partials}/{kind}={number}")
+
+
+def keep_star(
+    raw_stream: DataFrame, known: DataFrame | None, warehouse: Warehouse, s: Settings,
+    checkpoint: str, name: str = "stream",
+) -> StreamingQuery:
+    """Adds the files that arrived since the last run to the published star, batch by batch.
+
+    The first batch of an empty warehouse loads it; a later one derives anew what its rows touch:
+    their months, facilities and geographies. The warehouse keeps the names of the batches it holds
+    in the release that holds their rows, so a batch repeated after a failure counts once.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        add = jobs.add_attendance if warehouse.tables() else jobs.load_star
+        add(batch, known, warehouse, s, batch=f"{name}-{batch_id}")
+
+    return (
+        raw_stream.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -27,6 +27,28 @@ def test_dominant_breaks_ties_by_attribute(frame):
     assert [tuple(r) for r in got] == [("k", "a", 2), ("z", "q", 1)]
 
 
+def test_quantiles_of_several_columns_equal_percentile(frame):
+    rng = np.random.default_rng(4)
+    rows = [(float(v), float(w) if i % 3 else None, None) for i, (v, w) in enumerate(zip(
+        rng.integers(-10**9, 10**9, 500) / 100, rng.choice([1.25, 7.5, 9e12], 500)))]
+    df, probabilities = frame(rows, "x double, y double, z double"), [0.0, 0.1, 0.5, 0.75, 1.0]
+    got = {(r.column, r.probability): r.value
+           for r in scale.exact_quantiles(df, ["x", "y", "z"], probabilities).collect()}
+    for i, c in enumerate("xy"):
+        data = [r[i] for r in rows if r[i] is not None]
+        for p in probabilities:
+            assert got[c, p] == pytest.approx(np.quantile(data, p), rel=1e-12)
+    assert len(got) == 10
+
+
+def test_repeated_keys_are_found_by_digest_and_checked_as_they_are(frame):
+    df = frame([(1, "a", "x"), (1, "b", "x"), (2, "b", None), (2, "b", None), (3, None, "y")],
+               "k long, a string, b string")
+    got = {r.check_column: r.n_violations for r in quality.unique_in_one_pass(
+        df, "t", ["k", "a", "k,a,b", "b"]).collect()}
+    assert got == {"k": 2, "a": 1, "k,a,b": 1, "b": 2}
+
+
 def test_dominant_with_one_hot_key(frame):
     random.seed(1)
     rows = [("hot" if i % 3 else f"k{i % 50}", f"a{random.randint(0, 9)}", 1) for i in range(3000)]

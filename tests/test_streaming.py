@@ -8,7 +8,9 @@ from satmart.operators.ingest import cleaned, observations
 from satmart.plans import roles
 from satmart.plans.catalogue import QUERIES
 from satmart.sources.delimited import stream_delimited, write_delimited
-from satmart.streaming.ingest import compact, ingest_new_files, merged_observations
+from satmart.streaming.ingest import (
+    compact, ingest_new_files, merged_observations, remove_merged,
+)
 
 
 def test_stream_of_files_equals_batch(spark, workdir):
@@ -27,11 +29,16 @@ def test_stream_of_files_equals_batch(spark, workdir):
     arrive()
     arrive()  # nothing new: nothing is counted twice
     compact(spark, partials)
+    reader = merged_observations(spark, partials)
+    n = reader.count()
+    remove_merged(spark, partials)
     assert os.listdir(partials) == ["total=0"]
     late.write.mode("append").parquet(landing)
     arrive()
     compact(spark, partials)
     compact(spark, partials)
+    assert reader.count() == n  # begun before the compaction, which left its files
+    remove_merged(spark, partials)
     assert os.listdir(partials) == ["total=1"]
     got = merged_observations(spark, partials)
     want = observations(cleaned(raw), "Consultas").select(got.columns)
