@@ -177,12 +177,14 @@ class Words:
     contraction only where the tokenizer lower-cases) go to the tokenizer as they are.
 
     A run as a word has the same ids, so one table holds both; it is emptied once ``most`` are in it.
+    Where the tokenizer lower-cases, A-Z of texts without a special token's mark are lower-cased first,
+    so that fewer words differ.
     """
 
     RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
     CAPITAL = regex.compile(r"'\p{L}?\p{Lu}")
 
-    def __init__(self, path: str, most: int = 1_000_000, content: str | None = None):
+    def __init__(self, path: str, most: int = 1_600_000, content: str | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = (
@@ -190,6 +192,8 @@ class Words:
         self.most = most
         self.words: dict[bytes, bytes] = {}
         self._encoded = self._whole_runs
+        self.lowers = self.tokenizer.normalizer is not None and (
+            self.tokenizer.normalizer.normalize_str("ABCXYZ") == "abcxyz")
         probe = ["Abc", "é", "'s", "9", "?!", "ß", "漢字", "~", "ÀÑ"]
         if self.tokenizer.normalizer is not None:
             if self._byte_runs(probe) == self._whole_runs(probe):
@@ -266,11 +270,16 @@ class Words:
         for word, parts in cut:
             known[word] = b"".join([known[run] for run in parts])
 
+    def _cut(self, text: bytes) -> list[bytes]:
+        if self.lowers and b"<|" not in text:
+            text = text.lower()
+        return text.split()
+
     def __call__(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         """Ids of each text, and the end id."""
         if len(self.words) > self.most:
             self.words.clear()
-        cut = [text.split() for text in texts]
+        cut = [self._cut(text) for text in texts]
         known, mark = self.words, np.array([end], "<u4").tobytes()
         new = set().union(*cut).difference(known)
         if new:
