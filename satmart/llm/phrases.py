@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -37,7 +38,7 @@ class Phrases:
     least: int = 10
     within: int = 50
     top: int = 2000
-    shard_bytes: int = 9_000_000
+    shard_bytes: int = 6_000_000
 
 
 def shards(docs: DataFrame, how: Phrases) -> DataFrame:
@@ -79,9 +80,15 @@ def shards(docs: DataFrame, how: Phrases) -> DataFrame:
     return source.mapInArrow(run, "shard long, lang string, data binary")
 
 
-def _tokens(data: bytes) -> list[bytes]:
-    """Words, with a line end between pieces and empty strings where blanks meet."""
-    return zlib.decompress(data).translate(_SIGNS).replace(b"\n", b" \n ").split(b" ")
+def _tokens(data: bytes, step: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Words, with a line end between pieces and empty strings where blanks meet; whole pieces of
+    about ``step`` bytes of text at a time."""
+    raw, at = zlib.decompress(data).translate(_SIGNS), 0
+    while at < len(raw):
+        end = raw.find(b"\n", at + step)
+        end = len(raw) if end < 0 else end + 1
+        yield raw[at:end].replace(b"\n", b" \n ").split(b" ")
+        at = end
 
 
 def words_of(held: DataFrame) -> DataFrame:
@@ -89,7 +96,9 @@ def words_of(held: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                counts = Counter(_tokens(row["data"]))
+                counts: Counter = Counter()
+                for tokens in _tokens(row["data"]):
+                    counts.update(tokens)
                 counts.pop(b"", None)
                 counts.pop(b"\n", None)
                 size = len(counts)
@@ -118,9 +127,8 @@ class Side:
         else:
             order = np.lexsort([padded[j : j + n] for j in range(depth - 1, -1, -1)])
         self.before = ids[order - 1]  # the first suffix has the last id before it: an end
-        step = np.empty(n, np.int64)
-        step[np.argsort(self.before, kind="stable")] = np.arange(n)
-        self.step = step
+        self.step = np.empty(n, np.int32)
+        self.step[np.argsort(self.before, kind="stable")] = np.arange(n, dtype=np.int32)
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=kinds))])
 
 
@@ -159,7 +167,7 @@ class Index:
         opened = np.searchsorted(parent, np.arange(low.size))
         ahead = upto - upto[np.minimum(opened, max(found.size - 1, 0))][parent]
         real = word > 0
-        return (parent[real], word[real], side.step[row[first]][real],
+        return (parent[real], word[real], side.step[row[first]][real].astype(np.int64),
                 (other[parent] + ahead)[real], found[real])
 
 
@@ -194,15 +202,16 @@ def counted_phrases(held: DataFrame, dictionary: DataFrame, how: Phrases) -> Dat
         local[b""] = -1
         parts = []
         for row in left.to_pylist():
-            tokens = _tokens(row["data"])
-            ids = np.fromiter(map(local.get, tokens, repeat(0)), np.int32, len(tokens))
-            del tokens
-            ids = np.concatenate([[0], ids[ids >= 0], [0]]).astype(np.int32)
+            found = [np.fromiter(map(local.get, tokens, repeat(0)), np.int32, len(tokens))
+                     for tokens in _tokens(row.pop("data"))]
+            ids = np.concatenate([[0], *found, [0]]).astype(np.int32)
+            ids = ids[ids >= 0]
             # One end between pieces is enough.
             ids = ids[np.concatenate([[True], (ids[1:] > 0) | (ids[:-1] > 0)])]
             if ids[-1]:
                 ids = np.append(ids, np.int32(0))
             parts += phrases_of(ids, how.longest)
+        local.clear()
         columns = [[] for _ in range(how.longest + 1)]
         for rows, count in parts:
             for j in range(how.longest):
