@@ -7,6 +7,8 @@ alignment inside its band."""
 from __future__ import annotations
 
 import sys
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from satmart.llm import common
 
@@ -80,23 +82,27 @@ def passages(text: str, how: Match) -> list[str]:
 
 
 class Index:
-    """q-grams of the passages of one block of items."""
+    """q-grams of the distinct passages of one block of items."""
 
     BITS = 22
 
     def __init__(self, items: list[tuple[int, str]], how: Match):
         self.how = how
-        self.items, self.patterns, grams, owner, place = [], [], [], [], []
+        known: dict[str, int] = {}
+        self.items: list[Counter] = []  # per passage: item -> how often it holds it
+        grams, owner, place = [], [], []
         for item_id, text in items:
             for passage in passages(folded(text), how):
-                hashes = gram_hashes(_codes(passage), how.q)
-                if not hashes.size:
-                    continue
-                owner.append(np.full(hashes.size, len(self.patterns), np.int32))
-                place.append(np.arange(hashes.size, dtype=np.int32))
-                grams.append(hashes)
-                self.items.append(item_id)
-                self.patterns.append(passage)
+                p = known.setdefault(passage, len(known))
+                if p == len(self.items):
+                    hashes = gram_hashes(_codes(passage), how.q)
+                    owner.append(np.full(hashes.size, p, np.int32))
+                    place.append(np.arange(hashes.size, dtype=np.int32))
+                    grams.append(hashes)
+                    self.items.append(Counter())
+                self.items[p][item_id] += 1
+        self.patterns = list(known)
+        self.longest = max(map(len, known), default=0)
         empty = np.empty(0, np.int32)
         grams = np.concatenate([np.empty(0, np.uint64), *grams])
         order = np.argsort(grams, kind="stable")
@@ -111,8 +117,11 @@ class Index:
         self.bound = m - how.q + 1 - how.q * self.edits
         self.width = np.maximum(self.edits, 1)
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Place in the text, passage and place in the passage of every shared q-gram."""
+    def hits(
+        self, codes: np.ndarray, most: int = 2_000_000
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Place in the text, passage and place in the passage of every shared q-gram, about ``most``
+        at a time: a q-gram that both repeat often gives as many as the product of both."""
         hashes = gram_hashes(codes, self.how.q)
         at = np.flatnonzero(self.maybe[(hashes >> np.uint64(64 - self.BITS)).astype(np.int64)])
         slot = np.searchsorted(self.keys, hashes[at])
@@ -120,8 +129,14 @@ class Index:
         same = self.keys[slot] == hashes[at] if self.keys.size else np.zeros(0, bool)
         at, slot = at[same], slot[same]
         n = self.count[slot]
-        posting = np.repeat(self.first[slot] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.repeat(at, n), self.owner[posting], self.place[posting]
+        part = np.cumsum(n) // most
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), at.size]):
+            if i < j:
+                few, own = n[i:j], slot[i:j]
+                posting = np.repeat(self.first[own] - np.cumsum(few) + few, few) + np.arange(
+                    few.sum())
+                yield np.repeat(at[i:j], few), self.owner[posting], self.place[posting]
 
 
 def aligned(pattern: np.ndarray, region: np.ndarray) -> tuple[int, int]:
@@ -169,45 +184,50 @@ def matches(index: Index, texts: list[str], chars: int = 1_000_000) -> list[dict
     return found + (_matches(index, held) if held else [])
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, number = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(number, counts, keys.size).astype(np.int64)
+
+
 def _matches(index: Index, texts: list[str]) -> list[dict[int, tuple[int, int, int, int]]]:
     texts = [folded(t) for t in texts]
     lengths = np.array([len(t) for t in texts])
     starts = np.cumsum(lengths + 1) - lengths - 1
     codes = _codes("\n".join(texts))  # no folded text holds a line end, so no q-gram spans two
-    place, owner, offset = index.hits(codes)
     found: list[dict] = [{} for _ in texts]
-    if not place.size:
-        return found
-    doc = np.searchsorted(starts, place, "right") - 1
-    width = index.width[owner]
-    # Bands are two widths wide and a width apart: one of them holds any diagonals a width apart.
-    lead = (place - starts[doc] - offset) // width
-    n_bands = 2 * int(lengths.max()) + 4 + 2 * int(offset.max())
-    shift = int(offset.max()) + 2
-    keys = (doc * len(index.patterns) + owner) * n_bands + lead + shift
-    keys = np.concatenate([keys, keys - 1])
-    keys, counts = np.unique(keys, return_counts=True)
-    band = keys % n_bands - shift
-    rest = keys // n_bands
-    doc, owner = rest // len(index.patterns), rest % len(index.patterns)
-    kept = np.flatnonzero(counts >= index.bound[owner])
-    done: dict[tuple[int, int], int] = {}
-    for k in kept.tolist():
-        d, p, b = int(doc[k]), int(owner[k]), int(band[k])
-        w, e, m = int(index.width[p]), int(index.edits[p]), len(index.patterns[p])
-        if done.get((d, p)) == 0:
+    n_bands = 2 * int(lengths.max()) + 4 + 2 * index.longest
+    shift = index.longest + 2
+    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for place, owner, offset in index.hits(codes):
+        doc = np.searchsorted(starts, place, "right") - 1
+        # Bands are two widths wide and a width apart: one of them holds any diagonals a width apart.
+        lead = (place - starts[doc] - offset) // index.width[owner]
+        key = (doc * len(index.patterns) + owner) * n_bands + lead + shift
+        new, n = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        keys, counts = _summed(np.concatenate([keys, new]), np.concatenate([counts, n]))
+    pair = keys // n_bands
+    kept = np.flatnonzero(counts >= index.bound[pair % len(index.patterns)]) if keys.size else keys
+    # Bands next to each other are looked at together: a text that goes on and on has many.
+    first = np.flatnonzero(np.concatenate(
+        [[True], (np.diff(keys[kept]) > 1) | (np.diff(pair[kept]) != 0)])) if kept.size else kept
+    last = np.append(first[1:], kept.size) - 1
+    done: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for a, b in zip(keys[kept[first]].tolist(), keys[kept[last]].tolist()):
+        (d, p), low, high = divmod(a // n_bands, len(index.patterns)), a % n_bands, b % n_bands
+        if done.get((d, p), (1,))[0] == 0:
             continue
+        w, e, m = int(index.width[p]), int(index.edits[p]), len(index.patterns[p])
         s = int(starts[d])
         own = codes[s : s + int(lengths[d])]
-        got = _verified(index, own, texts[d], p, b * w - e, (b + 2) * w + m + e)
-        if got is None:
-            continue
-        before = done.get((d, p))
-        done[d, p] = got[0] if before is None else min(before, got[0])
-        item = index.items[p]
-        old = found[d].get(item)
-        n = (old[3] if old else 0) + (before is None)
-        found[d][item] = (*min(got, old[:3]), n) if old else (*got, n)
+        got = _verified(
+            index, own, texts[d], p, (low - shift) * w - e, (high - shift + 2) * w + m + e)
+        if got is not None:
+            done[d, p] = min(got, done.get((d, p), got))
+    for (d, p), got in done.items():
+        for item, times in index.items[p].items():
+            old = found[d].get(item)
+            n = (old[3] if old else 0) + times
+            found[d][item] = (*(min(got, old[:3]) if old else got), n)
     return found
 
 
@@ -225,17 +245,20 @@ def item_blocks(items: DataFrame, how: Match):
 def overlaps(
     docs: DataFrame, items: DataFrame, carry: list[str], text: str = "text", how: Match = Match()
 ) -> DataFrame:
-    """``row`` (the carried columns) and ``found``: array of item_id, edits, start, stop and
-    n_passages, for each document that holds a passage of an item; other documents give no row.
-
-    ``start`` and ``stop`` are characters of the document. Items under ``q`` characters, null and
-    empty texts match nothing. The benchmark is looked for in blocks of bounded size, each in one
-    pass over the documents, so a benchmark of any size is neither broadcast nor cut; a document
-    that matches in several blocks then gives several rows.
+    """``row`` (the carried columns) and ``found``: item_id, edits, start, stop and n_passages, a row
+    for each document and item of which it holds a passage; other documents give no row.
+
+    ``start`` and ``stop`` are characters of the document, those of the passage with the fewest
+    edits, the first of such. Items under ``q`` characters, null and empty texts match nothing;
+    repeated rows each give their rows, passages of a repeated item count each time; texts of any length are
+    looked at whole; empty tables give no rows. The benchmark is looked for in blocks of bounded
+    size, each in one pass over the documents, so a benchmark of any size is neither broadcast nor
+    cut.
     """
-    source = docs.select(common.row_of(carry), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    source = docs.select(
+        common.row_of(carry), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     names = ["item_id", "edits", "start", "stop", "n_passages"]
-    kind = ArrayType(StructType([StructField(n, LongType()) for n in names]))
+    kind = StructType([StructField(n, LongType()) for n in names])
     schema = source.select("row").schema.add("found", kind)
     arrow = to_arrow_type(kind)
 
@@ -244,12 +267,11 @@ def overlaps(
             for batch in batches:
                 for part in common.slices(batch):
                     found = matches(index, part.column(1).to_pylist())
-                    hit = [i for i, f in enumerate(found) if f]
-                    values = [[dict(zip(names, (k, *v)))
-                               for k, v in sorted(found[i].items())] for i in hit]
-                    rows = part.column(0).take(pa.array(hit, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([rows, pa.array(values, arrow)],
-                                                     ["row", "found"])
+                    hits = [(i, dict(zip(names, (k, *v))))
+                            for i, f in enumerate(found) for k, v in sorted(f.items())]
+                    rows = part.column(0).take(pa.array([i for i, _ in hits], pa.int64()))
+                    yield pa.RecordBatch.from_arrays(
+                        [rows, pa.array([v for _, v in hits], arrow)], ["row", "found"])
         return run
 
     result = None
@@ -262,7 +284,10 @@ def overlaps(
 def keep_clean(
     docs: DataFrame, items: DataFrame, text: str = "text", how: Match = Match()
 ) -> DataFrame:
-    """The rows of ``docs`` whose text holds no passage of any item, with their own columns."""
+    """The rows of ``docs`` whose text holds no passage of any item, with their own columns.
+
+    Null and empty texts stay, repeated rows go or stay together, texts of any length are looked at
+    whole; without items all rows stay."""
     source = docs.select("*")
     for block in item_blocks(items, how):
         source = _without(source, Index(block, how), text)

@@ -96,7 +96,7 @@ def op7_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold passages of benchmark items: one row per document and item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = qgram_lemma.overlaps(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
-    return found.select("row.doc_id", F.inline("found"))
+    return found.select("row.doc_id", "found.*")
 
 
 def op8_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

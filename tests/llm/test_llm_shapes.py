@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import resource
 import zlib
 
 import numpy as np
@@ -323,8 +324,9 @@ def test_overlaps_equal_alignment_of_everything(spark, frame):
     bench = frame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
     for how in (qgram_lemma.Match(), qgram_lemma.Match(block_chars=300)):
         rows = qgram_lemma.overlaps(docs, bench, ["doc_id"], how=how).select(
-            "row.doc_id", F.inline("found")).collect()
+            "row.doc_id", "found.*").collect()
         got = {(r.doc_id, r.item_id): r.edits for r in rows}
+        assert len(got) == len(rows)  # one row per document and item, in however many blocks
         want = {}
         for (d, text), (i, item) in itertools.product(enumerate(texts), enumerate(items[:12])):
             near = [(edit_distance_inside(p, qgram_lemma.folded(text or "")), len(p))
@@ -372,6 +374,50 @@ def test_copies_cut_anywhere_are_found():
         assert set(found) <= {i} and (b - a < 99 or i in found)
 
 
+def test_places_and_numbers_of_passages_equal_alignment():
+    draw = random.Random(21)
+
+    def letters(n):
+        return "".join(draw.choice("aeiourstln ") for _ in range(n))
+
+    items = [(i, letters(draw.randrange(60, 200))) for i in range(8)] + [(8, "ab" * 70)]
+    items.append((9, items[0][1]))
+    how, texts = qgram_lemma.Match(), []
+    for _ in range(30):
+        item = list(draw.choice(items)[1])
+        for _ in range(draw.randrange(0, 5)):
+            at = draw.randrange(len(item))
+            item[at : at + 1] = draw.choice([[], ["#"], [item[at], "#"]])
+        texts.append(letters(30) + "".join(item) + letters(20))
+    index = qgram_lemma.Index(items, how)
+    for text, found in zip(texts, qgram_lemma.matches(index, texts)):
+        want = {}
+        for i, item in items:
+            allowed = [(p, min(int(len(p) * how.edits), (len(p) - how.q) // how.q))
+                       for p in qgram_lemma.passages(item, how)]
+            near = [(edit_distance_inside(p, text), p) for p, e in allowed
+                    if edit_distance_inside(p, text) <= e]
+            if near:
+                want[i] = (min(e for e, _ in near), len(near))
+        assert {i: (v[0], v[3]) for i, v in found.items()} == want
+        for i, (edits, start, stop, _) in found.items():
+            near = [edit_distance_inside(p, text[start:stop])
+                    for p in qgram_lemma.passages(dict(items)[i], how)]
+            assert min(near) == edits and (edits or text[start:stop] in dict(items)[i])
+
+
+def test_a_character_that_goes_on_and_on():
+    """An item of dashes against a million of them, and one of nearly dashes: all within bounds."""
+    items = [(1, "-" * 400), (2, "-" * 76 + "x y="), (3, "=" * 60)]
+    index = qgram_lemma.Index(items, qgram_lemma.Match())
+    assert len(index.patterns) == 3
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    got, none = qgram_lemma.matches(index, ["a" + "-" * 1_000_000, "-" * 40 + "=" * 50])
+    assert got[1][:3] == (0, 1, 81) and got[1][3] == 17 and got[2][0] == 4 and set(got) == {1, 2}
+    assert none == {}
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # KB
+
+
 def test_benchmark_items_are_found_in_the_test_table(spark):
     got = {(r.doc_id, r.item_id) for r in queries.op7_qgram_lemma(spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
