@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Suffixes of two labels under which names are registered; extend by parameter.
+#: Suffixes of two labels under which names are registered; ``judge`` takes others.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz")
 
 
@@ -55,6 +55,11 @@ def matching_rule(rules: tuple[Rule, ...], host: Column, path: Column) -> tuple[
     return name, verdict
 
 
+def site_of(host: Column) -> Column:
+    """The host without a user before ``@`` and a port behind ``:``: whose reputation it has."""
+    return F.regexp_replace(F.regexp_replace(host, "(?s)^.*@", ""), ":[0-9]*$", "")
+
+
 def suffix_and_domain(
     host: Column, two_label: tuple[str, ...] = TWO_LABEL_SUFFIXES
 ) -> tuple[Column, Column]:
@@ -87,7 +92,10 @@ def _strength(children: DataFrame, least: float = 1.0, most: float = 1000.0) ->
     return round(min(max(got.pairs / got.over - 1, least), most), 6)
 
 
-def host_posteriors(hosts: DataFrame, outcomes: DataFrame, stage) -> DataFrame:
+def host_posteriors(
+    hosts: DataFrame, outcomes: DataFrame, stage,
+    two_label: tuple[str, ...] = TWO_LABEL_SUFFIXES,
+) -> DataFrame:
     """Posterior of the share of bad pages for each host in ``hosts``.
 
     ``outcomes`` holds host and bad (0 or 1), one row per labelled page. The global share is the
@@ -96,7 +104,7 @@ def host_posteriors(hosts: DataFrame, outcomes: DataFrame, stage) -> DataFrame:
     prior; one of an unknown domain the suffix's, which counts only as much as suffixes tell about
     domains; one of an unknown suffix the global one in the same way. Labelled rows are summed by host, map-side, before anything else.
     """
-    suffix, domain = suffix_and_domain(F.col("host"))
+    suffix, domain = suffix_and_domain(F.col("host"), two_label)
     bad = F.col("bad").cast("long")
     by_host = stage(
         outcomes.filter(F.col("bad").isNotNull() & F.col("host").isNotNull())
@@ -148,25 +156,32 @@ def judge(
     stage,
     worst: float = 0.2,
     z: float = 1.645,
+    two_label: tuple[str, ...] = TWO_LABEL_SUFFIXES,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict and n_labelled for every page.
 
     ``outcomes`` holds page_id and bad. The longest fitting rule decides; without one a page is
     blocked when the lower posterior bound (mean - z * sd) of its host's share of bad pages is over
     ``worst``. A null url, or one without ``://``, has the empty host, which is judged like any
-    other. Every page gives one row, repeated pages too; outcomes of unknown pages do not count.
+    other. Every page gives one row, repeated pages and those without an id too; outcomes of unknown
+    pages do not count, and an empty table gives no rows. Reputation is that of the host without user
+    and port; rules look at the host as it is. ``two_label`` are the suffixes of two labels under
+    which names are registered. Other columns of both tables are not read.
     """
     host, path = host_and_path(F.col("url"))
-    named = pages.select("page_id", host.alias("host"), path.alias("path"))
+    named = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn(
+        "site", site_of(F.col("host")))
     labelled = outcomes.select("page_id", "bad").join(
-        named.select("page_id", "host"), "page_id").select("host", "bad")
-    hosts = named.groupBy("host").agg(F.count("*").alias("n_pages"))
-    posterior = host_posteriors(hosts, labelled, stage)
+        named.select("page_id", F.col("site").alias("host")), "page_id").select("host", "bad")
+    sites = named.groupBy(F.col("site").alias("host")).agg(F.count("*").alias("n_pages"))
+    posterior = host_posteriors(sites, labelled, stage, two_label)
     blocked = F.round(F.col("mean") - z * F.col("sd"), 9) > worst
-    by_host = stage(posterior.select("host", "n_labelled", blocked.alias("blocked")), "hosts")
+    by_site = stage(
+        posterior.select(F.col("host").alias("site"), "n_labelled", blocked.alias("blocked")),
+        "hosts")
     rule, verdict = matching_rule(rules, F.col("host"), F.col("path"))
     method = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))
-    return named.join(by_host, "host", "left").select(
+    return named.join(by_site, "site", "left").select(
         "page_id", "host", "path", rule.alias("rule"),
         F.coalesce(verdict, method).alias("verdict"),
         F.coalesce("n_labelled", F.lit(0)).alias("n_labelled"),

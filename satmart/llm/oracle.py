@@ -105,10 +105,13 @@ WITH named AS (
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages
 ),
+sites AS (
+  SELECT *, regexp_replace(regexp_replace(host, '(?s)^.*@', ''), ':[0-9]*$', '') AS site FROM named
+),
 split AS (
-  SELECT *, string_split(host, '.') AS l,
-    array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS last_two
-  FROM named
+  SELECT *, string_split(site, '.') AS l,
+    array_to_string(list_slice(string_split(site, '.'), -2, -1), '.') AS last_two
+  FROM sites
 ),
 parts AS (
   SELECT *, CASE WHEN two THEN last_two ELSE l[-1] END AS suffix,
@@ -117,9 +120,9 @@ parts AS (
         AS two FROM split)
 ),
 hosts AS (
-  SELECT host, any_value(domain) AS domain, any_value(suffix) AS suffix,
+  SELECT site, any_value(domain) AS domain, any_value(suffix) AS suffix,
          count(quality) AS n, coalesce(sum(1 - quality), 0) AS k
-  FROM parts LEFT JOIN labels ON doc_id = page_id GROUP BY host
+  FROM parts LEFT JOIN labels ON doc_id = page_id GROUP BY site
 ),
 share AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS m FROM hosts),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT m FROM share) AS mu
@@ -142,14 +145,14 @@ hw AS (SELECT CASE WHEN c < 2 OR NOT p > 0 THEN 1 WHEN o <= 0 THEN 1000
                     sum(n * (n - 1) * mean * (1 - mean)) AS p, count(*) AS c
              FROM hosts JOIN dm USING (domain) WHERE n > 0)),
 ab AS (
-  SELECT host, n, k + w * mu AS a, n - k + w * (1 - mu) AS b
-  FROM (SELECT host, n, k, coalesce(dm.mean, sm.mean, (SELECT m FROM share)) AS mu,
+  SELECT site, n, k + w * mu AS a, n - k + w * (1 - mu) AS b
+  FROM (SELECT site, n, k, coalesce(dm.mean, sm.mean, (SELECT m FROM share)) AS mu,
                CASE WHEN dm.mean IS NOT NULL THEN hw.w WHEN sm.mean IS NOT NULL THEN dw.w
                     ELSE sw.w END AS w
         FROM hosts LEFT JOIN dm USING (domain) LEFT JOIN sm USING (suffix), hw, dw, sw)
 ),
 judged AS (
-  SELECT host, n,
+  SELECT site, n,
          round(a / (a + b) - 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))), 9) > 0.2 AS blocked
   FROM ab
 ),
@@ -158,16 +161,16 @@ rules(verdict, rhost, rpath) AS (
          ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
 ),
 ruled AS (
-  SELECT page_id, host, path, arg_max(rhost || rpath, len(rhost || rpath)) AS rule,
+  SELECT page_id, host, path, site, arg_max(rhost || rpath, len(rhost || rpath)) AS rule,
          arg_max(r.verdict, len(rhost || rpath)) AS verdict
-  FROM named LEFT JOIN rules r ON (host = rhost OR ends_with(host, '.' || rhost))
+  FROM sites LEFT JOIN rules r ON (host = rhost OR ends_with(host, '.' || rhost))
     AND starts_with(path, rpath)
-  GROUP BY page_id, host, path
+  GROUP BY page_id, host, path, site
 )
 SELECT page_id, host, path, rule,
        coalesce(verdict, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict,
        n AS n_labelled
-FROM ruled JOIN judged USING (host)
+FROM ruled JOIN judged USING (site)
 """
 
 # Dynamic programming, one step per bucket; of equal costs the last boundary, then fewer buckets.

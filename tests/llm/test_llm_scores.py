@@ -211,6 +211,24 @@ def test_host_and_rules(spark, frame):
         assert (r.host, r.path, r.rule, r.verdict) == urls[r.page_id][1:]
 
 
+def test_reputation_of_sites_under_other_suffixes(spark, frame):
+    """Ports and users are no part of a site, and the suffixes under which names are registered are
+    given; null urls, null ids and clashing columns are judged too."""
+    bad = [(i, f"http://a{i}.spam.com.mx:80{i % 10}/") for i in range(60)]
+    good = [(i, f"http://u@h{i}.fine.com.mx/") for i in range(60, 160)]
+    new = [(900, "http://new.spam.com.mx/"), (901, "http://x@new.fine.com.mx:99/"), (None, None)]
+    rows = [(*r, "site", "host") for r in bad + good + new]
+    pages = frame(rows, "page_id long, url string, site string, host string")
+    outcomes = frame([(i, int(i < 60), 1) for i in range(160)], "page_id long, bad int, host int")
+    got = {r.page_id: r for r in host_reputation.judge(
+        pages, outcomes, (), Stage(spark), two_label=("com.mx",)).collect()}
+    assert len(got) == 163
+    assert got[900].verdict == got[5].verdict == "block"
+    assert got[901].verdict == got[70].verdict == "allow"
+    assert got[901].host == "x@new.fine.com.mx:99" and got[None].host == ""
+    assert host_reputation.judge(pages.limit(0), outcomes, (), Stage(spark)).count() == 0
+
+
 def test_reputation_shrinks_to_the_domain(spark, frame):
     good = [(i, f"http://h{i % 9}.fine.net/") for i in range(400)]
     bad = [(i, f"http://h{i % 3}.spam.net/") for i in range(400, 520)]
