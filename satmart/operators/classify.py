@@ -77,8 +77,11 @@ def assembled(train: DataFrame, encode: PipelineModel, s: Settings) -> DataFrame
 
 
 def fit_forest(train: DataFrame, encode: PipelineModel, s: Settings):
-    """Forest on balanced class weights."""
-    rows = assembled(train, encode, s)
+    """Forest on balanced class weights.
+
+    Each level of the trees is a job over all rows, so these are dealt into as few partitions as
+    their size asks for, which adaptive execution decides: a small table is one task a job."""
+    rows = assembled(train, encode, s).hint("rebalance")
     forest = RandomForestClassifier(
         numTrees=s.trees, maxDepth=s.max_depth, seed=s.seed, weightCol="weight",
         minInstancesPerNode=1, maxMemoryInMB=1024,
