@@ -303,7 +303,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = 1, layout: Lay
     Rows with the same doc_id lie in the order of their texts' bytes; a null doc_id comes first. A
     null text counts as empty and has the end id alone; a very long one is encoded whole, and closes
     its segment; repeated rows each count; an empty table gives files without segments; other columns
-    are not read. One shuffle, of the texts, by ranges of doc_id and of the texts' first 256 bytes,
+    are not read. One shuffle, of the texts, by ranges of doc_id and of the texts' first 16 bytes,
     so that rows without an id are spread too. ``vocabulary`` is a file that the driver reads; its
     content, of a fixed size, goes to the tasks.
     """
@@ -313,7 +313,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = 1, layout: Lay
     order = F.col("doc_id").asc_nulls_first()
     ordered = (
         docs.select("doc_id", common.text_bytes("text").alias("text"))
-        .repartitionByRange(order, F.substring("text", 1, 256))
+        .repartitionByRange(order, F.substring("text", 1, 16))
         .sortWithinPartitions(order, "text")
     )
     schema = "part int, segment int, n_docs long, n_ids long, doc_ids array<long>, data binary"
