@@ -240,3 +240,139 @@ def test_reputation_shrinks_to_the_domain(spark, frame):
     assert got[0].verdict == "allow" and got[450].verdict == "block"
     assert got[900].verdict == "block" and got[901].verdict == got[902].verdict == "allow"
     assert got[900].n_labelled == 0
+
+
+def plain_descent(hits, positive, n, prior, how):
+    """The corrected risk by loops over texts, its slope by small differences, and Adam's steps."""
+    def split(theta):
+        """(risk of the positives, estimated risk of the negatives) of a model."""
+        z = [sum(theta[f] for f in h) + theta[n] for h in hits]
+        pos = [v for v, p in zip(z, positive) if p]
+        unl = [v for v, p in zip(z, positive) if not p]
+        loss = lambda v: math.log1p(math.exp(-v)) if v > 0 else -v + math.log1p(math.exp(v))
+        as_pos = prior * sum(map(loss, pos)) / max(1, len(pos))
+        rest = sum(loss(-v) for v in unl) / max(1, len(unl))
+        return as_pos, rest - prior * sum(loss(-v) for v in pos) / max(1, len(pos))
+
+    theta = [0.0] * n + [math.log(prior / (1 - prior))]
+    first, second = [0.0] * (n + 1), [0.0] * (n + 1)
+    turned = 0
+    for t in range(1, how.steps + 1):
+        rest = split(theta)[1]
+        goal = sum if rest >= -how.slack else lambda parts: -parts[1]
+        turned += rest < -how.slack
+        grad = []
+        for k in range(n + 1):
+            up, down = [[*theta[:k], theta[k] + d, *theta[k + 1 :]] for d in (1e-5, -1e-5)]
+            grad.append((goal(split(up)) - goal(split(down))) / 2e-5 + how.decay * theta[k])
+        for k, g in enumerate(grad):
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.999 * second[k] + 0.001 * g * g
+            theta[k] -= how.rate * (first[k] / (1 - 0.9**t)) / (
+                math.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
+    return theta, turned
+
+
+@pytest.mark.parametrize("slack", [0.0, -0.3])
+def test_positive_unlabelled_fit_equals_plain_descent(slack):
+    rng = np.random.default_rng(8)
+    positive = np.arange(40) < 12
+    hits = [np.flatnonzero(rng.random(5) < ([0.8, 0.5, 0.3, 0.3, 0.1] if p or i % 4 == 0
+                                           else [0.1, 0.2, 0.3, 0.5, 0.6]))
+            for i, p in enumerate(positive)]
+    how = nnpu.Fit(steps=60, slack=slack)
+    weights, bias = nnpu.fit(hits, positive, 5, 0.3, how)
+    want, turned = plain_descent([h.tolist() for h in hits], positive.tolist(), 5, 0.3, how)
+    assert [*weights, bias] == pytest.approx(want, abs=2e-4)
+    assert bool(turned) == (slack < 0)  # the other way is gone, too
+
+
+def test_positive_unlabelled_scores_equal_plain_sums(spark, edges):
+    words = ["one", "rest", "ß", "漢字", "abcd"]
+    weights = {f: 0.3 * (i + 1) for i, f in enumerate(
+        f for w in words for f in nnpu.word_features(w.encode()))}
+    model = nnpu.Model(0.1, -1.0, weights)
+    for r in nnpu.scored(edges, model, ["doc_id", "text"]).collect():
+        text = (r.row.text or "").encode()
+        held = nnpu.feature_set(text)
+        want = 1 / (1 + math.exp(1.0 - sum(w for f, w in weights.items() if f in held)))
+        assert r.score == pytest.approx(want) and r.predicted == int(want >= 0.7)
+
+
+def plain_boosting(x, y, how):
+    """Score of every row by trees found by trying all cuts, rows in place of tables of bins."""
+    def edges_of(column, bins):
+        return sorted({float(np.quantile(column, k / bins)) for k in range(1, bins)})
+
+    def bins_of(edges, column):
+        return [sum(e <= v for e in edges) for v in column]
+
+    share = (sum(y) + 1) / (len(y) + 2)
+    logit = [math.log(share / (1 - share))] * len(y)
+
+    def slopes():
+        p = [1 / (1 + math.exp(-v)) for v in logit]
+        return [a - b for a, b in zip(y, p)], [b * (1 - b) for b in p]
+
+    def worth(rows, g, h):
+        return sum(g[i] for i in rows) ** 2 / (sum(h[i] for i in rows) + how.ridge)
+
+    def grown(rows, low, high, at, g, h, depth):
+        """(rows, step) of the leaves over bins low to high."""
+        best = (worth(rows, g, h) + 1e-12, None)
+        for cut in range(low + 1, high) if depth else ():
+            sides = [i for i in rows if at[i] < cut], [i for i in rows if at[i] >= cut]
+            gain = sum(worth(s, g, h) for s in sides)
+            if gain > best[0]:
+                best = (gain, cut, sides)
+        if best[1] is None:
+            return [(rows, sum(g[i] for i in rows) / (sum(h[i] for i in rows) + how.ridge))]
+        (_, cut, (left, right)) = best
+        return grown(left, low, cut, at, g, h, depth - 1) + grown(right, cut, high, at, g, h, depth - 1)
+
+    n, every = len(x[0]), list(range(len(y)))
+    columns = [[r[f] for r in x] for f in range(n)]
+    fine = [edges_of(c, how.bins) for c in columns]
+    at = [bins_of(e, c) for e, c in zip(fine, columns)]
+    for _ in range(how.rounds):
+        for f in range(n):
+            g, h = slopes()
+            for rows, step in grown(every, 0, len(fine[f]) + 1, at[f], g, h, 2):
+                for i in rows:
+                    logit[i] += how.rate * step
+    wide = [edges_of(c, how.pair_bins) for c in columns]
+    coarse = [bins_of(e, c) for e, c in zip(wide, columns)]
+
+    def quartered(a, b):
+        """(gain, leaves) of the best cut of both features."""
+        g, h = slopes()
+        best = None
+        for i in range(1, len(wide[a]) + 1):
+            for j in range(1, len(wide[b]) + 1):
+                parts = [[r for r in every if (coarse[a][r] < i) == s and (coarse[b][r] < j) == t]
+                         for s in (True, False) for t in (True, False)]
+                gain = sum(worth(p, g, h) for p in parts)
+                if best is None or gain > best[0] + 1e-12:
+                    best = (gain, parts)
+        leaves = [(p, sum(g[r] for r in p) / (sum(h[r] for r in p) + how.ridge)) for p in best[1]]
+        return best[0] - worth(every, g, h), leaves
+
+    gains = sorted((-quartered(a, b)[0], (a, b)) for a in range(n) for b in range(a + 1, n))
+    pairs = [p for _, p in gains[: how.pairs]]
+    for _ in range(how.rounds):
+        for a, b in pairs:
+            for rows, step in quartered(a, b)[1]:
+                for i in rows:
+                    logit[i] += how.rate * step
+    return [1 / (1 + math.exp(-v)) for v in logit], pairs
+
+
+def test_additive_model_equals_plain_boosting():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(90, 3)), 1)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.2) | (rng.random(90) < 0.1)).astype(float)
+    how = gam.Fit(bins=6, pair_bins=3, pairs=2, rounds=6)
+    model = gam.fit(x, y, how)
+    want, pairs = plain_boosting(x.tolist(), y.tolist(), how)
+    assert model.pairs == pairs and (0, 1) in pairs
+    assert gam.score(model, x).tolist() == pytest.approx(want)
