@@ -246,7 +246,10 @@ def collocations(docs: DataFrame, stage, how: Phrases = Phrases()) -> DataFrame:
     known = stage(
         known.orderBy(F.desc("f")).withColumn("id", F.monotonically_increasing_id()), "known")
     dictionary = words.join(known, ["lang", "word"]).select("shard", "word", "id")
-    counts = counted_phrases(held, dictionary, how).groupBy(*names).agg(F.sum("f").alias("f"))
+    # A shard names a phrase once, which is all the summing up there is before the shuffle: a table of
+    # a task's phrases would take much room and hardly make them fewer.
+    counts = counted_phrases(held, dictionary, how).repartition(*names).groupBy(*names).agg(
+        F.sum("f").alias("f"))
     found = stage(counts.filter(F.col("f") >= how.least), "candidates")
 
     kept = _scored(found, known, names)
