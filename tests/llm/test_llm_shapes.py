@@ -18,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from satmart.llm import (
-    chat_windows, dart_minhash, length_buckets, oracle, qgram_lemma, queries, rans,
+    chat_windows, dart_minhash, gam, length_buckets, oracle, qgram_lemma, queries, rans,
 )
 from satmart.sources.storage import Stage
 
@@ -440,6 +440,67 @@ def test_pipeline_stages_hand_on_documents(spark):
     assert packed.select("doc_id").distinct().count() == seen[-1]
 
 
+def plain_rules_keep(text):
+    words = re.findall("[^ \t-\r]+", text or "")
+    lines = [line for line in (text or "").split("\n") if re.search("[^ \t-\r]", line)]
+    grams = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    repeated = {i + j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(8)}
+    n, chars = len(words), sum(map(len, words))
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return not (
+        n < 20 or 100 * len(repeated) > 30 * n or 10 * symbols > 3 * n
+        or 100 * (len(lines) - len(set(lines))) > 50 * len(lines) or chars < 2 * n or chars > 15 * n)
+
+
+def nearest(pattern, text):
+    """Fewest edits between the pattern and any part of the text, a row of the table at a time."""
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    row, column = np.zeros(codes.size + 1, int), np.arange(codes.size + 1)
+    for i, c in enumerate(pattern, 1):
+        new = np.append(i, np.minimum(row[1:] + 1, row[:-1] + (codes != ord(c))))
+        row = np.minimum.accumulate(new - column) + column
+    return row.min()
+
+
+def test_pipeline_equals_plain_stages(spark, workdir):
+    """Every stage on what the one before it kept, worked out by plain means."""
+    import corpus_pipeline
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    model = queries.quality_model(spark, sf_dir)
+    ids = sorted(docs)
+    scores = gam.score(model, np.array([gam.features_of((docs[i] or "").encode()) for i in ids]))
+    kept = {i: docs[i] for i, s in zip(ids, scores) if s >= 0.5}
+    kept = {i: t for i, t in kept.items() if plain_rules_keep(t)}
+    classes = plain_classes({i: t or "" for i, t in kept.items()})
+    kept = {i: t for i, t in kept.items() if classes[i] == i}
+    how = qgram_lemma.Match()
+    items = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    patterns = {p for item in items if len(item) >= how.q
+                for p in qgram_lemma.passages(qgram_lemma.folded(item), how)}
+
+    def clean(text):
+        low = qgram_lemma.folded(text or "")
+        allowed = ((p, min(int(len(p) * how.edits), (len(p) - how.q) // how.q)) for p in patterns)
+        # Without a run of q characters in common no passage is within its edits.
+        grams = {low[i : i + how.q] for i in range(len(low) - how.q + 1)}
+        return not any(
+            p in low or any(p[i : i + how.q] in grams for i in range(len(p) - how.q + 1))
+            and nearest(p, low) <= e for p, e in allowed)
+
+    kept = {i: t for i, t in kept.items() if clean(t)}
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    tokens = {}
+    for r in rows:
+        tokens[r.doc_id] = tokens.get(r.doc_id, 0) + r.n_tokens
+        assert r.n_tokens <= r.bucket_length and r.padding == r.bucket_length - r.n_tokens
+    words = {i: len(re.findall("[^ \t-\r]+", t or "")) for i, t in kept.items()}
+    assert tokens == {i: n + 1 for i, n in words.items()}  # and the end
+    assert len({(r.bucket, r.batch, r.slot) for r in rows}) == len(rows)
+    assert 0 < len(kept) < len(docs)
+
+
 def test_pipeline_on_edge_rows(spark, frame):
     import corpus_pipeline
 
