@@ -207,9 +207,11 @@ def _matches(index: Index, texts: list[str]) -> list[dict[int, tuple[int, int, i
         keys, counts = _summed(np.concatenate([keys, new]), np.concatenate([counts, n]))
     pair = keys // n_bands
     kept = np.flatnonzero(counts >= index.bound[pair % len(index.patterns)]) if keys.size else keys
+    if not kept.size:
+        return found
     # Bands next to each other are looked at together: a text that goes on and on has many.
     first = np.flatnonzero(np.concatenate(
-        [[True], (np.diff(keys[kept]) > 1) | (np.diff(pair[kept]) != 0)])) if kept.size else kept
+        [[True], (np.diff(keys[kept]) > 1) | (np.diff(pair[kept]) != 0)]))
     last = np.append(first[1:], kept.size) - 1
     done: dict[tuple[int, int], tuple[int, int, int]] = {}
     for a, b in zip(keys[kept[first]].tolist(), keys[kept[last]].tolist()):

@@ -415,6 +415,7 @@ def test_a_character_that_goes_on_and_on():
     got, none = qgram_lemma.matches(index, ["a" + "-" * 1_000_000, "-" * 40 + "=" * 50])
     assert got[1][:3] == (0, 1, 81) and got[1][3] == 17 and got[2][0] == 4 and set(got) == {1, 2}
     assert none == {}
+    assert qgram_lemma.matches(index, ["b" + "-" * 12 + "c", "", "x" * 30]) == [{}, {}, {}]
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # KB
 
 
