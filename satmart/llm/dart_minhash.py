@@ -323,7 +323,8 @@ def classes(docs: DataFrame, stage, text: str = "text", how: Near = Near()) -> D
     similar pair, with leaders first and then pair by pair, texts of different classes only.
 
     Texts without words, null ones included, are classes of their own. doc_id is taken for a key:
-    rows that repeat it are one document. Extra columns are not read.
+    rows that repeat it are one document. Extra columns are not read. Texts of any length are
+    compared whole; an empty table gives no rows.
     """
     signed = stage(sketches(docs, text, how), "sketches")
     reps = stage(

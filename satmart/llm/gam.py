@@ -178,7 +178,9 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
     """Fits on the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, label) names.
 
     The bound on labelled rows takes those with the smallest hashes of their ids, whatever the
-    size of the tables. Only features and labels come to the driver.
+    size of the tables. Only features and labels come to the driver. Repeated labels and texts count
+    each time, contradicting ones both; null labels and ids are left out; without labels, or with
+    one of them only, every text has the same score. Other columns are not read.
     """
     chosen = (
         labels.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
@@ -197,7 +199,9 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Model:
 def scored(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -> DataFrame:
     """``row`` (the carried columns), score and predicted (score >= 0.5), one row per input row.
 
-    Null texts count as empty and are scored too; repeated rows get the same score each.
+    Null texts count as empty and are scored too; repeated rows get the same score each. A whole
+    text is measured, however long. Columns are carried in ``row``, so none can clash; an empty
+    table gives no rows.
     """
     def measure(texts: list[bytes]) -> list:
         p = score(model, np.array([features_of(t) for t in texts]))

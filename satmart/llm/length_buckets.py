@@ -99,7 +99,8 @@ def packed(docs: DataFrame, tokens: Column, stage, shape: Shape = Shape()) -> Da
     any splits: rows are dealt to ranges of (bucket, doc_id, piece), numbered in each range and
     shifted by the sizes of the ranges before. No task sorts more than about ``shard_rows`` rows, and
     only the last batch of a bucket can be short. Repeated rows get a place each, the shorter first;
-    a null doc_id comes last. An empty table gives no rows.
+    a null doc_id comes last. An empty table gives no rows; columns other than doc_id and those in
+    ``tokens`` are not read, so none can clash.
     """
     numbered = pieces(docs, tokens, shape).withColumn("row_no", F.monotonically_increasing_id())
     rows = stage(numbered, "pieces")

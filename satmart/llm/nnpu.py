@@ -101,7 +101,10 @@ def train(docs: DataFrame, labels: DataFrame, train_rows, stage, how: Fit = Fit(
 
     Label 0 is read for the class prior only: such texts are unlabelled ones like all others.
     Both samples take the smallest hashes of doc_id, up to the bounds in ``how``; their features
-    are counted on the executors, and at most ``features`` of them come to the driver.
+    are counted on the executors, and at most ``features`` of them come to the driver. Without
+    labels the prior is a half and no feature is chosen, so every text has the same score; a doc_id
+    with labels 0 and 1 counts for the prior twice and is a positive; null labels and ids, and other
+    columns, are not read.
     """
     known = labels.filter(F.col("toxic").isNotNull() & train_rows)
     prior = how.prior
@@ -164,7 +167,8 @@ def scored(docs: DataFrame, model: Model, carry: list[str], text: str = "text")
     """``row`` (the carried columns), score (0 to 1) and predicted (score >= 0.7) per input row.
 
     Null texts count as empty and get the score of a text without any feature. A whole text is
-    read, however long; each distinct word of a batch is hashed once.
+    read, however long; each distinct word of a batch is hashed once. Repeated rows get the same
+    score each, carried columns cannot clash, an empty table gives no rows.
     """
     weights, bias = model.weights, model.bias
 

@@ -238,7 +238,9 @@ def scored(docs: DataFrame, trains: Column, stage, shape: Shape = Shape()) -> Da
     the trie learned from the rows where ``trains`` holds. ``base_score`` is that of its words and
     one end under add-one word frequencies of the same rows. A null text counts as empty and has
     one token, the end; repeated rows each count and are each scored; with nothing to learn from
-    all bytes are equally likely. Extra columns are not read.
+    all bytes are equally likely. Extra columns are not read. A text longer than a block is a block
+    of its own and is scored whole; a null doc_id is carried; an empty table gives no rows. The
+    counts of a word are added up in one task, one row for each block that holds it.
     """
     held = stage(blocks(docs, trains, shape), "blocks")
     by_word = W.partitionBy("word")

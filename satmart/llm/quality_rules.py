@@ -105,7 +105,8 @@ def ledger(
     """``row`` (the carried columns), the measurements and ``fail_bits``, one row per input row.
 
     A null text counts as the empty one: all measurements are 0 and ``few_words`` fails. Repeated
-    rows are judged each on its own. A text is held whole in one task, whatever its length.
+    rows are judged each on its own. A text is held whole in one task, whatever its length. Columns
+    are carried in ``row``, so none can clash; an empty table gives an empty ledger.
     """
     measured = common.over_texts(docs, carry, text, measures_of, _FIELDS)
     bits = F.lit(0).cast("long")

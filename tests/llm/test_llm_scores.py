@@ -114,6 +114,18 @@ def test_byte_context_scores_equal_plain_model(spark, frame, order):
         assert got[i].score == pytest.approx(plain_ppm(train, text, order), abs=1e-9)
 
 
+def test_byte_context_scores_of_a_very_long_text_and_without_ids(spark, frame):
+    long = " ".join(f"w{i % 311}" for i in range(20_000))
+    rows = [(1, long), (2, "short one"), (None, "w1 w2"), (None, None), (2, "short one")]
+    docs = frame(rows, "doc_id long, text string")
+    shape = ppm.Shape(order=2, block_bytes=50_000, part_bytes=9_000)
+    got = ppm.scored(docs, F.lit(True), Stage(spark), shape).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [
+        (0, 1), (0, 3), (1, 20_001), (2, 3), (2, 3)]
+    assert len({r.score for r in got if r.doc_id == 2}) == 1
+    assert all(r.score < 0 and r.train_tokens == 20_011 for r in got)
+
+
 def test_byte_context_scores_with_nothing_to_learn(spark, frame):
     docs = frame([(1, "ab"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in ppm.scored(docs, F.lit(False), Stage(spark)).collect()}
