@@ -3,7 +3,9 @@ kept, is written as Parquet and read again.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
 of documents, extra ones included. No stage changes a text, so null texts stay null; an empty table
-gives an empty result."""
+gives an empty result. Repeated rows are judged alike; of rows with one doc_id, and of near
+duplicates, which have no order but their ids, one stays, the others go; rows without an id all stay.
+Texts of any length are looked at whole."""
 
 from __future__ import annotations
 
