@@ -38,7 +38,7 @@ class Phrases:
     least: int = 10
     within: int = 50
     top: int = 2000
-    shard_bytes: int = 6_000_000
+    shard_bytes: int = 14_000_000
 
 
 def shards(docs: DataFrame, how: Phrases) -> DataFrame:
