@@ -77,7 +77,7 @@ def keys_given(dimension: str, table: DataFrame, key_name: str, natural_key: str
 
 def with_hash_key(df: DataFrame, key_name: str, natural_key: str) -> DataFrame:
     """Surrogate keys for dimensions without a bound: no task sees the whole table, and a
-    reload gives the same keys. ``quality.unique_violations`` reports a collision."""
+    reload gives the same keys. ``quality.check_unique`` reports a collision."""
     return df.select(F.xxhash64(natural_key).alias(key_name), *df.columns)
 
 
