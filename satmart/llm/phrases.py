@@ -189,14 +189,27 @@ def phrases_of(ids: np.ndarray, longest: int):
         yield rows, count
 
 
+def _in_order(phrases, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all phrases, 0 behind a shorter one, and counts, in the order of the ids."""
+    found = [(np.pad(rows.astype(np.int32), ((0, 0), (0, longest - rows.shape[1]))), count)
+             for rows, count in phrases]
+    if not found:
+        return np.empty((0, longest), np.int32), np.empty(0, np.int64)
+    rows, count = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort(rows.T[::-1])
+    return rows[order], count[order]
+
+
 def counted_phrases(held: DataFrame, dictionary: DataFrame, how: Phrases) -> DataFrame:
     """w1, w2, ... (ids, -1 behind a shorter phrase) and the count of each phrase in each shard.
 
-    ``dictionary`` holds shard, word and id of the words to look at; other words end a piece.
+    ``dictionary`` holds shard, word and id of the words to look at; other words end a piece. A shard
+    gives its phrases in the order of their ids, which makes them small on their way to the sums.
     """
     names = [f"w{i + 1}" for i in range(how.longest)]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("id")
         numbers = right.column("id").to_numpy()
         local = dict(zip(right.column("word").to_pylist(), range(1, numbers.size + 1)))
         local[b""] = -1
@@ -210,14 +223,13 @@ def counted_phrases(held: DataFrame, dictionary: DataFrame, how: Phrases) -> Dat
             ids = ids[np.concatenate([[True], (ids[1:] > 0) | (ids[:-1] > 0)])]
             if ids[-1]:
                 ids = np.append(ids, np.int32(0))
-            parts += phrases_of(ids, how.longest)
+            parts.append(_in_order(phrases_of(ids, how.longest), how.longest))
         local.clear()
-        columns = [[] for _ in range(how.longest + 1)]
-        for rows, count in parts:
-            for j in range(how.longest):
-                have = j < rows.shape[1]
-                columns[j].append(numbers[rows[:, j] - 1] if have else np.full(count.size, -1))
-            columns[-1].append(count)
+        columns = [[numbers[rows[:, j] - 1] for rows, _ in parts] for j in range(how.longest)]
+        for j, column in enumerate(columns):
+            for i, (rows, _) in enumerate(parts):
+                column[i][rows[:, j] == 0] = -1
+        columns.append([count for _, count in parts])
         empty = [np.empty(0, np.int64)]
         return pa.table([pa.array(np.concatenate(empty + c).astype(np.int64)) for c in columns],
                         names=[*names, "f"])
@@ -247,8 +259,9 @@ def collocations(docs: DataFrame, stage, how: Phrases = Phrases()) -> DataFrame:
         known.orderBy(F.desc("f")).withColumn("id", F.monotonically_increasing_id()), "known")
     dictionary = words.join(known, ["lang", "word"]).select("shard", "word", "id")
     # A shard names a phrase once, which is all the summing up there is before the shuffle: a table of
-    # a task's phrases would take much room and hardly make them fewer.
-    counts = counted_phrases(held, dictionary, how).repartition(*names).groupBy(*names).agg(
+    # a task's phrases would take much room and hardly make them fewer. Phrases that begin with the
+    # same two words go together, so most of a row stands in the row before it and is packed away.
+    counts = counted_phrases(held, dictionary, how).repartition(*names[:2]).groupBy(*names).agg(
         F.sum("f").alias("f"))
     found = stage(counts.filter(F.col("f") >= how.least), "candidates")
 

@@ -70,6 +70,33 @@ def test_collocations_of_an_empty_table(spark, frame):
     assert found_collocations(spark, frame, [(None, None)], phrases.Phrases()) == []
 
 
+def test_a_shard_gives_its_phrases_in_the_order_of_their_ids(spark, frame):
+    rng = random.Random(8)
+    words = {w: 7 * i for i, w in enumerate("edcba")}
+    texts = [" ".join(rng.choices("abcde", k=80)) + "." for _ in range(4)]
+    docs = frame([("en", text) for text in texts], "lang string, text string").coalesce(1)
+    how = phrases.Phrases(shard_bytes=200)
+    held = Stage(spark)(phrases.shards(docs, how), "shards")
+    numbers = [r.shard for r in held.collect()]
+    dictionary = frame([(n, w.encode(), i) for n in numbers for w, i in words.items()],
+                       "shard long, word binary, id long")
+    got = [tuple(r) for r in phrases.counted_phrases(
+        held, dictionary, how).coalesce(1).collect()]
+    plain = Counter()
+    for text in texts:
+        ids = [words[w] for w in text.rstrip(".").split()]
+        for size in (2, 3):
+            for i in range(len(ids) - size + 1):
+                plain[tuple(ids[i : i + size] + [-1] * (3 - size))] += 1
+    added = Counter()
+    for *key, n in got:
+        added[tuple(key)] += n
+    assert added == plain
+    # Rows of a shard rise; only where another one begins may they fall.
+    assert len(numbers) > 1
+    assert sum(a[:3] >= b[:3] for a, b in zip(got, got[1:])) < len(numbers)
+
+
 def test_both_sides_of_an_index_stay_in_step():
     rng = np.random.default_rng(3)
     ids = np.concatenate([[0], rng.integers(0, 5, 400), [0]]).astype(np.int32)
