@@ -76,6 +76,15 @@ def test_bad_periods_leave_the_time_dimension(frame):
     assert [r.periodo for r in dimensions.time_dimension(fact, S).collect()] == [201501]
 
 
+def test_periods_are_read_once_each_and_not_in_every_row(frame):
+    fact = frame([("201501",), ("201513",), (None,)], "periodo string")
+    rows = dimensions.time_dimension(fact, S)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Aggregate [periodo", 1)
+    assert "RLIKE" in above and "RLIKE" not in below
+    assert [r.periodo for r in rows.collect()] == [201501]
+
+
 def test_fact_split_counts_every_row_once(frame):
     fact = frame(
         [("201501", "c", "s", "010101", 5), ("201513", "c", "", "010101", 1), ("201501", "c", "s", "99", 2)],
