@@ -113,7 +113,8 @@ def add_attendance(
     if batch is not None and merged is not None and not merged.where(F.col("lote") == batch).isEmpty():
         return spark.createDataFrame([], "mes int, filas bigint")
     new = stage(
-        ingest.with_month(ingest.observations(ingest.cleaned(attendance), s.activity), s), "new")
+        ingest.with_month(
+            ingest.observations(ingest.cleaned(attendance, s.activity), s.activity), s), "new")
     # At most one per month between the first and the last valid year, and 0.
     months = [r.mes for r in new.select("mes").distinct().collect()]
     old = base.read("observaciones")

@@ -31,7 +31,7 @@ def ingest_new_files(
         observations(batch, activity).write.mode("overwrite").parquet(f"{partials}/batch={batch_id}")
 
     return (
-        cleaned(raw_stream)
+        cleaned(raw_stream, activity)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -85,6 +85,22 @@ def test_periods_are_read_once_each_and_not_in_every_row(frame):
     assert [r.periodo for r in rows.collect()] == [201501]
 
 
+def test_rows_of_other_activities_are_not_cleaned_and_count_the_same(frame):
+    names = [*ingest.COLUMNS, "CANTIDAD", "DES_ACT "]
+    row = ["201501", " c ", " s ", "r", "10101", "D", "P", "I"]
+    rows = [(*row, "5", "Consultas "), (*row, "x", "Consultas"), (*row, "5", "Otra"),
+            (*row[:2], " ", *row[3:], "5", "Otra"), (*row[:2], "", *row[3:], None, None),
+            (*row[:2], None, *row[3:], "7", None), (*row, "5", "Otra"), (*row, None, "")]
+    raw = frame(rows, ", ".join(f"`{n}` string" for n in names))
+    own = ingest.cleaned(raw, "Consultas")
+    assert {r.ubigeo for r in own.where("actividad = 'Consultas'").collect()} == {"010101"}
+    others = own.where("actividad IS DISTINCT FROM 'Consultas'")
+    assert others.where("nombre_centro IS NOT NULL OR cantidad IS NOT NULL").isEmpty()
+    got, want = (sorted(map(str, ingest.observations(c, "Consultas").collect()))
+                 for c in (own, ingest.cleaned(raw)))
+    assert got == want and len(got) == 6
+
+
 def test_fact_split_counts_every_row_once(frame):
     fact = frame(
         [("201501", "c", "s", "010101", 5), ("201513", "c", "", "010101", 1), ("201501", "c", "s", "99", 2)],
